@@ -5,8 +5,10 @@ from __future__ import annotations
 import math
 from dataclasses import dataclass
 
+import pandas as pd
 from pyspark.ml import PipelineModel, Transformer
 from pyspark.ml.feature import (
+    CountVectorizer,
     CountVectorizerModel,
     ElementwiseProduct,
     NGram,
@@ -16,7 +18,7 @@ from pyspark.ml.feature import (
     VectorAssembler,
 )
 from pyspark.ml.linalg import Vectors
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfmark.functions.stop_words import ENGLISH
@@ -102,11 +104,14 @@ def _fit_text(
                 "FROM __THIS__"
             )
         )
-    entries = kept.orderBy("rank").select(entry.alias("term"), "df").toPandas()
-    weights = [math.log((rows + 1) / (containing + 1)) for containing in entries["df"]]
-    counter = CountVectorizerModel.from_vocabulary(
-        entries["term"].tolist(), inputCol=terms, outputCol=feature.counts
+    entries = kept.select(entry.alias("entry"), "df")
+    # One bounded frame of one-term rows: the counter keeps them all, and hands
+    # the list to the JVM without a call per term.
+    counter = CountVectorizer(inputCol=terms, outputCol=feature.counts, vocabSize=size).fit(
+        entries.select(F.array("entry").alias(terms))
     )
+    containing = dict(entries.toPandas().itertuples(index=False, name=None))
+    weights = [math.log((rows + 1) / (containing[entry] + 1)) for entry in counter.vocabulary]
     scaler = ElementwiseProduct(
         scalingVec=Vectors.dense(weights), inputCol=feature.counts, outputCol=feature.weights
     )
@@ -130,9 +135,14 @@ def fit_features(
 
 
 def feature_vectors(df: DataFrame, model: PipelineModel) -> DataFrame:
-    """(id, eclassnumber, features); the intermediate columns are pruned away."""
+    """(id, eclassnumber, features); the intermediate columns are pruned away.
+
+    The assembler describes every slot in the column's metadata, which would
+    travel with each task of every later job; it is dropped here.
+    """
     prepared = without_gaps(with_description_length(df))
-    return model.transform(prepared).select("id", "eclassnumber", "features")
+    bare = F.col("features").alias("features", metadata={})
+    return model.transform(prepared).select("id", "eclassnumber", bare)
 
 
 def vector_slots(vectors: DataFrame, column: str = "features") -> DataFrame:
@@ -142,3 +152,26 @@ def vector_slots(vectors: DataFrame, column: str = "features") -> DataFrame:
     slots = F.coalesce(stored, F.sequence(F.lit(0), F.size(values) - 1))
     pairs = F.arrays_zip(slots.alias("slot"), values.alias("value"))
     return vectors.select("id", F.inline(pairs)).toDF("id", "slot", "value").where("value != 0")
+
+
+def slot_names(spark: SparkSession, model: PipelineModel) -> DataFrame:
+    """(slot, part, term): what each slot of a vector holds; scalars have no term.
+
+    Terms keep no promised order among slots, so read vectors through this.
+    """
+    vocabularies = {
+        stage.getOutputCol(): stage.vocabulary
+        for stage in model.stages
+        if isinstance(stage, CountVectorizerModel)
+    }
+    by_weights = {feature.weights: feature for feature in (DESCRIPTION, CATEGORY)}
+    names: list[tuple[str, str | None]] = []
+    for column in model.stages[-1].getInputCols():
+        feature = by_weights.get(column)
+        if feature is None:
+            names.append((column, None))
+        else:
+            names += [(feature.column, term) for term in vocabularies[feature.counts]]
+    frame = pd.DataFrame(names, columns=["part", "term"])
+    frame.insert(0, "slot", range(len(frame)))
+    return spark.createDataFrame(frame, "slot int, part string, term string")
