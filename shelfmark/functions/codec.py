@@ -72,7 +72,7 @@ def line_of(columns: list[str] = COLUMNS) -> Column:
 
 
 def safe_line_of(columns: list[str] = COLUMNS) -> Column:
-    """Quoted CSV record that parses back to the same row."""
+    """Quoted CSV record that parses back to the same row, save that empty text becomes NULL."""
     return F.to_csv(F.struct(*columns), SAFE_CSV)
 
 

@@ -64,7 +64,7 @@ def without_gaps(df: DataFrame) -> DataFrame:
 
 def feature_columns(df: DataFrame) -> DataFrame:
     """The scalar part of the feature vector, as the assembler sees it."""
-    columns = without_gaps(with_description_length(df))
+    columns = with_description_length(without_gaps(df))
     return columns.select(*[F.col(name).cast("double").alias(name) for name in SCALARS])
 
 
@@ -140,7 +140,7 @@ def feature_vectors(df: DataFrame, model: PipelineModel) -> DataFrame:
     The assembler describes every slot in the column's metadata, which would
     travel with each task of every later job; it is dropped here.
     """
-    prepared = without_gaps(with_description_length(df))
+    prepared = with_description_length(without_gaps(df))
     bare = F.col("features").alias("features", metadata={})
     return model.transform(prepared).select("id", "eclassnumber", bare)
 

@@ -61,16 +61,22 @@ def tune(
 
     `train` carries its fold numbers, so results do not vary between runs. Give
     a table partitioned by `fold`: then each fit scans only the folds it uses.
-    At most `parallelism` folds are in flight.
+    `parallelism` fits are in flight at once; each holds its own copy of the
+    rows in memory or on executor disks, so raise it only for a small table.
     """
 
-    def one_fold(i: int) -> list[float]:
-        kept, held = train.where(F.col(fold) != i), train.where(F.col(fold) == i)
-        models = [regression(penalty, label=label).fit(kept) for penalty in penalties]
-        return _fold_errors(held, models, label)
+    def fit(job: tuple[int, float]) -> LinearRegressionModel:
+        held, penalty = job
+        return regression(penalty, label=label).fit(train.where(F.col(fold) != held))
 
-    with ThreadPool(min(parallelism, folds)) as pool:
-        by_fold = pool.map(one_fold, range(folds), chunksize=1)
+    def score(held: int) -> list[float]:
+        models = fitted[held * len(penalties) : (held + 1) * len(penalties)]
+        return _fold_errors(train.where(F.col(fold) == held), models, label)
+
+    with ThreadPool(parallelism) as pool:
+        jobs = [(held, penalty) for held in range(folds) for penalty in penalties]
+        fitted = pool.map(fit, jobs, chunksize=1)
+        by_fold = pool.map(score, range(folds), chunksize=1)
     errors = {penalty: [found[k] for found in by_fold] for k, penalty in enumerate(penalties)}
     best = min(penalties, key=lambda penalty: sum(errors[penalty]))
     return Tuned(regression(best, label=label).fit(train), best, errors)
