@@ -246,6 +246,9 @@ ORACLES: dict[str, str] = {
     "snapshot_delete": f"SELECT * FROM ({_GAPPED}) WHERE (eclassnumber >= 2000000) IS NOT TRUE",
     "latest_snapshot": """SELECT user_id, event_id, event_type, value FROM events
 QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1""",
+    "latest_whole_snapshot": "SELECT "
+    + ", ".join("upper(category) AS category" if c == "category" else c for c in COLUMNS)
+    + f" FROM ({_CLEAN}) WHERE link IS NOT TRUE",
     "tokenize": _text("description", 5, "SELECT id, CAST(pos AS INT) AS pos, w AS term FROM t"),
     "remove_stop_words": _text(
         "description", 5, "SELECT id, CAST(pos AS INT) AS pos, w AS term FROM k"

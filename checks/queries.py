@@ -240,6 +240,16 @@ def snapshot_delete(spark, sf_dir):
     return snapshot.delete(gapped(spark, sf_dir), "eclassnumber >= 2000000")
 
 
+def latest_whole_snapshot(spark, sf_dir):
+    """Two overlapping snapshots stored together; only the newer one's rows come back."""
+    first = catalogue(spark, sf_dir)
+    second = snapshot.update(snapshot.delete(first, "link"), {"category": "upper(category)"})
+    path = scratch_path(spark, "snapshots")
+    stored = snapshot.versioned(first, 1).unionByName(snapshot.versioned(second, 2))
+    stored.write.partitionBy("snapshot_id").parquet(path)
+    return snapshot.latest_snapshot(spark.read.parquet(path)).drop("snapshot_id")
+
+
 def latest_snapshot(spark, sf_dir):
     events = table(spark, sf_dir, "events").select("user_id", "event_id", "ts", "event_type", "value")
     return snapshot.latest_rows(events, "user_id", "ts", "event_id").drop("ts")
@@ -453,6 +463,7 @@ QUERIES: dict[str, Query] = {
         snapshot_update,
         snapshot_delete,
         latest_snapshot,
+        latest_whole_snapshot,
         tokenize,
         remove_stop_words,
         ngrams5,

@@ -73,6 +73,11 @@ def latest_rows(df: DataFrame, key: str, *newest: str) -> DataFrame:
     return df.groupBy(key).agg(row).select("row.*")
 
 
+def versioned(snapshot: DataFrame, number: int) -> DataFrame:
+    """Mark every row with the snapshot it belongs to, so that copies can be told apart."""
+    return snapshot.withColumn("snapshot_id", F.lit(number).cast("bigint"))
+
+
 def latest_snapshot(df: DataFrame, version: str = "snapshot_id") -> DataFrame:
     """All rows of the newest whole snapshot, so rows deleted since do not come back."""
     return df.where(F.col(version) == df.agg(F.max(version)).scalar())
