@@ -189,6 +189,37 @@ b AS (SELECT sign(r) * greatest(abs(r) - 5000 / sy * 0.5, 0) / (1 + 5000 / sy *
 SELECT round(k, 4) AS slope, round(my - k * mx, 4) AS intercept FROM b"""
 
 
+def _penalised(fold: str) -> str:
+    """Closed-form slope of the elastic net with one feature, from moments r, sy, sx."""
+    return f"""SELECT {fold} penalty, my, mx,
+  sign(r) * greatest(abs(r) - penalty / sy * 0.5, 0) / (1 + penalty / sy * 0.5) * sy / sx AS slope"""
+
+
+_MOMENTS = """corr(y, x) AS r, stddev_pop(y) AS sy, stddev_pop(x) AS sx,
+  avg(y) AS my, avg(x) AS mx"""
+
+_LINE = f"""WITH d AS (SELECT id, x, y, {_bucket('id', '123', 10)} < 7 AS train,
+  {_bucket('id', 'fold', 5)} AS fold FROM (
+    SELECT concat(l_orderkey, '-', l_linenumber) AS id, l_quantity AS x, l_extendedprice AS y
+    FROM lineitem)),
+p(penalty) AS (VALUES (0.0::DOUBLE), (1000.0::DOUBLE), (5000.0::DOUBLE)),
+f AS (SELECT DISTINCT fold FROM d),
+s AS (SELECT f.fold, {_MOMENTS} FROM f JOIN d ON train AND d.fold <> f.fold GROUP BY f.fold),
+k AS ({_penalised('fold,')} FROM s, p),
+e AS (SELECT penalty, sqrt(avg((y - my - slope * (x - mx)) ** 2)) AS rmse
+      FROM k JOIN d ON train AND d.fold = k.fold GROUP BY penalty, k.fold),
+c AS (SELECT penalty, avg(rmse) AS rmse FROM e GROUP BY penalty)"""
+
+_CV_LINE = f"{_LINE} SELECT penalty, round(rmse, 4) AS rmse FROM c"
+
+_PREDICTED_LINE = f"""{_LINE},
+w AS (SELECT {_MOMENTS} FROM d WHERE train),
+b AS (SELECT penalty FROM c ORDER BY rmse, penalty LIMIT 1),
+m AS ({_penalised('')} FROM w, b)
+SELECT id, y AS eclassnumber, round(my + slope * (x - mx), 4) AS prediction
+FROM d, m WHERE NOT train"""
+
+
 def _lines(source: str) -> str:
     return f"SELECT {_line()} AS value FROM ({source})"
 
@@ -278,6 +309,8 @@ QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC)
     ),
     "linreg_ols_1d": _OLS,
     "linreg_enet_1d": _ENET,
+    "cv_metrics_line": _CV_LINE,
+    "predictions_line": _PREDICTED_LINE,
     "regression_metrics": f"SELECT {_ERRORS} FROM ({_SURROGATE})",
     "regression_metrics_by": f"SELECT l_returnflag, {_ERRORS} FROM ({_SURROGATE})"
     " GROUP BY l_returnflag",

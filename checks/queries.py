@@ -14,7 +14,7 @@ from shelfmark.functions import codec, text
 from shelfmark.functions.commands import returns_rows
 from shelfmark.operators import describe, metrics, report, snapshot, split, terms
 from shelfmark.plans import features, flow, training
-from shelfmark.session import scratch_path
+from shelfmark.session import materialize, scratch_path
 from shelfmark.sinks import publish
 from shelfmark.sources import files
 from shelfmark.streaming.ingest import ingest_available
@@ -369,6 +369,36 @@ def linreg_enet_1d(spark, sf_dir):
     return _line_fit(frame, training.regression(5000.0), 4)
 
 
+def _line_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Line items with one feature, for which fits have a closed form."""
+    rows = table(spark, sf_dir, "lineitem").selectExpr(
+        "concat(l_orderkey, '-', l_linenumber) AS id",
+        "l_quantity AS x",
+        "l_extendedprice AS eclassnumber",
+    )
+    assembled = VectorAssembler(inputCols=["x"], outputCol="features").transform(rows)
+    return materialize(split.with_split(assembled.drop("x")), "line", ("split", "fold"))
+
+
+LINE_PENALTIES = (0.0, 1000.0, 5000.0)
+
+
+def cv_metrics_line(spark, sf_dir):
+    """RMSE of every penalty over the folds, with one feature."""
+    train = _line_table(spark, sf_dir).where("split = 'train'")
+    rows = sorted(training.tune(train, LINE_PENALTIES).averages.items())
+    frame = spark.createDataFrame(rows, "penalty double, rmse double")
+    return _rounded(frame, "rmse", places=4)
+
+
+def predictions_line(spark, sf_dir):
+    """Test rows scored by the model that tuning picks, with one feature."""
+    rows = _line_table(spark, sf_dir)
+    tuned = training.tune(rows.where("split = 'train'"), LINE_PENALTIES)
+    scored = tuned.model.transform(rows.where("split = 'test'"))
+    return _rounded(scored.select("id", "eclassnumber", "prediction"), "prediction", places=4)
+
+
 def _feature_table(spark, sf_dir):
     whole = catalogue(spark, sf_dir)
     return flow.feature_table(whole, features.fit_features(whole))
@@ -482,6 +512,8 @@ QUERIES: dict[str, Query] = {
         cv_fold_sizes,
         linreg_ols_1d,
         linreg_enet_1d,
+        cv_metrics_line,
+        predictions_line,
         linreg_fit,
         cv_metrics,
         predictions,

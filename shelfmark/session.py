@@ -9,6 +9,10 @@ from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_KEY = "spark.checkpoint.dir"
 
+# Each task of a partitioned write makes a file per folder; more tasks than this
+# would make more files than a driver can list in good time.
+PARTITIONED_WRITERS = 20_000
+
 _local_folders: dict[str, str] = {}
 
 
@@ -57,8 +61,8 @@ def materialize(df: DataFrame, label: str, partition_by: tuple[str, ...] = ()) -
     """
     spark = df.sparkSession
     path = scratch_path(spark, label)
-    writer = df.write
     if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    writer.parquet(path)
+        df.coalesce(PARTITIONED_WRITERS).write.partitionBy(*partition_by).parquet(path)
+    else:
+        df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
