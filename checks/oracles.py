@@ -33,6 +33,18 @@ def _line(columns=COLUMNS) -> str:
     return " || ',' || ".join(f"coalesce(CAST({name} AS VARCHAR), 'null')" for name in columns)
 
 
+def _quoted_line() -> str:
+    """Fields that hold a comma, a quote or a line break are quoted, quotes inside doubled."""
+
+    def field(name: str) -> str:
+        if name not in _TEXTS:
+            return f"CAST({name} AS VARCHAR)"
+        doubled = f"""'"' || replace({name}, '"', '""') || '"'"""
+        return f"CASE WHEN regexp_matches({name}, '[,\"\r\n]') THEN {doubled} ELSE {name} END"
+
+    return " || ',' || ".join(map(field, COLUMNS))
+
+
 def _trimmed(value: str) -> str:
     return rf"regexp_replace(regexp_replace({value}, '^[\x00-\x20]+', ''), '[\x00-\x20]+$', '')"
 
@@ -236,6 +248,7 @@ ORACLES: dict[str, str] = {
     "read_batch": _with(_CLEAN, _shifted(1)),
     "stream_ingest": _CLEAN,
     "encode_lines": _lines(_GAPPED),
+    "encode_csv_safe": f"SELECT {_quoted_line()} AS value FROM ({catalogue_sql(RAW)})",
     "csv_round_trip": catalogue_sql(RAW),
     "text_dump": "SELECT "
     + " || ',' || ".join(f"CAST({'NOT brand' if c == 'brand' else c} AS VARCHAR)" for c in COLUMNS)

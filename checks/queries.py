@@ -506,7 +506,6 @@ QUERIES: dict[str, Query] = {
         category_stop,
         category_counts,
         category_tfidf,
-        feature_vectors,
         random_split,
         hash_split,
         cv_fold_sizes,
@@ -514,9 +513,6 @@ QUERIES: dict[str, Query] = {
         linreg_enet_1d,
         cv_metrics_line,
         predictions_line,
-        linreg_fit,
-        cv_metrics,
-        predictions,
         regression_metrics,
         regression_metrics_by,
         describe_label,
@@ -525,5 +521,10 @@ QUERIES: dict[str, Query] = {
         result_top100,
         chart_series,
         chart_bins,
+        # The wide vectors last: they need the most memory.
+        feature_vectors,
+        linreg_fit,
+        cv_metrics,
+        predictions,
     )
 }
