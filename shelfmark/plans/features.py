@@ -105,10 +105,11 @@ def _fit_text(
             )
         )
     entries = kept.select(entry.alias("entry"), "df")
-    # One bounded frame of one-term rows: the counter keeps them all, and hands
-    # the list to the JVM without a call per term.
+    # One bounded frame of one-term rows: the counter keeps them all, and the list
+    # reaches the JVM without a call per term. One partition of at most `size`
+    # rows, so that equal counts take the same slots in every run.
     counter = CountVectorizer(inputCol=terms, outputCol=feature.counts, vocabSize=size).fit(
-        entries.select(F.array("entry").alias(terms))
+        entries.select(F.array("entry").alias(terms)).coalesce(1)
     )
     containing = dict(entries.toPandas().itertuples(index=False, name=None))
     weights = [math.log((rows + 1) / (containing[entry] + 1)) for entry in counter.vocabulary]

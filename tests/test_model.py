@@ -65,6 +65,12 @@ def test_vectors_carry_no_slot_metadata(whole, model):
     assert features.feature_vectors(whole, model).schema["features"].metadata == {}
 
 
+def test_slots_are_the_same_in_every_run(spark, whole, model):
+    again = features.fit_features(whole.repartition(5))
+    first, second = (sorted(map(tuple, features.slot_names(spark, m).collect()), key=repr) for m in (model, again))
+    assert first == second
+
+
 def test_no_terms_is_an_error(spark):
     df = spark.createDataFrame([(1, "short", "c", *[True] * 10, 5)], CATALOGUE)
     with pytest.raises(ValueError, match="description"):
