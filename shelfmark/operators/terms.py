@@ -22,8 +22,14 @@ BROADCAST_BYTES = 256 << 20
 
 
 def term_rows(df: DataFrame, key: str, terms: str) -> DataFrame:
-    """(key, pos, term): one row per term, in order, from 0."""
-    return df.select(key, F.posexplode(terms).alias("pos", "term"))
+    """(key, pos, term): one row per term, in order, from 0.
+
+    The outer form, then a filter: from the inner form the optimizer infers a
+    test of the array's size and pushes it to the scan, which computes every
+    array twice.
+    """
+    exploded = df.select(key, F.posexplode_outer(terms).alias("pos", "term"))
+    return exploded.where(F.col("pos").isNotNull())
 
 
 def term_counts(df: DataFrame, key: str, terms: str) -> DataFrame:
