@@ -8,36 +8,42 @@ a task holds one shard at a time; a longer document is a shard of its own.
 from __future__ import annotations
 
 import os
-import unicodedata
+import re
+import struct
 import zlib
 
 import numpy as np
 import pyarrow as pa
-import regex
 from pyarrow import fs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfmark.llm.batches import pieces
+from shelfmark.llm.merges import byte_letters
+from shelfmark.llm.tokens import Words, byte_view, classes
 from shelfmark.llm.wavelet import Shard, WaveletMatrix
 from shelfmark.session import materialize, scratch_path
 
 END_ID = 1
 SHARD_TOKENS = 2_000_000
-#: Chunks whose ids a Python worker remembers.
-REMEMBERED = 400_000
-_ODD = regex.compile("[\x1c-\x1fΣ]|<\\|")
+#: Chunks whose ids a Python worker remembers, twice: the latest and those before.
+REMEMBERED = 500_000
+#: All but ASCII white space.
+CHUNKS = classes(chunks="".join(chr(b) for b in range(256) if chr(b) not in " \t\n\x0b\x0c\r"))
+#: Letters that the vocabulary's normaliser at most lower-cases, and marks that are a word of their own after them.
+_PLAIN = re.compile("([a-zß-öø-ÿ]+)([.,;:!?*#%&$]*)")
+_FOLD = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 _encoders: dict[str, LibraryEncoder] = {}
 
 
 class LibraryEncoder:
-    """The tokenizers library behind a memory of chunks between white space.
+    """The tokenizers library behind a memory of chunks between ASCII white space.
 
-    Words of the vocabulary never cross white space, so equal chunks have equal
-    ids and each is encoded once while it is remembered. A text in which that
-    could fail (special tokens, control characters that only some call white
-    space, letters that lower-case by context or compose) goes to the library whole.
+    Neither words nor special tokens of the vocabulary cross white space, so
+    equal chunks have equal ids and each goes to the library once while it is
+    remembered. Chunks are named by 64-bit hashes. A-Z count as a-z, as the
+    vocabulary has it, unless a special token might stand in the texts.
     """
 
     def __init__(self, vocabulary: str):
@@ -48,31 +54,74 @@ class LibraryEncoder:
         self.library.no_truncation()
         self.library.no_padding()
         self.bits = max(1, int(self.library.get_vocab_size(with_added_tokens=True) - 1).bit_length())
-        self.known: dict[str, bytes] = {}
+        self.known: dict[int, bytes] = {}
+        self.older: dict[int, bytes] = {}
+        self.words: dict[str, bytes] = {}
+        letters = byte_letters()
+        self.spelled = {c: "".join(letters[b] for b in chr(c).encode()) for c in range(0x80, 0x100)}
 
     def _library(self, texts: list[str]) -> list[bytes]:
         found = self.library.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(e.ids, "<u4").tobytes() for e in found]
 
-    @staticmethod
-    def chunks(text: str) -> list[str] | None:
-        """Lower-cased chunks of a text that may be encoded apart, else None."""
-        if _ODD.search(text) or not unicodedata.is_normalized("NFC", text):
-            return None
-        lower = text.lower()
-        return lower.split() if unicodedata.is_normalized("NFC", lower) else None
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """Little-endian 32-bit ids of each text."""
-        parted = [self.chunks(t) for t in texts]
-        wanted = set().union(*(c for c in parted if c))
-        if len(self.known) > REMEMBERED:
-            self.known = {c: self.known[c] for c in wanted & self.known.keys()}
-        new = list(wanted - self.known.keys())
-        self.known.update(zip(new, self._library(new)))
-        get = self.known.__getitem__
-        whole = iter(self._library([t for t, c in zip(texts, parted) if c is None]))
-        return [next(whole) if c is None else b"".join(map(get, c)) for c in parted]
+    def _word(self, word: str) -> bytes:
+        """Ids of a word of plain letters, which needs nothing but the library's merges."""
+        spelled = word if word.isascii() else word.translate(self.spelled)
+        found = [t.id for t in self.library.model.tokenize(spelled)]
+        self.words[word] = ids = struct.pack(f"<{len(found)}I", *found)
+        return ids
+
+    def _new(self, chunks: list[str]) -> list[bytes]:
+        """Ids of chunks not met of late: plain letters and the marks after them apart, all else as it is."""
+        if len(self.words) > REMEMBERED:
+            self.words = {}
+        known, odd, out = self.words, [], []
+        for i, chunk in enumerate(chunks):
+            plain = _PLAIN.fullmatch(chunk)
+            if plain is None:
+                odd.append(i)
+                out.append(b"")
+                continue
+            word, marks = plain.groups()
+            ids = known.get(word) or self._word(word)
+            out.append(ids + (known.get(marks) or self._word(marks)) if marks else ids)
+        for i, ids in zip(odd, self._library([chunks[i] for i in odd])):
+            out[i] = ids
+        return out
+
+    def encode(self, texts: pa.Array, end: int) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all texts in order, each with `end` after it; ids per text)."""
+        raw, _ = byte_view(texts)
+        special = b"<|" in raw.tobytes()
+        words = Words(texts, CHUNKS, fold=not special)
+        names, first, place = np.unique(words.hash, return_index=True, return_inverse=True)
+        keys = names.tolist()
+        ids = list(map(self.known.get, keys))
+        new = [i for i, found in enumerate(ids) if found is None]
+        if new:
+            if len(self.known) > REMEMBERED:
+                self.known, self.older = {}, self.known
+            unseen = []
+            for i in new:
+                ids[i] = self.older.get(keys[i])
+                if ids[i] is None:
+                    unseen.append(i)
+            spans = zip(words.starts[first[unseen]].tolist(), words.ends[first[unseen]].tolist())
+            data = raw.tobytes() if special else raw.tobytes().translate(_FOLD)
+            chunks = [data[a:b].decode() for a, b in spans]
+            for i, found in zip(unseen, self._new(chunks)):
+                ids[i] = found
+            self.known.update((keys[i], ids[i]) for i in new)
+        sizes = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+        offsets = np.cumsum(sizes) - sizes
+        flat = np.frombuffer(b"".join(ids), "<u4")
+        n = sizes[place]
+        counts = np.bincount(words.doc, weights=n, minlength=words.docs).astype(np.int64) + 1
+        before = np.cumsum(n) - n
+        steps = np.arange(int(n.sum()))
+        out = np.full(len(steps) + words.docs, end, "<u4")
+        out[steps + np.repeat(words.doc, n)] = flat[steps + np.repeat(offsets[place] - before, n)]
+        return out, counts
 
 
 def encoder(vocabulary: str) -> LibraryEncoder:
@@ -97,31 +146,30 @@ def write(docs: DataFrame, vocabulary: str, root: str, text_col: str = "text", i
         part = TaskContext.get().partitionId()
         store, folder = fs.FileSystem.from_uri(root)
         store.create_dir(folder, recursive=True)
-        ids, lengths, docs_held, held, seq = [], [], [], 0, 0
+        ids, lengths, owners, held, seq = [], [], [], 0, 0
 
         def flush():
-            nonlocal ids, lengths, docs_held, held, seq
-            values = np.frombuffer(b"".join(ids), "<u4")
-            shard = Shard(docs_held, np.array(lengths), WaveletMatrix.build(values, encoder(vocabulary).bits))
+            nonlocal ids, lengths, owners, held, seq
+            shard = Shard(owners, np.array(lengths), WaveletMatrix.build(np.concatenate(ids), encoder(vocabulary).bits))
             name = f"part-{part:06d}-{seq:06d}.wm"
             with store.open_output_stream(f"{folder}/_{name}.{TaskContext.get().taskAttemptId()}") as out:
                 out.write(shard.to_bytes())
             store.move(f"{folder}/_{name}.{TaskContext.get().taskAttemptId()}", f"{folder}/{name}")
             row = [[part], [seq], [name], [len(lengths)], [held]]
-            ids, lengths, docs_held, held, seq = [], [], [], 0, seq + 1
+            ids, lengths, owners, held, seq = [], [], [], 0, seq + 1
             return pa.RecordBatch.from_pydict(dict(zip(("part", "seq", "file", "n_docs", "n_tokens"), row)))
 
-        end = np.array([END_ID], "<u4").tobytes()
         for batch in batches:
             for piece in pieces(batch, "text"):
-                for doc_id, raw in zip(piece.column(0).to_pylist(), encoder(vocabulary).encode(piece.column(1).to_pylist())):
-                    n = len(raw) // 4 + 1
+                found, counts = encoder(vocabulary).encode(piece.column(1), END_ID)
+                at = 0
+                for doc_id, n in zip(piece.column(0).to_pylist(), counts.tolist()):
                     if held and held + n > SHARD_TOKENS:
                         yield flush()
-                    ids += (raw, end)
-                    docs_held.append(doc_id)
+                    ids.append(found[at : at + n])
+                    owners.append(doc_id)
                     lengths.append(n)
-                    held += n
+                    held, at = held + n, at + n
         if held:
             yield flush()
 

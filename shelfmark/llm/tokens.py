@@ -64,9 +64,9 @@ def byte_view(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 
 class Words:
-    """Words of a text column: `doc` owns each word, `hash` names it; A-Z count as a-z."""
+    """Words of a text column: `doc` owns each word, `hash` names it; A-Z count as a-z if `fold`."""
 
-    def __init__(self, column: pa.Array, table: np.ndarray = ALNUM_WORDS):
+    def __init__(self, column: pa.Array, table: np.ndarray = ALNUM_WORDS, fold: bool = True):
         raw, bounds = byte_view(column)
         self.docs = len(bounds) - 1
         kind = table[raw]
@@ -79,7 +79,8 @@ class Words:
         self.starts, self.ends = starts[real], ends[real]
         self.doc = np.searchsorted(bounds, self.starts, side="right") - 1
         self.counts = np.bincount(self.doc, minlength=self.docs)
-        values = (_LOWER[raw].astype(np.uint64) + np.uint64(1)) * _table("up", _BASE, len(raw))[: len(raw)]
+        raw = _LOWER[raw] if fold else raw
+        values = (raw.astype(np.uint64) + np.uint64(1)) * _table("up", _BASE, len(raw))[: len(raw)]
         sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(values, dtype=np.uint64)])
         self.hash = mix(
             (sums[self.ends] - sums[self.starts]) * _table("down", _INVERSE, len(raw) + 1)[self.starts]
