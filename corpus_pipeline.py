@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfmark.llm import bpe, decontaminate, neardup, pseudonyms, quality_rules
-from shelfmark.llm.batches import bound_batches, read
+from shelfmark.llm.batches import prepare, read
 from shelfmark.llm.queries import PSEUDONYM_KEY, VOCABULARY
 from shelfmark.session import materialize
 
@@ -19,7 +19,7 @@ COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 def _documents(docs: DataFrame) -> DataFrame:
     """The columns of documents alone; columns that came along are dropped."""
-    bound_batches(docs.sparkSession)
+    prepare(docs.sparkSession)
     return docs.select(*COLUMNS)
 
 

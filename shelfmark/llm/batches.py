@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import tempfile
+import zipfile
 from collections.abc import Callable, Iterable, Iterator
+from pathlib import Path
 
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -12,17 +15,27 @@ from pyspark.sql.types import StructType
 
 BATCH_BYTES_KEY = "spark.sql.execution.arrow.maxBytesPerBatch"
 BATCH_BYTES = 4 << 20
+_shipped: set[str] = set()
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
-    """One of the given tables; Arrow batches of the session are bounded in bytes from here on."""
-    bound_batches(spark)
+    """One of the given tables; the session is prepared for this package's Python from here on."""
+    prepare(spark)
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
-def bound_batches(spark: SparkSession) -> None:
-    """Python workers get at most `BATCH_BYTES` of text at once, however long the texts are."""
+def prepare(spark: SparkSession) -> None:
+    """Python workers find this package, and get at most `BATCH_BYTES` of text at once, however long the texts are."""
     spark.conf.set(BATCH_BYTES_KEY, str(BATCH_BYTES))
+    context = spark.sparkContext
+    if context.applicationId not in _shipped:
+        root = Path(__file__).resolve().parents[2]
+        archive = Path(tempfile.mkdtemp(prefix="shelfmark-")) / "shelfmark_package.zip"
+        with zipfile.ZipFile(archive, "w") as out:
+            for source in sorted((root / "shelfmark").rglob("*.py")):
+                out.write(source, source.relative_to(root))
+        context.addPyFile(str(archive))  # Spark hands it to every executor
+        _shipped.add(context.applicationId)
 
 
 def pieces(batch: pa.RecordBatch, column: str, limit: int = 2 << 20) -> Iterator[pa.RecordBatch]:

@@ -9,10 +9,11 @@ make candidates, and each candidate is verified by the similarity itself.
 
 Texts with equal words are one node. In a bucket every node is verified against
 the least one; the links found give first classes. Buckets that still hold
-several classes are then gone through pair by pair across classes, in blocks of
-bounded size, by the agreement of signatures, and what passes is verified too.
-So no link that shares a bucket is lost, and a group of thousands of copies
-costs its size and not its square.
+several classes are then gone through across classes, in blocks of bounded
+size: the pairs whose signatures agree enough are verified, the most promising
+first, and classes that a link has joined are one from there on. Only links are
+given out. So no link that joins classes is lost, and a group of thousands of
+copies gives as many rows as it has members and not their square.
 """
 
 from __future__ import annotations
@@ -37,7 +38,7 @@ BANDS, ROWS = 40, 6
 COMPONENTS = BANDS * ROWS
 #: Agreeing components below which a pair of similarity 0.8 falls once in three million (five deviations).
 AGREEING = int(COMPONENTS * (SIMILARITY - 5 * (SIMILARITY * (1 - SIMILARITY) / COMPONENTS) ** 0.5))
-#: Nodes of a bucket that one cell of cross-class pairs takes from each side.
+#: Nodes of a bucket that one cell takes from each side.
 CELL = 1_500
 #: Above so many ids a join goes by shuffle and not by broadcast.
 BROADCAST_IDS = 4_000_000
@@ -171,53 +172,101 @@ def _texts(docs: DataFrame, pairs: DataFrame, text_col: str, id_col: str) -> Dat
     return materialize(found.groupBy("doc_id").agg(F.min("text").alias("text")), "neardup-texts")
 
 
-def _cross_pairs(rows: DataFrame) -> DataFrame:
-    """Pairs of different classes in a bucket that agree in `AGREEING` components; rows: (key, node, root, signs, n)."""
+def _shingles(docs: DataFrame, nodes: DataFrame, text_col: str, id_col: str) -> DataFrame:
+    """(node, element, weight): the weighted shingles of the given nodes as bytes."""
+    texts = docs.select(F.col(id_col).cast("long").alias("node"), F.col(text_col).alias("text")).where("text IS NOT NULL")
+    texts = texts.join(bounded_broadcast(nodes, BROADCAST_IDS), "node").groupBy("node").agg(F.min("text").alias("text"))
+
+    def run(batches):
+        for batch in batches:
+            for piece in pieces(batch, "text"):
+                owner, element, weight, words = weighted_shingles(piece.column(1))
+                ends = np.cumsum(np.bincount(owner, minlength=words.docs))[:-1]
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        piece.column(0),
+                        pa.array([e.tobytes() for e in np.split(element, ends)], pa.binary()),
+                        pa.array([w.astype(np.float32).tobytes() for w in np.split(weight, ends)], pa.binary()),
+                    ],
+                    names=["node", "element", "weight"],
+                )
+
+    return texts.mapInArrow(run, "node long, element binary, weight binary")
+
+
+class _Cell:
+    """Nodes of one bucket, or of two blocks of a large one, and the classes they are in."""
+
+    def __init__(self):
+        self.rows: list[tuple] = []
+
+    def links(self) -> set[tuple[int, int]]:
+        """Verified pairs that join classes; once joined, two classes are not compared any more.
+
+        A pair is looked at in the first band that it shares, the most promising first.
+        """
+        left, right, band, node, root, signs, element, weight = map(list, zip(*self.rows))
+        signs = np.frombuffer(b"".join(signs), np.uint8).reshape(-1, COMPONENTS)
+        names = {r: i for i, r in enumerate(dict.fromkeys(root))}
+        group = np.array([names[r] for r in root])
+        right = np.array(right)
+        sets: dict[int, tuple] = {}
+
+        def shingles(i):
+            if i not in sets:
+                sets[i] = (np.frombuffer(element[i], np.uint64), np.frombuffer(weight[i], np.float32).astype(np.float64))
+            return sets[i]
+
+        found = set()
+        for k in np.flatnonzero(left):
+            others = np.flatnonzero(right & (group != group[k]))
+            if not len(others):
+                continue
+            same = signs[others] == signs[k]
+            agreeing = same.sum(axis=1)
+            near = agreeing >= AGREEING
+            if not near.any():
+                continue
+            first = same[near].reshape(-1, BANDS, ROWS).all(axis=2).argmax(axis=1) == band[k]
+            others, agreeing = others[near][first], agreeing[near][first]
+            for x in others[np.argsort(-agreeing, kind="stable")]:
+                if group[x] != group[k] and similarity(shingles(k), shingles(x)) >= SIMILARITY - 1e-12:
+                    found.add((min(node[k], node[x]), max(node[k], node[x])))
+                    group[group == group[x]] = group[k]
+        return found
+
+
+def _cross_links(rows: DataFrame) -> DataFrame:
+    """Links (a, b) between the classes that share a bucket; rows: (band, key, node, root, n, signs, element, weight).
+
+    A bucket of more than `CELL` nodes is dealt into blocks, and each pair of
+    blocks is a cell of its own, so no task holds a whole bucket.
+    """
     cells = F.ceil(F.col("n") / CELL).cast("long")
     dealt = rows.withColumn("own", F.pmod(F.xxhash64("node"), cells)).withColumn(
         "other", F.explode(F.sequence(F.lit(0), cells - 1))
     )
-    dealt = dealt.select(
-        "key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"),
-        (F.col("own") <= F.col("other")).alias("left"), (F.col("own") >= F.col("other")).alias("right"),
-        "node", "root", "signs",
-    ).repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
-
-    def pairs_of(cell):
-        signs = np.frombuffer(b"".join(cell["signs"]), np.uint8).reshape(-1, COMPONENTS)
-        node, root = np.array(cell["node"]), np.array(cell["root"])
-        left, right = np.flatnonzero(cell["left"]), np.flatnonzero(cell["right"])
-        out = set()
-        for k in left:
-            others = right[(root[right] != root[k])]
-            near = others[(signs[others] == signs[k]).sum(axis=1) >= AGREEING]
-            out.update((min(node[k], x), max(node[k], x)) for x in node[near])
-        return out
+    content = ["left", "right", "band", "node", "root", "signs", "element", "weight"]
+    dealt = dealt.withColumns({
+        "i": F.least("own", "other"), "j": F.greatest("own", "other"),
+        "left": F.col("own") <= F.col("other"), "right": F.col("own") >= F.col("other"),
+    })
+    dealt = dealt.select("key", "i", "j", *content).repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
 
     def run(batches):
-        at, cell = None, None
-        found: set = set()
-
-        def batch_of(pairs):
-            a, b = zip(*pairs)
-            return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
-
+        at, cell, found = None, _Cell(), set()
         for batch in batches:
-            table = batch.to_pydict()
-            for row in zip(*(table[c] for c in ("key", "i", "j", "left", "right", "node", "root", "signs"))):
+            columns = [batch.column(c).to_pylist() for c in range(batch.num_columns)]
+            for row in zip(*columns):
                 if row[:3] != at:
-                    if cell:
-                        found |= pairs_of(cell)
-                    at, cell = row[:3], {c: [] for c in ("left", "right", "node", "root", "signs")}
-                for c, value in zip(("left", "right", "node", "root", "signs"), row[3:]):
-                    cell[c].append(value)
-            if len(found) > 50_000:
-                yield batch_of(found)
-                found = set()
-        if cell:
-            found |= pairs_of(cell)
-        if found:
-            yield batch_of(found)
+                    if len(cell.rows) > 1:
+                        found |= cell.links()
+                    at, cell = row[:3], _Cell()
+                cell.rows.append(row[3:])
+        if len(cell.rows) > 1:
+            found |= cell.links()
+        a, b = zip(*found) if found else ((), ())
+        yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
     return dealt.mapInArrow(run, "a long, b long").distinct()
 
@@ -243,9 +292,9 @@ def classes(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id") ->
         lambda i: F.conv(F.hex(F.substring("bands", i * 8 + 1, 8)), 16, -10).cast("long"),
     )
     bucket = Window.partitionBy("key")
-    buckets = nodes.select("node", F.explode(keys).alias("key"))
+    buckets = nodes.select("node", F.posexplode(keys).alias("band", "key"))
     buckets = buckets.select(
-        "key", "node", F.min("node").over(bucket).alias("least"), F.count("node").over(bucket).alias("n")
+        "band", "key", "node", F.min("node").over(bucket).alias("least"), F.count("node").over(bucket).alias("n")
     ).where("n > 1")
     buckets = materialize(buckets, "neardup-buckets")
 
@@ -254,13 +303,13 @@ def classes(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id") ->
     links = materialize(_verify(stars, _texts(docs, stars, text_col, id_col)), "neardup-links")
     roots = components(links)
 
-    rooted = buckets.join(roots, "node", "left").select("key", "node", F.coalesce("root", "node").alias("root"), "n")
+    rooted = buckets.join(roots, "node", "left").select("band", "key", "node", F.coalesce("root", "node").alias("root"), "n")
     several = rooted.groupBy("key").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x != y").select("key")
-    open_rows = rooted.join(several, "key").join(nodes.select("node", "signs"), "node")
-    cross = _cross_pairs(open_rows.select("key", "node", "root", "signs", "n"))
-    cross = materialize(cross.join(stars, ["a", "b"], "left_anti"), "neardup-cross")
-    if cross.limit(1).count():
-        more = materialize(_verify(cross, _texts(docs, cross, text_col, id_col)), "neardup-links")
+    open_rows = materialize(rooted.join(several, "key"), "neardup-open")
+    if open_rows.limit(1).count():
+        open_nodes = materialize(open_rows.select("node").distinct(), "neardup-nodes")
+        known = nodes.select("node", "signs").join(_shingles(docs, open_nodes, text_col, id_col), "node")
+        more = materialize(_cross_links(open_rows.join(known, "node")), "neardup-links")
         if more.limit(1).count():
             roots = components(links.unionByName(more))
 
