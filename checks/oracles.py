@@ -5,7 +5,6 @@ from __future__ import annotations
 from checks.tables import DIRTY, RAW, catalogue_sql, gapped_sql, producer_sql
 from shelfmark.functions.codec import CAPTIONS
 from shelfmark.functions.stop_words import ENGLISH
-from shelfmark.operators.terms import VOCABULARY_SIZE
 from shelfmark.schema import COLUMNS, FLAGS
 
 _NUMBERS = ("id", "eclassnumber")
@@ -73,6 +72,9 @@ def _parsed(source: str) -> str:
     return f"SELECT {fields} FROM (SELECT string_split({_line()}, ',') AS f FROM ({source}))"
 
 
+# The stage's own default, which the top-k queries ask for.
+VOCABULARY_SIZE = 262_144
+
 _BLANK = r"[ \t\n\x0B\f\r]"
 _WORDS = ", ".join("('" + word.replace("'", "''") + "')" for word in ENGLISH)
 
@@ -112,8 +114,11 @@ def _tfidf(facts: str) -> str:
     )
 
 
-def _feature_slots() -> str:
-    """Long form of the assembled vector: scalars, description weights, category weights."""
+def _feature_slots(buckets: dict[str, int] | None = None) -> str:
+    """Long form of the assembled vector: scalars, description weights, category weights.
+
+    With `buckets` a term stands for the first 32 bits of its MD5, modulo the column's number.
+    """
     scalars = {"id": "id", "description_length": "length(description)", **{f: f for f in FLAGS}}
     parts = [
         f"SELECT id, '{name}' AS part, CAST(NULL AS VARCHAR) AS term, CAST({value} AS DOUBLE) AS value"
@@ -123,6 +128,11 @@ def _feature_slots() -> str:
 
     def weights(column: str, n: int) -> str:
         body = f"SELECT id, '{column}' AS part, term, {_WEIGHT} AS value FROM tf JOIN v USING (term), m"
+        if buckets:
+            hashed = f"CAST(CAST(('0x' || substr(md5(term), 1, 8)) AS BIGINT) % {buckets[column]} AS VARCHAR)"
+            body = f"""SELECT id, '{column}' AS part, term, {_WEIGHT} AS value
+FROM (SELECT id, {hashed} AS term, CAST(sum(tf) AS BIGINT) AS tf FROM tf GROUP BY ALL)
+JOIN (SELECT {hashed} AS term, count(DISTINCT id) AS df FROM tf GROUP BY ALL) USING (term), m"""
         return f"SELECT * FROM ({_text(column, n, body)})"
 
     parts += [weights("description", 5), weights("category", 1)]
@@ -152,7 +162,8 @@ _SURROGATE = """SELECT l_extendedprice AS eclassnumber, l_quantity * 2000 AS pre
 _ERRORS = """round(avg(abs(eclassnumber - prediction)), 4) AS mae,
   round(avg((eclassnumber - prediction) ** 2), 4) AS mse,
   round(sqrt(avg((eclassnumber - prediction) ** 2)), 4) AS rmse,
-  round(1 - sum((eclassnumber - prediction) ** 2) / (var_pop(eclassnumber) * count(*)), 4) AS r2"""
+  round(1 - sum((eclassnumber - prediction) ** 2) / (var_pop(eclassnumber) * count(*)), 4) AS r2,
+  count(*) AS n_used, CAST(0 AS BIGINT) AS n_left_out"""
 
 _RESULT = f"""SELECT eclassnumber, CAST(trunc(prediction) AS INT) AS prediction FROM ({_SURROGATE})"""
 
@@ -288,6 +299,8 @@ ORACLES: dict[str, str] = {
     "snapshot_insert": f"{_CLEAN} UNION ALL SELECT {_INSERTED} FROM supplier",
     "snapshot_update": f"SELECT {_UPDATED} FROM ({_GAPPED})",
     "snapshot_delete": f"SELECT * FROM ({_GAPPED}) WHERE (eclassnumber >= 2000000) IS NOT TRUE",
+    "latest_rows_gapped": f"""SELECT * FROM ({_GAPPED}) WHERE id IS NOT NULL
+UNION ALL SELECT g.* FROM ({_GAPPED}) g, range(2) WHERE id IS NULL""",
     "latest_snapshot": """SELECT user_id, event_id, event_type, value FROM events
 QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1""",
     "latest_whole_snapshot": "SELECT "
@@ -311,11 +324,15 @@ QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC)
     "category_stop": _text("category", 1, "SELECT id, CAST(pos AS INT) AS pos, w AS term FROM k"),
     "category_counts": _text("category", 1, "SELECT id, term, tf FROM tf"),
     "category_tfidf": _text("category", 1, _tfidf("v")),
-    "feature_vectors": _feature_slots(),
+    "feature_vectors": _feature_slots({"description": 131_072, "category": 4_096}),
+    "feature_vectors_topk": _feature_slots(),
     "random_split": _with(
         _CLEAN, "SELECT id, eclassnumber, count(*) AS n FROM eclasses GROUP BY id, eclassnumber"
     ),
     "hash_split": _with(_CLEAN, f"SELECT id, split FROM ({_SPLIT})"),
+    "hash_split_gapped": f"""SELECT CASE WHEN id IS NULL THEN 'rejected' ELSE split END AS split,
+  CASE WHEN id IS NOT NULL THEN fold END AS fold, count(*) AS n
+FROM ({_with(_GAPPED, _SPLIT)}) GROUP BY ALL""",
     "cv_fold_sizes": _with(
         _CLEAN,
         f"SELECT fold, count(*) AS n FROM ({_SPLIT}) WHERE split = 'train' GROUP BY fold",
@@ -325,6 +342,15 @@ QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC)
     "cv_metrics_line": _CV_LINE,
     "predictions_line": _PREDICTED_LINE,
     "regression_metrics": f"SELECT {_ERRORS} FROM ({_SURROGATE})",
+    "metrics_of_predictions": f"SELECT {_ERRORS} FROM ({_PREDICTED_LINE})",
+    "report_of_predictions": f"""SELECT eclassnumber, CAST(trunc(prediction) AS INT) AS prediction
+FROM ({_PREDICTED_LINE}) ORDER BY eclassnumber, prediction LIMIT 100""",
+    "linreg_fit": f"""SELECT id, split, eclassnumber, CAST(0 AS DOUBLE) AS difference
+FROM ({_with(_CLEAN, _SPLIT)})""",
+    "regression_metrics_gapped": f"""SELECT * EXCLUDE (total) REPLACE (total - n_used AS n_left_out) FROM (
+  SELECT {_ERRORS}, any_value(total) AS total
+  FROM (SELECT eclassnumber, length(description) * 1000 AS prediction, count(*) OVER () AS total FROM ({_GAPPED}))
+  WHERE eclassnumber IS NOT NULL AND prediction IS NOT NULL)""",
     "regression_metrics_by": f"SELECT l_returnflag, {_ERRORS} FROM ({_SURROGATE})"
     " GROUP BY l_returnflag",
     "describe_label": _with(_CLEAN, f"SELECT {_STATISTICS} FROM eclasses"),

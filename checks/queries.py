@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import pandas as pd
 from pyspark.ml.regression import LinearRegression
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -250,6 +251,15 @@ def latest_whole_snapshot(spark, sf_dir):
     return snapshot.latest_snapshot(spark.read.parquet(path)).drop("snapshot_id")
 
 
+def latest_rows_gapped(spark, sf_dir):
+    """The newest row of each known id, and every row without one."""
+    return snapshot.latest_rows(_twice(gapped(spark, sf_dir)), "id", "version").drop("version")
+
+
+def _twice(frame: DataFrame) -> DataFrame:
+    return frame.withColumn("version", F.explode(F.array(F.lit(1), F.lit(2))))
+
+
 def latest_snapshot(spark, sf_dir):
     events = table(spark, sf_dir, "events").select("user_id", "event_id", "ts", "event_type", "value")
     return snapshot.latest_rows(events, "user_id", "ts", "event_id").drop("ts")
@@ -316,11 +326,20 @@ def category_tfidf(spark, sf_dir):
 
 
 def feature_vectors(spark, sf_dir):
-    """Every non-zero slot of every vector, named by what it holds."""
+    """Every non-zero slot of every vector, terms by bucket."""
+    return _named_slots(spark, sf_dir, None)
+
+
+def feature_vectors_topk(spark, sf_dir):
+    """The same with slots of their own for the most frequent terms, and none for the others."""
+    return _named_slots(spark, sf_dir, 262_144)
+
+
+def _named_slots(spark, sf_dir, vocabulary_size):
     whole = catalogue(spark, sf_dir)
-    model = features.fit_features(whole)
+    model = features.fit_features(whole, vocabulary_size)
     slots = features.vector_slots(features.feature_vectors(whole, model))
-    named = slots.join(F.broadcast(features.slot_names(spark, model)), "slot")
+    named = slots.join(features.slot_names(spark, model), "slot")
     return _rounded(named.drop("slot"), "value")
 
 
@@ -337,6 +356,12 @@ def hash_split(spark, sf_dir):
     return split.with_split(catalogue(spark, sf_dir).select("id")).select("id", "split")
 
 
+def hash_split_gapped(spark, sf_dir):
+    """Rows without id belong to neither part."""
+    rows = split.with_split(gapped(spark, sf_dir).select("id"))
+    return rows.groupBy("split", "fold").agg(F.count(F.lit(1)).alias("n"))
+
+
 def cv_fold_sizes(spark, sf_dir):
     folds = split.with_split(catalogue(spark, sf_dir).select("id")).where("split = 'train'")
     return folds.groupBy("fold").agg(F.count(F.lit(1)).alias("n"))
@@ -380,6 +405,8 @@ def _line_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return materialize(split.with_split(assembled.drop("x")), "line", ("split", "fold"))
 
 
+# Fits at once over these small tables.
+SMALL_FITS = 4
 LINE_PENALTIES = (0.0, 1000.0, 5000.0)
 
 
@@ -394,7 +421,7 @@ def cv_metrics_line(spark, sf_dir):
 def predictions_line(spark, sf_dir):
     """Test rows scored by the model that tuning picks, with one feature."""
     rows = _line_table(spark, sf_dir)
-    tuned = training.tune(rows.where("split = 'train'"), LINE_PENALTIES)
+    tuned = training.tune(rows.where("split = 'train'"), LINE_PENALTIES, parallelism=SMALL_FITS)
     scored = tuned.model.transform(rows.where("split = 'test'"))
     return _rounded(scored.select("id", "eclassnumber", "prediction"), "prediction", places=4)
 
@@ -405,23 +432,33 @@ def _feature_table(spark, sf_dir):
 
 
 def linreg_fit(spark, sf_dir):
-    """One wide fit, scored on all rows."""
+    """One wide fit, scored twice: by the model, and from its coefficients joined to the slots of each row."""
     vectors = _feature_table(spark, sf_dir)
     model = training.regression(training.PENALTIES[1]).fit(vectors.where("split = 'train'"))
-    return model.transform(vectors).select("id", "split", "eclassnumber", "prediction")
+    weights = pd.DataFrame({"weight": model.coefficients.toArray()}).rename_axis("slot").reset_index()
+    weights = spark.createDataFrame(weights[weights["weight"] != 0], "slot int, weight double")
+    sums = (
+        features.vector_slots(vectors).join(weights, "slot").groupBy("id")
+        .agg(F.sum(F.col("value") * F.col("weight")).alias("dot"))
+    )
+    scored = model.transform(vectors).join(sums, "id", "left")
+    again = F.coalesce("dot", F.lit(0.0)) + F.lit(float(model.intercept))
+    # without the sign of a negative zero, and relative to labels of millions
+    difference = F.abs(F.round((F.col("prediction") - again) / 1000, 6)).alias("difference")
+    return scored.select("id", "split", "eclassnumber", difference)
 
 
 def cv_metrics(spark, sf_dir):
     """RMSE of every penalty, averaged over the folds."""
     vectors = _feature_table(spark, sf_dir)
-    tuned = training.tune(vectors.where("split = 'train'"))
+    tuned = training.tune(vectors.where("split = 'train'"), parallelism=SMALL_FITS)
     rows = sorted(tuned.averages.items())
     return spark.createDataFrame(rows, "penalty double, rmse double")
 
 
 def predictions(spark, sf_dir):
     """The whole job: the sorted actual-versus-predicted table of the test rows."""
-    return flow.run(catalogue(spark, sf_dir)).result
+    return flow.run(catalogue(spark, sf_dir), parallelism=SMALL_FITS).result
 
 
 def regression_metrics(spark, sf_dir):
@@ -429,6 +466,23 @@ def regression_metrics(spark, sf_dir):
     return _rounded(errors, "mae", "mse", "rmse", "r2", places=4)
 
 
+def metrics_of_predictions(spark, sf_dir):
+    """Errors of a tuned model on its own test rows."""
+    errors = metrics.regression_metrics(predictions_line(spark, sf_dir))
+    return _rounded(errors, "mae", "mse", "rmse", "r2", places=4)
+
+
+def report_of_predictions(spark, sf_dir):
+    """The first hundred rows of the sorted actual-versus-predicted table of that model."""
+    return report.top_rows(report.result_table(predictions_line(spark, sf_dir)))
+
+
+def regression_metrics_gapped(spark, sf_dir):
+    """Errors with rows that lack a label; how many is part of the result."""
+    rows = gapped(spark, sf_dir).withColumn("prediction", F.length("description") * 1000)
+    return _rounded(metrics.regression_metrics(rows), "mae", "mse", "rmse", "r2", places=4)
+
+
 def regression_metrics_by(spark, sf_dir):
     errors = metrics.regression_metrics(_surrogate(spark, sf_dir), by=("l_returnflag",))
     return _rounded(errors, "mae", "mse", "rmse", "r2", places=4)
@@ -492,6 +546,7 @@ QUERIES: dict[str, Query] = {
         snapshot_insert,
         snapshot_update,
         snapshot_delete,
+        latest_rows_gapped,
         latest_snapshot,
         latest_whole_snapshot,
         tokenize,
@@ -508,6 +563,7 @@ QUERIES: dict[str, Query] = {
         category_tfidf,
         random_split,
         hash_split,
+        hash_split_gapped,
         cv_fold_sizes,
         linreg_ols_1d,
         linreg_enet_1d,
@@ -515,6 +571,9 @@ QUERIES: dict[str, Query] = {
         predictions_line,
         regression_metrics,
         regression_metrics_by,
+        regression_metrics_gapped,
+        metrics_of_predictions,
+        report_of_predictions,
         describe_label,
         describe_by_split,
         result_sorted,
@@ -523,6 +582,7 @@ QUERIES: dict[str, Query] = {
         chart_bins,
         # The wide vectors last: they need the most memory.
         feature_vectors,
+        feature_vectors_topk,
         linreg_fit,
         cv_metrics,
         predictions,

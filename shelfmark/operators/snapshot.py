@@ -5,12 +5,15 @@ A predicate or value may be a Column or SQL expression text.
 
 from __future__ import annotations
 
+from threading import Lock
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shelfmark.schema import PRODUCER_COLUMNS
 
 VIEW = "eclasses"
+_view = Lock()
 
 
 def _expression(value: Column | str) -> Column:
@@ -18,9 +21,13 @@ def _expression(value: Column | str) -> Column:
 
 
 def query(snapshot: DataFrame, sql: str) -> DataFrame:
-    """Run any SQL over the snapshot, visible as `eclasses`."""
-    snapshot.createOrReplaceTempView(VIEW)
-    return snapshot.sparkSession.sql(sql)
+    """Run any SQL over the snapshot, visible as `eclasses` while the text is read and no longer."""
+    with _view:
+        snapshot.createOrReplaceTempView(VIEW)
+        try:
+            return snapshot.sparkSession.sql(sql)
+        finally:
+            snapshot.sparkSession.catalog.dropTempView(VIEW)
 
 
 def select_rows(snapshot: DataFrame, sql: str) -> DataFrame:
@@ -66,11 +73,13 @@ def delete(snapshot: DataFrame, where: Column | str = "true") -> DataFrame:
 def latest_rows(df: DataFrame, key: str, *newest: str) -> DataFrame:
     """One whole row per key: the one with the greatest `newest` columns, in that order.
 
-    An aggregate rather than a window, so that copies of one key are reduced
+    A row without a key is no copy of another, so all such rows are kept. An
+    aggregate rather than a window, so that copies of one key are reduced
     before the shuffle and no task holds all of them.
     """
     row = F.max_by(F.struct(*df.columns), F.struct(*newest)).alias("row")
-    return df.groupBy(key).agg(row).select("row.*")
+    keyed = df.where(F.col(key).isNotNull()).groupBy(key).agg(row).select("row.*")
+    return keyed.unionByName(df.where(F.col(key).isNull()))
 
 
 def versioned(snapshot: DataFrame, number: int) -> DataFrame:

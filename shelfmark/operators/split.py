@@ -22,10 +22,15 @@ def fold_of(key: Column, folds: int = FOLDS) -> Column:
 
 
 def with_split(df: DataFrame, key: str = "id", folds: int = FOLDS) -> DataFrame:
-    """Add `split` ('train' or 'test') and `fold`; a narrow step that no repartition changes."""
+    """Add `split` ('train' or 'test') and `fold`; a narrow step that no repartition changes.
+
+    A row without a key belongs to neither part: its split is 'rejected' and its fold NULL.
+    """
     return df.withColumns(
         {
-            "split": F.when(in_train(F.col(key)), F.lit("train")).otherwise(F.lit("test")),
+            "split": F.when(F.col(key).isNull(), F.lit("rejected"))
+            .when(in_train(F.col(key)), F.lit("train"))
+            .otherwise(F.lit("test")),
             "fold": fold_of(F.col(key), folds),
         }
     )

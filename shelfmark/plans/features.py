@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfmark.functions.stop_words import ENGLISH
-from shelfmark.operators.terms import BROADCAST_BYTES, VOCABULARY_SIZE, term_stats, vocabulary
+from shelfmark.operators.terms import doc_freq, term_stats, vocabulary
 from shelfmark.schema import FLAGS
 from shelfmark.session import materialize
 
@@ -47,6 +47,9 @@ CATEGORY = TextFeature(
     "category", 1, "token_category", "category_stop", "category_stop", "count_vec_cat", "tf-idf-cat"
 )
 
+# Buckets of each text column: the width of its part of the vector, whatever the number of terms.
+BUCKETS = {"description": 1 << 17, "category": 1 << 12}
+
 # The scalar slots of the feature vector, and the whole vector in order.
 SCALARS = ["id", "description_length", *FLAGS]
 ASSEMBLED = ["id", "description_length", DESCRIPTION.weights, CATEGORY.weights, *FLAGS]
@@ -79,58 +82,78 @@ def term_stages(feature: TextFeature) -> list[Transformer]:
     return stages
 
 
-def _fit_text(
-    df: DataFrame, feature: TextFeature, rows: int, size: int, driver_bytes: int
-) -> list[Transformer]:
-    """The stages that turn one text column into a TF-IDF vector.
+def bucket_of(term: str, buckets: int) -> str:
+    """SQL for the bucket of a term: the first 32 bits of its MD5, modulo `buckets`."""
+    return f"CAST(conv(substring(md5({term}), 1, 8), 16, 10) AS BIGINT) % {buckets}"
+
+
+def bucket_terms(df: DataFrame, feature: TextFeature, buckets: int) -> DataFrame:
+    """(bucket, term, df): which terms a bucket slot stands for; a table, since it grows with the texts."""
+    stats = term_stats(PipelineModel(term_stages(feature)).transform(without_gaps(df)), feature.terms)
+    return stats.select(F.expr(bucket_of("term", buckets)).alias("bucket"), "term", "df")
+
+
+def _counter(entries: DataFrame, terms: str, feature: TextFeature, size: int) -> CountVectorizerModel:
+    """A counter of exactly the given entries.
 
-    One distributed pass counts the terms. Only the vocabulary, at most `size`
-    rows, reaches the driver; document frequencies come with it, so weights need
-    no second pass. When the vocabulary's text is measured as too large for the
-    driver, terms are replaced by their MD5, which bounds an entry at 32 bytes.
+    A bounded frame of one-term rows: the counter keeps them all, and the list
+    reaches the JVM without a call per term. One partition of at most `size`
+    rows, so that equal counts take the same slots in every run.
     """
+    rows = entries.select(F.array("entry").alias(terms)).coalesce(1)
+    return CountVectorizer(inputCol=terms, outputCol=feature.counts, vocabSize=size).fit(rows)
+
+
+def _scaler(counter: CountVectorizerModel, containing: dict, rows: int, feature: TextFeature) -> Transformer:
+    weights = [math.log((rows + 1) / (containing.get(entry, 0) + 1)) for entry in counter.vocabulary]
+    return ElementwiseProduct(
+        scalingVec=Vectors.dense(weights), inputCol=feature.counts, outputCol=feature.weights
+    )
+
+
+def _fit_buckets(df: DataFrame, feature: TextFeature, rows: int, buckets: int) -> list[Transformer]:
+    """TF-IDF over buckets of terms: no term is left out, and the driver holds `buckets` numbers."""
+    column = f"{feature.terms}_bucket"
+    statement = f"transform({feature.terms}, t -> CAST({bucket_of('t', buckets)} AS STRING)) AS {column}"
+    stages = [*term_stages(feature), SQLTransformer(statement=f"SELECT *, {statement} FROM __THIS__")]
+    found = doc_freq(PipelineModel(stages).transform(df), column).toPandas()
+    names = df.sparkSession.range(buckets).select(F.col("id").cast("string").alias("entry"))
+    counter = _counter(names, column, feature, buckets)
+    return [*stages, counter, _scaler(counter, dict(zip(found["term"], found["df"])), rows, feature)]
+
+
+def _fit_top(df: DataFrame, feature: TextFeature, rows: int, size: int) -> list[Transformer]:
+    """TF-IDF over the `size` most frequent terms, which alone reach the driver."""
     stages = term_stages(feature)
     stats = term_stats(PipelineModel(stages).transform(df), feature.terms)
-    kept = materialize(vocabulary(stats, size), "vocabulary")
-    text_bytes = kept.agg(F.sum(F.octet_length("term"))).first()[0]
-    if text_bytes is None:
+    kept = materialize(vocabulary(stats, size), "vocabulary").select(F.col("term").alias("entry"), "df")
+    containing = dict(kept.toPandas().itertuples(index=False, name=None))
+    if not containing:
         raise ValueError(f"no terms in column {feature.column!r}")
-    terms, entry = feature.terms, F.col("term")
-    if text_bytes > driver_bytes:
-        terms, entry = f"{feature.terms}_digest", F.md5("term")
-        stages.append(
-            SQLTransformer(
-                statement=f"SELECT *, transform({feature.terms}, t -> md5(t)) AS {terms} "
-                "FROM __THIS__"
-            )
-        )
-    entries = kept.select(entry.alias("entry"), "df")
-    # One bounded frame of one-term rows: the counter keeps them all, and the list
-    # reaches the JVM without a call per term. One partition of at most `size`
-    # rows, so that equal counts take the same slots in every run.
-    counter = CountVectorizer(inputCol=terms, outputCol=feature.counts, vocabSize=size).fit(
-        entries.select(F.array("entry").alias(terms)).coalesce(1)
-    )
-    containing = dict(entries.toPandas().itertuples(index=False, name=None))
-    weights = [math.log((rows + 1) / (containing[entry] + 1)) for entry in counter.vocabulary]
-    scaler = ElementwiseProduct(
-        scalingVec=Vectors.dense(weights), inputCol=feature.counts, outputCol=feature.weights
-    )
-    return [*stages, counter, scaler]
+    counter = _counter(kept, feature.terms, feature, size)
+    return [*stages, counter, _scaler(counter, containing, rows, feature)]
 
 
 def fit_features(
     df: DataFrame,
-    vocabulary_size: int = VOCABULARY_SIZE,
+    vocabulary_size: int | None = None,
     drop_id: bool = False,
-    driver_bytes: int = BROADCAST_BYTES,
+    buckets: dict[str, int] | None = None,
 ) -> PipelineModel:
-    """Learn both vocabularies from `df`; the result adds `features` to any catalogue frame."""
+    """Learn both text features from `df`; the result adds `features` to any catalogue frame.
+
+    Every term counts in one of the `buckets` of its column (`BUCKETS` by
+    default). With `vocabulary_size` the most frequent terms have slots of their
+    own instead, and the others none.
+    """
     whole = without_gaps(df)
     rows = whole.count()
     stages: list[Transformer] = []
     for feature in (DESCRIPTION, CATEGORY):
-        stages += _fit_text(whole, feature, rows, vocabulary_size, driver_bytes)
+        if vocabulary_size is None:
+            stages += _fit_buckets(whole, feature, rows, (BUCKETS | (buckets or {}))[feature.column])
+        else:
+            stages += _fit_top(whole, feature, rows, vocabulary_size)
     inputs = [name for name in ASSEMBLED if not (drop_id and name == "id")]
     return PipelineModel([*stages, VectorAssembler(inputCols=inputs, outputCol="features")])
 
@@ -158,7 +181,7 @@ def vector_slots(vectors: DataFrame, column: str = "features") -> DataFrame:
 def slot_names(spark: SparkSession, model: PipelineModel) -> DataFrame:
     """(slot, part, term): what each slot of a vector holds; scalars have no term.
 
-    Terms keep no promised order among slots, so read vectors through this.
+    The term of a bucket is its number; `bucket_terms` says what is in it. Terms keep no promised order among slots, so read vectors through this.
     """
     vocabularies = {
         stage.getOutputCol(): stage.vocabulary

@@ -11,7 +11,6 @@ from pyspark.sql import functions as F
 from shelfmark.operators.metrics import regression_metrics
 from shelfmark.operators.report import result_table, sorted_by_actual
 from shelfmark.operators.split import in_train, with_split
-from shelfmark.operators.terms import VOCABULARY_SIZE
 from shelfmark.plans.features import feature_vectors, fit_features
 from shelfmark.plans.training import Tuned, tune
 from shelfmark.session import materialize
@@ -22,6 +21,7 @@ class Outcome:
     features: PipelineModel
     tuned: Tuned
     predictions: DataFrame
+    rejected: DataFrame
 
     @property
     def metrics(self) -> DataFrame:
@@ -45,17 +45,23 @@ def run(
     catalogue: DataFrame,
     fit_on: str = "all",
     drop_id: bool = False,
-    vocabulary_size: int = VOCABULARY_SIZE,
+    vocabulary_size: int | None = None,
+    parallelism: int = 1,
 ) -> Outcome:
     """Fit features, split, tune on the train rows and score the test rows.
 
     `fit_on="train"` learns the vocabularies without the test rows, and
-    `drop_id=True` leaves the row number out of the features.
+    `drop_id=True` leaves the row number out of the features. Rows without id
+    or label can be neither split nor learned from; they come back as `rejected`.
+    `parallelism` fits run at once, each with its own copy of the train rows.
+    Every term counts, by bucket; a `vocabulary_size` keeps the top terms instead.
     """
+    whole = F.col("id").isNotNull() & F.col("eclassnumber").isNotNull()
+    rejected, catalogue = catalogue.where(~whole), catalogue.where(whole)
     known = catalogue if fit_on == "all" else catalogue.where(in_train(F.col("id")))
     model = fit_features(known, vocabulary_size, drop_id)
     table = feature_table(catalogue, model)
-    tuned = tune(table.where("split = 'train'"))
+    tuned = tune(table.where("split = 'train'"), parallelism=parallelism)
     scored = tuned.model.transform(table.where("split = 'test'"))
     predictions = materialize(scored.select("id", "eclassnumber", "prediction"), "predictions")
-    return Outcome(model, tuned, predictions)
+    return Outcome(model, tuned, predictions, rejected)

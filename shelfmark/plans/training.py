@@ -55,7 +55,7 @@ def tune(
     folds: int = FOLDS,
     fold: str = "fold",
     label: str = LABEL,
-    parallelism: int = 4,
+    parallelism: int = 1,
 ) -> Tuned:
     """Fit every penalty without each fold in turn, then the best one on all rows.
 

@@ -4,9 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-CONNECTOR = "org.apache.spark:spark-sql-kafka-0-10_2.13"
-
-
 def subscribe_options(
     servers: str,
     topic: str,

@@ -1,5 +1,5 @@
 import pytest
-from pyspark.ml import Pipeline
+from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.feature import IDF, CountVectorizer
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
@@ -19,7 +19,7 @@ def whole(spark, sf_dir):
 
 @pytest.fixture(scope="module")
 def model(whole):
-    return features.fit_features(whole)
+    return features.fit_features(whole, terms.VOCABULARY_SIZE)
 
 
 def named(spark, df, model):
@@ -48,11 +48,25 @@ def test_stock_stages_give_the_same_weights(spark, whole, model):
         assert all(found[k] == pytest.approx(wanted[k], abs=1e-9) for k in wanted)
 
 
-def test_digests_stand_in_for_a_vocabulary_too_large_for_the_driver(spark, whole):
-    few = whole.where("eclassnumber < 2000000")
-    plain = named(spark, few, features.fit_features(few))
-    digested = named(spark, few, features.fit_features(few, driver_bytes=0))
-    assert sorted((k[0], k[1], v) for k, v in plain.items()) == sorted((k[0], k[1], v) for k, v in digested.items())
+def test_buckets_leave_no_term_out(spark, whole):
+    """The counts of all buckets add up to all terms, and every term is in the table of its bucket."""
+    model = features.fit_features(whole, buckets={"description": 64})
+    rows = PipelineModel(model.stages).transform(features.with_description_length(features.without_gaps(whole)))
+    counts = F.unwrap_udt("count_vec").getField("values")
+    total = rows.select(F.aggregate(counts, F.lit(0.0), lambda a, v: a + v).alias("n"), F.size("ngram").alias("m"))
+    assert total.where("n != m").count() == 0
+    listed = features.bucket_terms(whole, features.DESCRIPTION, 64)
+    assert listed.agg(F.max("bucket")).first()[0] < 64
+    assert listed.count() == listed.select("term").distinct().count()
+
+
+def test_rows_without_id_or_label_come_back(spark, whole):
+    odd = whole.limit(2).withColumn("id", F.lit(None).cast("int")).unionAll(
+        whole.limit(1).withColumn("eclassnumber", F.lit(None).cast("int"))
+    )
+    outcome = flow.run(whole.unionAll(odd), vocabulary_size=40)
+    assert outcome.rejected.count() == 3
+    assert outcome.predictions.count() == whole.where(~split.in_train(F.col("id"))).count()
 
 
 def test_missing_values_are_filled_before_the_stages(spark, model):
@@ -66,7 +80,7 @@ def test_vectors_carry_no_slot_metadata(whole, model):
 
 
 def test_slots_are_the_same_in_every_run(spark, whole, model):
-    again = features.fit_features(whole.repartition(5))
+    again = features.fit_features(whole.repartition(5), terms.VOCABULARY_SIZE)
     first, second = (sorted(map(tuple, features.slot_names(spark, m).collect()), key=repr) for m in (model, again))
     assert first == second
 
@@ -74,7 +88,7 @@ def test_slots_are_the_same_in_every_run(spark, whole, model):
 def test_no_terms_is_an_error(spark):
     df = spark.createDataFrame([(1, "short", "c", *[True] * 10, 5)], CATALOGUE)
     with pytest.raises(ValueError, match="description"):
-        features.fit_features(df)
+        features.fit_features(df, vocabulary_size=10)
 
 
 def test_tuning_agrees_with_cross_validator(whole):
