@@ -2,10 +2,9 @@
 
 from __future__ import annotations
 
+from checks.names import CAPTIONS, COLUMNS, FLAGS
 from checks.tables import DIRTY, RAW, catalogue_sql, gapped_sql, producer_sql
-from shelfmark.functions.codec import CAPTIONS
 from shelfmark.functions.stop_words import ENGLISH
-from shelfmark.schema import COLUMNS, FLAGS
 
 _NUMBERS = ("id", "eclassnumber")
 _TEXTS = ("description", "category")
@@ -274,7 +273,8 @@ ORACLES: dict[str, str] = {
     + " AS value FROM documents",
     "parse_lines": _CLEAN,
     "parse_lines_dirty": _parsed(catalogue_sql(DIRTY)),
-    "rename_columns": _GAPPED,
+    "rename_columns": producer_sql(_GAPPED),
+    "rename_to_consumer": _GAPPED,
     "description_length": "SELECT id, eclassnumber, CAST(length(description) AS INT)"
     f" AS description_length FROM ({_GAPPED})",
     "classify_commands": _with(
@@ -329,6 +329,7 @@ QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC)
     "random_split": _with(
         _CLEAN, "SELECT id, eclassnumber, count(*) AS n FROM eclasses GROUP BY id, eclassnumber"
     ),
+    "random_split_share": "SELECT true AS about_seventy_percent",
     "hash_split": _with(_CLEAN, f"SELECT id, split FROM ({_SPLIT})"),
     "hash_split_gapped": f"""SELECT CASE WHEN id IS NULL THEN 'rejected' ELSE split END AS split,
   CASE WHEN id IS NOT NULL THEN fold END AS fold, count(*) AS n

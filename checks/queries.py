@@ -10,7 +10,7 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from checks.tables import DIRTY, RAW, catalogue, gapped, table
+from checks.tables import DIRTY, RAW, catalogue, gapped, gapped_sql, producer_sql, table
 from shelfmark.functions import codec, text
 from shelfmark.functions.commands import returns_rows
 from shelfmark.operators import describe, metrics, report, snapshot, split, terms
@@ -160,7 +160,14 @@ def parse_lines_dirty(spark, sf_dir):
 
 
 def rename_columns(spark, sf_dir):
-    return codec.to_consumer_names(codec.to_producer_names(gapped(spark, sf_dir)))
+    return codec.to_producer_names(gapped(spark, sf_dir))
+
+
+def rename_to_consumer(spark, sf_dir):
+    documents = table(spark, sf_dir, "documents")
+    return codec.to_consumer_names(
+        spark.sql(producer_sql(gapped_sql()).replace("FROM documents", "FROM {documents}"), documents=documents)
+    )
 
 
 # Projections
@@ -352,6 +359,15 @@ def random_split(spark, sf_dir):
     return train.unionAll(test).groupBy("id", "eclassnumber").agg(F.count(F.lit(1)).alias("n"))
 
 
+def random_split_share(spark, sf_dir):
+    """Whether the train part is 70% of all rows, within four deviations."""
+    train, test = split.random_split(catalogue(spark, sf_dir).select("id"))
+    parts = train.select(F.lit(1).alias("train")).unionAll(test.select(F.lit(0)))
+    share, rows = F.avg("train"), F.count("train")
+    near = F.abs(share - 0.7) <= 4 * F.sqrt(F.lit(0.7 * 0.3) / rows)
+    return parts.agg(near.alias("about_seventy_percent"))
+
+
 def hash_split(spark, sf_dir):
     return split.with_split(catalogue(spark, sf_dir).select("id")).select("id", "split")
 
@@ -537,6 +553,7 @@ QUERIES: dict[str, Query] = {
         parse_lines,
         parse_lines_dirty,
         rename_columns,
+        rename_to_consumer,
         description_length,
         classify_commands,
         feature_columns,
@@ -562,6 +579,7 @@ QUERIES: dict[str, Query] = {
         category_counts,
         category_tfidf,
         random_split,
+        random_split_share,
         hash_split,
         hash_split_gapped,
         cv_fold_sizes,

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shelfmark.schema import COLUMNS, FLAGS, PRODUCER_COLUMNS
+from checks.names import COLUMNS, FLAGS, PRODUCER_COLUMNS
 from shelfmark.sources.files import spread
 
 # Every flag and the label, in SQL that both engines read alike.
