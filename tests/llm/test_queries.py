@@ -192,11 +192,21 @@ def test_op10_leaves_no_value_and_keeps_the_rest(spark):
     seen = {}
     for d, text in before.items():
         old, new = value.findall(text), value.findall(after[d]["text"])
-        assert len(old) == len(new) == after[d]["n_pii"]
+        assert len(old) == len(new)
+        # a number that fails the check digit is no card and stays
+        assert all(a == b for a, b in zip(old, new) if a.isdigit() and not luhn(a))
+        valid = [(a, b) for a, b in zip(old, new) if not a.isdigit() or luhn(a)]
+        old, new = [a for a, _ in valid], [b for _, b in valid]
+        assert len(old) == after[d]["n_pii"]
         assert value.split(text) == value.split(after[d]["text"])
         for a, b in zip(old, new):
             assert a != b and a not in after[d]["text"]
             assert seen.setdefault(a, b) == b
             if "." not in a or "@" in a:
                 assert re.sub("[0-9]", "9", a).rpartition("@")[2] == re.sub("[0-9]", "9", b).rpartition("@")[2]
-    assert len(set(seen.values())) == len(seen) > 100
+    assert len(set(seen.values())) == len(seen) > 50
+
+
+def luhn(number):
+    digits = [int(c) for c in reversed(number)]
+    return sum(d if i % 2 == 0 else (2 * d - 9 if d > 4 else 2 * d) for i, d in enumerate(digits)) % 10 == 0
