@@ -41,7 +41,7 @@ def shared_folder(spark: SparkSession) -> str:
     if configured:
         return configured.rstrip("/")
     context = spark.sparkContext
-    if not context.master.startswith("local"):
+    if not context.master.startswith("local") or context.master.startswith("local-cluster"):
         raise ValueError(f"{CHECKPOINT_KEY} must name a folder shared by all executors")
     if context.applicationId not in _local_folders:
         _local_folders[context.applicationId] = tempfile.mkdtemp(prefix="shelfmark-")
