@@ -11,6 +11,8 @@ boundary that no merge crosses parts the text into two that merge alike alone.
 from __future__ import annotations
 
 import json
+import re
+import sys
 import unicodedata
 from collections.abc import Iterable, Iterator
 
@@ -25,6 +27,26 @@ _NARROW = regex.compile("[\x1c-\x1f]")
 _WORD = regex.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|\p{{L}}+|\p{{N}}|[^{SPACE}\p{{L}}\p{{N}}]+")
 
 
+def _unsettled(char: str) -> bool:
+    """Whether Unicode tables of other ages may differ: unknown to Python, or a combining mark younger than Unicode 3.2."""
+    if unicodedata.combining(char):
+        return unicodedata.ucd_3_2_0.category(char) == "Cn"
+    return unicodedata.category(char) == "Cn"
+
+
+def _ranges(test) -> re.Pattern:
+    """One character for which `test` holds."""
+    found = [test(chr(c)) for c in range(sys.maxunicode + 1)] + [False]
+    starts = [c for c in range(len(found)) if found[c] and not (c and found[c - 1])]
+    ends = [c - 1 for c in range(1, len(found)) if found[c - 1] and not found[c]]
+    return re.compile("[" + "".join(f"{chr(a)}-{chr(b)}" for a, b in zip(starts, ends)) + "]")
+
+
+_UNSETTLED = _ranges(_unsettled)
+#: Longer chunks and words are not remembered, so the memory is bounded in bytes.
+REMEMBERED_LETTERS = 256
+
+
 def byte_letters() -> list[str]:
     """The printable character that stands for each byte in a byte-level vocabulary."""
     shown = [b for b in range(256) if chr(b).isprintable() and not chr(b).isspace() and b != 0xAD]
@@ -164,7 +186,9 @@ class WordCodec:
     composed (NFC), lower-cased letter by letter, parted at white space and
     into words; a word's bytes are the symbols that merge. Since nothing
     crosses white space, what lies between is encoded once while it is
-    remembered; the memory is bounded.
+    remembered; the memory is bounded. Where a text has code points
+    on which Unicode tables of different ages may differ, the library's own
+    normaliser and word boundaries are asked.
     """
 
     def __init__(self, path: str, memory: int = 150_000):
@@ -176,6 +200,33 @@ class WordCodec:
         self.letters = byte_letters()
         self._special = regex.compile("(" + "|".join(map(regex.escape, self.special)) + ")")
         self._chunks, self._words = Memory(memory), Memory(memory)
+        self._path, self._library = path, None
+        self._bytes = {letter: byte for byte, letter in enumerate(self.letters)}
+
+    def _stages(self):
+        """The library's tokenizer, for its normaliser and word boundaries; read when first needed."""
+        if self._library is None:
+            from tokenizers import Tokenizer
+
+            self._library = Tokenizer.from_file(self._path)
+        return self._library
+
+    def _composed(self, piece: str) -> list[str]:
+        """What lies between white space in a piece, composed and lower-cased."""
+        if piece.isascii():
+            plain = piece.lower()
+        elif _UNSETTLED.search(piece):
+            plain = self._stages().normalizer.normalize_str(piece)
+        else:
+            plain = unicodedata.normalize("NFC", piece).replace("Σ", "σ").lower()
+        return plain.split() if not _NARROW.search(plain) else [c for c in _SPACES.split(plain) if c]
+
+    def _parted(self, chunk: str) -> list[str]:
+        """Words of a chunk."""
+        if chunk.isascii() or not _UNSETTLED.search(chunk):
+            return _WORD.findall(chunk)
+        spelled = self._stages().pre_tokenizer.pre_tokenize_str(chunk)
+        return [bytes(self._bytes[c] for c in word).decode("utf-8") for word, _ in spelled]
 
     def _word(self, word: str) -> tuple[int, str, str]:
         """(number of ids, ids as text, decoded text) of one word; a symbol that the vocabulary lacks gives none."""
@@ -185,20 +236,22 @@ class WordCodec:
             letters[-1] += END
             ids = [self.merges.ids[t] for t in self.merges.transduce(letters) if t in self.merges.ids]
             found = (len(ids), " ".join(map(str, ids)), self.decode(ids))
-            self._words.keep(word, found)
+            if len(word) <= REMEMBERED_LETTERS:
+                self._words.keep(word, found)
         return found
 
     def _chunk(self, chunk: str) -> tuple[int, str, str]:
         """The same of all words of what lies between white space."""
         found = self._chunks.recall(chunk)
         if found is None:
-            words = [self._word(word) for word in _WORD.findall(chunk)]
+            words = [self._word(word) for word in self._parted(chunk)]
             words = [word for word in words if word[0]]
             if len(words) == 1:
                 found = words[0]
             else:
                 found = (sum(w[0] for w in words), " ".join([w[1] for w in words]), " ".join([w[2] for w in words]))
-            self._chunks.keep(chunk, found)
+            if len(chunk) <= REMEMBERED_LETTERS:
+                self._chunks.keep(chunk, found)
         return found
 
     def decode(self, ids: Iterable[int]) -> str:
@@ -213,9 +266,7 @@ class WordCodec:
             if i % 2:
                 out.append((1, str(self.special[piece]), piece))
                 continue
-            plain = unicodedata.normalize("NFC", piece).replace("Σ", "σ").lower()
-            chunks = plain.split() if not _NARROW.search(plain) else [c for c in _SPACES.split(plain) if c]
-            for chunk in chunks:
+            for chunk in self._composed(piece):
                 entry = known.get(chunk)
                 out.append(entry if entry is not None else self._chunk(chunk))
         return [entry for entry in out if entry[0]]

@@ -29,6 +29,8 @@ END_ID = 1
 SHARD_TOKENS = 2_000_000
 #: Chunks whose ids a Python worker remembers, twice: the latest and those before.
 REMEMBERED = 500_000
+#: Chunks with more ids are not remembered, so the memory is bounded in bytes.
+REMEMBERED_IDS = 64
 #: All but ASCII white space.
 CHUNKS = classes(chunks="".join(chr(b) for b in range(256) if chr(b) not in " \t\n\x0b\x0c\r"))
 #: Letters that the vocabulary's normaliser at most lower-cases, and marks that are a word of their own after them.
@@ -68,7 +70,9 @@ class LibraryEncoder:
         """Ids of a word of plain letters, which needs nothing but the library's merges."""
         spelled = word if word.isascii() else word.translate(self.spelled)
         found = [t.id for t in self.library.model.tokenize(spelled)]
-        self.words[word] = ids = struct.pack(f"<{len(found)}I", *found)
+        ids = struct.pack(f"<{len(found)}I", *found)
+        if len(found) <= REMEMBERED_IDS:
+            self.words[word] = ids
         return ids
 
     def _new(self, chunks: list[str]) -> list[bytes]:
@@ -111,7 +115,7 @@ class LibraryEncoder:
             chunks = [data[a:b].decode() for a, b in spans]
             for i, found in zip(unseen, self._new(chunks)):
                 ids[i] = found
-            self.known.update((keys[i], ids[i]) for i in new)
+            self.known.update((keys[i], ids[i]) for i in new if len(ids[i]) <= 4 * REMEMBERED_IDS)
         sizes = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
         offsets = np.cumsum(sizes) - sizes
         flat = np.frombuffer(b"".join(ids), "<u4")

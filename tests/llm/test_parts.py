@@ -42,6 +42,21 @@ def test_codec_and_library_memory_equal_the_library(codec, library):
         assert codec.decode(ids) == library.decode(ids, skip_special_tokens=False)
 
 
+def test_codec_equals_the_library_on_code_points_of_any_age(codec, library):
+    some = [*range(0x80, 0x3000), *range(0xA000, 0xABFF), *range(0x10900, 0x10F00), *range(0x11900, 0x11E00)]
+    for point in some:
+        text = f"a{chr(point)}\u0332b1{chr(point)}!{chr(point)} x"
+        assert codec.encode(text) == library.encode(text, add_special_tokens=False).ids, hex(point)
+
+
+def test_long_words_are_not_remembered():
+    codec, remembering = WordCodec(VOCABULARY), token_files.LibraryEncoder(VOCABULARY)
+    texts = ["x" * 5_000 + " ab", "é" * 5_000]
+    assert [codec.encode(t) for t in texts] == [remembering.library.encode(t, add_special_tokens=False).ids for t in texts]
+    remembering.encode(pa.array(texts), 1)
+    assert set(codec._chunks) == {"ab"} == set(codec._words) and len(remembering.known) == 1
+
+
 def test_stream_needs_no_more_than_the_lookahead(codec):
     merges = WordCodec(VOCABULARY).merges
     merges.window = merges.lookahead + 8
