@@ -23,7 +23,7 @@ from collections import OrderedDict
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shelfmark.llm.batches import bounded_broadcast, pieces
@@ -40,6 +40,8 @@ COMPONENTS = BANDS * ROWS
 AGREEING = int(COMPONENTS * (SIMILARITY - 5 * (SIMILARITY * (1 - SIMILARITY) / COMPONENTS) ** 0.5))
 #: Nodes of a bucket that one cell takes from each side.
 CELL = 1_500
+#: Shingles that a task keeps at hand while it verifies pairs.
+HELD_BYTES = 32 << 20
 #: Above so many ids a join goes by shuffle and not by broadcast.
 BROADCAST_IDS = 4_000_000
 
@@ -144,14 +146,20 @@ def _verify(pairs: DataFrame, texts: DataFrame) -> DataFrame:
 
     def run(batches):
         held: OrderedDict[int, tuple] = OrderedDict()
+        size = 0
 
         def shingles(key, text):
-            if key not in held:
-                _, element, weight, _ = weighted_shingles(pa.array([text], pa.string()))
-                held[key] = (element, weight)
-                if len(held) > 64:
-                    held.popitem(last=False)
-            return held[key]
+            nonlocal size
+            if key in held:
+                held.move_to_end(key)
+                return held[key]
+            _, element, weight, _ = weighted_shingles(pa.array([text], pa.string()))
+            held[key] = (element, weight)
+            size += element.nbytes + weight.nbytes
+            while size > HELD_BYTES and len(held) > 1:
+                gone = held.popitem(last=False)[1]
+                size -= gone[0].nbytes + gone[1].nbytes
+            return element, weight
 
         for batch in batches:
             a, b = batch.column(0).to_pylist(), batch.column(1).to_pylist()
@@ -291,11 +299,10 @@ def classes(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id") ->
         F.sequence(F.lit(0), F.lit(BANDS - 1)),
         lambda i: F.conv(F.hex(F.substring("bands", i * 8 + 1, 8)), 16, -10).cast("long"),
     )
-    bucket = Window.partitionBy("key")
-    buckets = nodes.select("node", F.posexplode(keys).alias("band", "key"))
-    buckets = buckets.select(
-        "band", "key", "node", F.min("node").over(bucket).alias("least"), F.count("node").over(bucket).alias("n")
-    ).where("n > 1")
+    keyed = nodes.select("node", F.posexplode(keys).alias("band", "key"))
+    # reduced before the shuffle and joined back, so a bucket of any size is never gathered in one task
+    shared = keyed.groupBy("key").agg(F.min("node").alias("least"), F.count("node").alias("n")).where("n > 1")
+    buckets = keyed.join(materialize(shared, "neardup-shared"), "key").select("band", "key", "node", "least", "n")
     buckets = materialize(buckets, "neardup-buckets")
 
     stars = buckets.where("node != least").select(F.col("least").alias("a"), F.col("node").alias("b")).distinct()
