@@ -38,8 +38,8 @@ BANDS, ROWS = 40, 6
 COMPONENTS = BANDS * ROWS
 #: Agreeing components below which a pair of similarity 0.8 falls once in three million (five deviations).
 AGREEING = int(COMPONENTS * (SIMILARITY - 5 * (SIMILARITY * (1 - SIMILARITY) / COMPONENTS) ** 0.5))
-#: Nodes of a bucket that one cell takes from each side.
-CELL = 1_500
+#: Nodes of a bucket that one cell takes from each side, and words of theirs (12 bytes of shingle each).
+CELL, CELL_WORDS = 1_500, 3_000_000
 #: Shingles that a task keeps at hand while it verifies pairs.
 HELD_BYTES = 32 << 20
 #: Above so many ids a join goes by shuffle and not by broadcast.
@@ -99,7 +99,7 @@ def similarity(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray
 
 
 def _sign(docs: DataFrame, text_col: str, id_col: str) -> DataFrame:
-    """(doc_id, low, high, bands, signs) of each row; digest and signature are null for a text without words."""
+    """(doc_id, low, high, n_words, bands, signs) of each row; digest and signature are null for a text without words."""
 
     def run(batches):
         for batch in batches:
@@ -118,14 +118,15 @@ def _sign(docs: DataFrame, text_col: str, id_col: str) -> DataFrame:
                         piece.column(0),
                         pa.array(digests[:, 0], mask=~some),
                         pa.array(digests[:, 1], mask=~some),
+                        pa.array(words.counts, pa.int64()),
                         pa.array([t.tobytes() for t in total], pa.binary(), mask=~some),
                         pa.array([s.tobytes() for s in signs], pa.binary(), mask=~some),
                     ],
-                    names=["doc_id", "low", "high", "bands", "signs"],
+                    names=["doc_id", "low", "high", "n_words", "bands", "signs"],
                 )
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    return rows.mapInArrow(run, "doc_id long, low long, high long, bands binary, signs binary")
+    return rows.mapInArrow(run, "doc_id long, low long, high long, n_words long, bands binary, signs binary")
 
 
 _FOLD = bytes(b + 32 if 65 <= b <= 90 else b if ALNUM_WORDS[b] else 32 for b in range(256))
@@ -245,12 +246,12 @@ class _Cell:
 
 
 def _cross_links(rows: DataFrame) -> DataFrame:
-    """Links (a, b) between the classes that share a bucket; rows: (band, key, node, root, n, signs, element, weight).
+    """Links (a, b) between the classes that share a bucket; rows: (band, key, node, root, blocks, signs, element, weight).
 
-    A bucket of more than `CELL` nodes is dealt into blocks, and each pair of
-    blocks is a cell of its own, so no task holds a whole bucket.
+    A bucket is dealt into its number of blocks, and each pair of blocks is a
+    cell of its own, so no task holds a large bucket whole.
     """
-    cells = F.ceil(F.col("n") / CELL).cast("long")
+    cells = F.col("blocks")
     dealt = rows.withColumn("own", F.pmod(F.xxhash64("node"), cells)).withColumn(
         "other", F.explode(F.sequence(F.lit(0), cells - 1))
     )
@@ -292,8 +293,8 @@ def classes(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id") ->
     copies = signed.where("low IS NOT NULL AND doc_id IS NOT NULL").groupBy("low", "high").agg(F.min("doc_id").alias("node"))
     copies = materialize(copies, "neardup-copies")
     nodes = signed.join(copies.select("low", "high", "node"), ["low", "high"]).where("doc_id = node")
-    nodes = nodes.groupBy("node").agg(F.min_by(F.struct("bands", "signs"), F.struct("low", "high")).alias("s"))
-    nodes = materialize(nodes.select("node", "s.bands", "s.signs"), "neardup-distinct")
+    nodes = nodes.groupBy("node").agg(F.min_by(F.struct("n_words", "bands", "signs"), F.struct("low", "high")).alias("s"))
+    nodes = materialize(nodes.select("node", "s.n_words", "s.bands", "s.signs"), "neardup-distinct")
 
     keys = F.transform(
         F.sequence(F.lit(0), F.lit(BANDS - 1)),
@@ -301,8 +302,8 @@ def classes(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id") ->
     )
     keyed = nodes.select("node", F.posexplode(keys).alias("band", "key"))
     # reduced before the shuffle and joined back, so a bucket of any size is never gathered in one task
-    shared = keyed.groupBy("key").agg(F.min("node").alias("least"), F.count("node").alias("n")).where("n > 1")
-    buckets = keyed.join(materialize(shared, "neardup-shared"), "key").select("band", "key", "node", "least", "n")
+    shared = keyed.groupBy("key").agg(F.min("node").alias("least"), F.count("node").alias("n")).where("n > 1").drop("n")
+    buckets = keyed.join(materialize(shared, "neardup-shared"), "key").select("band", "key", "node", "least")
     buckets = materialize(buckets, "neardup-buckets")
 
     stars = buckets.where("node != least").select(F.col("least").alias("a"), F.col("node").alias("b")).distinct()
@@ -310,11 +311,14 @@ def classes(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id") ->
     links = materialize(_verify(stars, _texts(docs, stars, text_col, id_col)), "neardup-links")
     roots = components(links)
 
-    rooted = buckets.join(roots, "node", "left").select("band", "key", "node", F.coalesce("root", "node").alias("root"), "n")
+    rooted = buckets.join(roots, "node", "left").select("band", "key", "node", F.coalesce("root", "node").alias("root"))
     several = rooted.groupBy("key").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x != y").select("key")
     open_rows = materialize(rooted.join(several, "key"), "neardup-open")
     if open_rows.limit(1).count():
         open_nodes = materialize(open_rows.select("node").distinct(), "neardup-nodes")
+        blocks = F.greatest(F.ceil(F.count("node") / CELL), F.ceil(F.sum("n_words") / CELL_WORDS)).cast("long")
+        sizes = open_rows.join(nodes.select("node", "n_words"), "node").groupBy("key").agg(blocks.alias("blocks"))
+        open_rows = open_rows.join(materialize(sizes, "neardup-sizes"), "key")
         known = nodes.select("node", "signs").join(_shingles(docs, open_nodes, text_col, id_col), "node")
         more = materialize(_cross_links(open_rows.join(known, "node")), "neardup-links")
         if more.limit(1).count():

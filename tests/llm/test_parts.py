@@ -163,8 +163,11 @@ def test_agreeing_places_estimate_the_similarity():
     assert np.abs(np.array(guesses) - truths).max() < 0.15
 
 
-def test_links_between_classes_of_one_bucket_are_not_lost(spark):
+@pytest.mark.parametrize("cell, cell_words", [(1_500, 3_000_000), (4, 3_000_000), (1_500, 500)])
+def test_links_between_classes_of_one_bucket_are_not_lost(spark, monkeypatch, cell, cell_words):
     """A chain whose ends are unlike: the least text of a bucket is similar to its neighbour alone."""
+    monkeypatch.setattr(neardup, "CELL", cell)
+    monkeypatch.setattr(neardup, "CELL_WORDS", cell_words)
     words = [f"t{i}" for i in range(400)]
     docs = [(k, " ".join(words[6 * k : 6 * k + 150])) for k in range(30)]
     frame = spark.createDataFrame(docs, "doc_id long, text string")
