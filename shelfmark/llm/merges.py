@@ -34,15 +34,23 @@ def _unsettled(char: str) -> bool:
     return unicodedata.category(char) == "Cn"
 
 
-def _ranges(test) -> re.Pattern:
-    """One character for which `test` holds."""
-    found = [test(chr(c)) for c in range(sys.maxunicode + 1)] + [False]
-    starts = [c for c in range(len(found)) if found[c] and not (c and found[c - 1])]
-    ends = [c - 1 for c in range(1, len(found)) if found[c - 1] and not found[c]]
-    return re.compile("[" + "".join(f"{chr(a)}-{chr(b)}" for a, b in zip(starts, ends)) + "]")
+def _one_of(limit: int, more: str = "") -> re.Pattern:
+    """One unsettled character below `limit`, or one of `more`."""
+    found = [_unsettled(chr(c)) for c in range(limit)] + [False]
+    starts = [c for c in range(limit) if found[c] and not (c and found[c - 1])]
+    ends = [c for c in range(limit) if found[c] and not found[c + 1]]
+    return re.compile("[" + "".join(f"{chr(a)}-{chr(b)}" for a, b in zip(starts, ends)) + more + "]")
+
+
+#: The first is fast and takes all beyond the basic plane for unsettled; the second is exact.
+_SUSPECT = _one_of(0x10000, "\U00010000-\U0010ffff")
+_UNSETTLED = _one_of(sys.maxunicode + 1)
+
+
+def unsettled(text: str) -> bool:
+    return not text.isascii() and _SUSPECT.search(text) is not None and _UNSETTLED.search(text) is not None
 
 
-_UNSETTLED = _ranges(_unsettled)
 #: Longer chunks and words are not remembered, so the memory is bounded in bytes.
 REMEMBERED_LETTERS = 256
 
@@ -215,7 +223,7 @@ class WordCodec:
         """What lies between white space in a piece, composed and lower-cased."""
         if piece.isascii():
             plain = piece.lower()
-        elif _UNSETTLED.search(piece):
+        elif unsettled(piece):
             plain = self._stages().normalizer.normalize_str(piece)
         else:
             plain = unicodedata.normalize("NFC", piece).replace("Σ", "σ").lower()
@@ -223,7 +231,7 @@ class WordCodec:
 
     def _parted(self, chunk: str) -> list[str]:
         """Words of a chunk."""
-        if chunk.isascii() or not _UNSETTLED.search(chunk):
+        if not unsettled(chunk):
             return _WORD.findall(chunk)
         spelled = self._stages().pre_tokenizer.pre_tokenize_str(chunk)
         return [bytes(self._bytes[c] for c in word).decode("utf-8") for word, _ in spelled]
