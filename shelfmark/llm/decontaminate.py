@@ -239,31 +239,65 @@ def clean(docs: DataFrame, items: DataFrame, text_col: str = "text", max_coverag
     length limit; a text goes when its hit words exceed `max_coverage` of all.
     Cutting can bring a window together from both sides, so a text that was
     cut is scanned and cut again until it has none. Clean rows stay as they are,
-    null and empty texts too.
+    null and empty texts too. Several blocks give what one would: each round
+    takes the spans of all blocks on the same text before it cuts, and hit words
+    count against the words of the text as it came.
     """
     blocks = list(_blocks(items, "text", "item_id"))
-    out = docs
-    for block in blocks:
-        automaton = Automaton(block, window)
+    if len(blocks) > 1:
+        return _clean_in_rounds(docs, items, text_col, max_coverage, window)
+    automaton = Automaton(blocks[0], window)
+
+    def run(batches):
+        for batch in batches:
+            kept, texts = [], []
+            for text in batch.column(text_col).to_pylist():
+                total, cut = len(words_of(text)), 0
+                while text:
+                    spans, _ = automaton.scan(words_of(text))
+                    if not spans:
+                        break
+                    cut += sum(b - a + 1 for a, b in spans)
+                    text = cut_spans(text, spans)
+                kept.append(cut <= max_coverage * total)
+                texts.append(text)
+            at = batch.schema.get_field_index(text_col)
+            done = batch.set_column(at, batch.schema.field(at), pa.array(texts, batch.schema.field(at).type))
+            yield done.filter(pa.array(kept, pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
+def _clean_in_rounds(docs: DataFrame, items: DataFrame, text_col: str, max_coverage: float, window: int) -> DataFrame:
+    """`clean` for several blocks: all of them scan a text, then it is cut; texts that were cut go round again."""
+    own = {c: "__cleaned" if c == text_col else f"__c{i}" for i, c in enumerate(docs.columns)}
+    todo = docs.select(
+        *(F.col(f"`{c}`").alias(name) for c, name in own.items()),
+        F.lit(None).cast("long").alias("__total"), F.lit(0).cast("long").alias("__cut"),
+    )
+    done = None
+    while True:
+        found = materialize(scan(todo, items, "__cleaned", window=window).drop("hit_items"), "decontaminate")
+        clear = found.where(F.size("hit_spans") == 0).select(*own.values())
+        done = clear if done is None else done.unionByName(clear)
 
-        def run(batches, automaton=automaton):
+        def run(batches, schema=todo.schema):
             for batch in batches:
-                kept, texts = [], []
-                for text in batch.column(text_col).to_pylist():
-                    total, cut = len(words_of(text)), 0
-                    while text:
-                        spans, _ = automaton.scan(words_of(text))
-                        if not spans:
-                            break
-                        cut += sum(b - a + 1 for a, b in spans)
-                        text = cut_spans(text, spans)
+                kept, texts, totals, cuts = [], [], [], []
+                for text, n, spans, total, cut in zip(
+                    *(batch.column(c).to_pylist() for c in ("__cleaned", "n_words", "hit_spans", "__total", "__cut"))
+                ):
+                    total = n if total is None else total
+                    spans = [(s["first"], s["last"]) for s in spans]
+                    cut += sum(b - a + 1 for a, b in spans)
                     kept.append(cut <= max_coverage * total)
-                    texts.append(text)
-                at = batch.schema.get_field_index(text_col)
-                done = batch.set_column(at, batch.schema.field(at), pa.array(texts, batch.schema.field(at).type))
-                yield done.filter(pa.array(kept, pa.bool_()))
-
-        out = out.mapInArrow(run, docs.schema)
-        if len(blocks) > 1:
-            out = materialize(out, "decontaminate")
-    return out
+                    texts.append(cut_spans(text, spans) if kept[-1] else None)
+                    totals.append(total)
+                    cuts.append(cut)
+                made = {"__cleaned": pa.array(texts, pa.string()), "__total": pa.array(totals, pa.int64()), "__cut": pa.array(cuts, pa.int64())}
+                columns = [made[c] if c in made else batch.column(c) for c in schema.names]
+                yield pa.RecordBatch.from_arrays(columns, names=schema.names).filter(pa.array(kept, pa.bool_()))
+
+        todo = materialize(found.where(F.size("hit_spans") > 0).mapInArrow(run, todo.schema), "decontaminate")
+        if not todo.limit(1).count():
+            return done.select(*(F.col(name).alias(c) for c, name in own.items()))

@@ -135,6 +135,25 @@ def test_many_blocks_give_what_one_gives(spark, monkeypatch):
     assert run()[0] == whole[0]
 
 
+def test_many_blocks_clean_like_one(spark, monkeypatch):
+    """Windows that overlap across blocks, seams, and coverage that only all blocks together pass."""
+    rng = random.Random(11)
+    vocabulary = [f"w{i}" for i in range(12)]
+    docs = spark.createDataFrame(
+        [(i, i % 3, " ".join(rng.choices(vocabulary, k=rng.randrange(70)))) for i in range(60)] + [(60, 0, None), (61, 0, "")],
+        "doc_id long, n_words int, text string",
+    )
+    items = spark.createDataFrame([(i, " ".join(rng.choices(vocabulary, k=rng.randrange(3, 8)))) for i in range(30)], "item_id long, text string")
+
+    def run(max_coverage):
+        return sorted(map(str, decontaminate.clean(docs, items, max_coverage=max_coverage, window=3).collect()))
+
+    whole = {x: run(x) for x in (0.3, 0.9)}
+    assert 2 < len(whole[0.3]) < len(whole[0.9])
+    monkeypatch.setattr(decontaminate, "BLOCK_WORDS", 100)
+    assert {x: run(x) for x in whole} == whole
+
+
 def test_cleaned_texts_hold_no_window(spark):
     items = spark.createDataFrame([(1, "a b c d e f g h i j k l")], "item_id long, text string")
     clean = "Quite another text, of its own words entirely; nothing to cut. "
