@@ -214,7 +214,8 @@ class _Cell:
 
         A pair is looked at in the first band that it shares, the most promising first.
         """
-        left, right, band, node, root, signs, element, weight = map(list, zip(*self.rows))
+        left, right, band, node, root, bands, signs, element, weight = map(list, zip(*self.rows))
+        bands = np.frombuffer(b"".join(bands), np.uint64).reshape(-1, BANDS)
         signs = np.frombuffer(b"".join(signs), np.uint8).reshape(-1, COMPONENTS)
         names = {r: i for i, r in enumerate(dict.fromkeys(root))}
         group = np.array([names[r] for r in root])
@@ -231,13 +232,14 @@ class _Cell:
             others = np.flatnonzero(right & (group != group[k]))
             if not len(others):
                 continue
-            same = signs[others] == signs[k]
-            agreeing = same.sum(axis=1)
+            agreeing = (signs[others] == signs[k]).sum(axis=1)
             near = agreeing >= AGREEING
             if not near.any():
                 continue
-            first = same[near].reshape(-1, BANDS, ROWS).all(axis=2).argmax(axis=1) == band[k]
-            others, agreeing = others[near][first], agreeing[near][first]
+            others, agreeing = others[near], agreeing[near]
+            # by the keys themselves: signs may agree in a band whose elements differ, and no bucket holds the pair there
+            first = (bands[others] == bands[k]).argmax(axis=1) == band[k]
+            others, agreeing = others[first], agreeing[first]
             for x in others[np.argsort(-agreeing, kind="stable")]:
                 if group[x] != group[k] and similarity(shingles(k), shingles(x)) >= SIMILARITY - 1e-12:
                     found.add((min(node[k], node[x]), max(node[k], node[x])))
@@ -246,7 +248,7 @@ class _Cell:
 
 
 def _cross_links(rows: DataFrame) -> DataFrame:
-    """Links (a, b) between the classes that share a bucket; rows: (band, key, node, root, blocks, signs, element, weight).
+    """Links (a, b) between the classes that share a bucket; rows: (band, key, node, root, blocks, bands, signs, element, weight).
 
     A bucket is dealt into its number of blocks, and each pair of blocks is a
     cell of its own, so no task holds a large bucket whole.
@@ -255,7 +257,7 @@ def _cross_links(rows: DataFrame) -> DataFrame:
     dealt = rows.withColumn("own", F.pmod(F.xxhash64("node"), cells)).withColumn(
         "other", F.explode(F.sequence(F.lit(0), cells - 1))
     )
-    content = ["left", "right", "band", "node", "root", "signs", "element", "weight"]
+    content = ["left", "right", "band", "node", "root", "bands", "signs", "element", "weight"]
     dealt = dealt.withColumns({
         "i": F.least("own", "other"), "j": F.greatest("own", "other"),
         "left": F.col("own") <= F.col("other"), "right": F.col("own") >= F.col("other"),
@@ -319,7 +321,7 @@ def classes(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id") ->
         blocks = F.greatest(F.ceil(F.count("node") / CELL), F.ceil(F.sum("n_words") / CELL_WORDS)).cast("long")
         sizes = open_rows.join(nodes.select("node", "n_words"), "node").groupBy("key").agg(blocks.alias("blocks"))
         open_rows = open_rows.join(materialize(sizes, "neardup-sizes"), "key")
-        known = nodes.select("node", "signs").join(_shingles(docs, open_nodes, text_col, id_col), "node")
+        known = nodes.select("node", "bands", "signs").join(_shingles(docs, open_nodes, text_col, id_col), "node")
         more = materialize(_cross_links(open_rows.join(known, "node")), "neardup-links")
         if more.limit(1).count():
             roots = components(links.unionByName(more))

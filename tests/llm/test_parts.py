@@ -199,6 +199,20 @@ def test_links_between_classes_of_one_bucket_are_not_lost(spark, monkeypatch, ce
     assert all(found[a] == found[b] for a, b in pairs)
 
 
+def test_signs_that_agree_by_chance_lose_no_pair(spark):
+    """The signs agree in band 0, where the elements differ; the bucket that the pair shares is that of band 5."""
+    element = np.arange(1, 101, dtype=np.uint64).tobytes()
+    weight = np.ones(100, np.float32).tobytes()
+    bands = np.arange(2 * neardup.BANDS, dtype=np.uint64).reshape(2, -1)
+    bands[1, 5] = bands[0, 5]
+    signs = bytes(neardup.COMPONENTS)
+    rows = [(5, 5, node, node, 1, bands[i].tobytes(), signs, element, weight) for i, node in enumerate((10, 20))]
+    frame = spark.createDataFrame(
+        rows, "band int, key long, node long, root long, blocks long, bands binary, signs binary, element binary, weight binary"
+    )
+    assert [tuple(r) for r in neardup._cross_links(frame).collect()] == [(10, 20)]
+
+
 def test_components_of_random_graphs(spark):
     rng = random.Random(8)
     links = [(rng.randrange(120), rng.randrange(120)) for _ in range(80)] + [(500 + i, 501 + i) for i in range(40)]
