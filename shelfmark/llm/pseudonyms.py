@@ -1,7 +1,10 @@
 """Personal data: keyed pseudonyms of the same format, DataFrame functions only.
 
 Mail addresses, telephone numbers, payment cards, bank accounts, IP addresses,
-social security numbers and dates are found by pattern and validated. A Feistel
+social security numbers and dates are found by pattern and validated. At each
+place where a form may begin, its candidates are tried, the longer first within
+a form; what fails its check stays in the search, so a value inside it or beside
+it is still found. A Feistel
 network keyed by the caller permutes each within its format, so equal values
 get equal pseudonyms in all documents and different values different ones:
 
@@ -18,20 +21,48 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 ROUNDS = 8
-#: Validated forms, in order of precedence; one pass over the text finds them all.
-PATTERNS = {
-    "email": r"(?<![\p{L}\p{N}._+-])[\p{L}\p{N}._+-]++@(?:[A-Za-z0-9-]++\.)++[A-Za-z]{2,}",
-    "iban": r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]){11,30}(?![A-Za-z0-9])",
-    "phone": r"(?<![A-Za-z0-9+])\+[0-9]{1,3}[ .-]?\(?[0-9]{1,4}\)?(?:[ .-]?[0-9]{2,4}){2,4}(?![A-Za-z0-9])"
-    r"|(?<![A-Za-z0-9])\([0-9]{3}\) ?[0-9]{3}-[0-9]{4}(?![A-Za-z0-9])"
-    r"|(?<![A-Za-z0-9.-])[0-9]{3}[.-][0-9]{3}[.-][0-9]{4}(?![A-Za-z0-9])",
-    "date": r"(?<![A-Za-z0-9./-])(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{1,2}/[0-9]{1,2}/[0-9]{4}"
-    r"|[0-9]{1,2}\.[0-9]{1,2}\.[0-9]{4})(?![A-Za-z0-9/-])",
-    "ssn": r"(?<![A-Za-z0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![A-Za-z0-9-])",
-    "ip": r"(?<![A-Za-z0-9.])[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?![A-Za-z0-9]|\.[0-9])",
-    "card": r"(?<![A-Za-z0-9])[0-9](?:[ -]?[0-9]){12,18}(?![A-Za-z0-9])",
+#: Characters of an account by country (ISO 13616).
+IBAN_LENGTHS = {
+    15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV",
+    22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL", 24: "AD CZ DZ ES MD PK RO SA SE SK TN VG",
+    25: "LY PT ST", 26: "IS TR", 27: "BI DJ FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HU LB NI PL SV",
+    29: "BR EG PS QA UA", 30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU",
 }
-ANY = "|".join(f"(?:{p})" for p in PATTERNS.values())
+_KNOWN = [c for some in IBAN_LENGTHS.values() for c in some.split()]
+_START, _END = r"(?<![A-Za-z0-9])", r"(?![A-Za-z0-9])"
+
+
+def _international(groups: str) -> str:
+    return rf"(?<![A-Za-z0-9+])\+[0-9]{{1,3}}[ .-]?\(?[0-9]{{1,4}}\)?(?:[ .-]?[0-9]{{2,4}}){groups}{_END}"
+
+
+#: Validated forms (kind, pattern), in order of precedence. A later one of a kind is tried where an earlier one fails.
+FORMS = [
+    ("email", r"(?<![\p{L}\p{N}._+-])[\p{L}\p{N}._+-]++@(?:[A-Za-z0-9-]++\.)++[A-Za-z]{2,}"),
+    # a country's own length; any length where the country has none
+    ("iban", _START + "(?:" + "|".join(
+        f"(?:{c.replace(' ', '|')})[0-9]{{2}}(?: ?[A-Z0-9]){{{n - 4}}}" for n, c in IBAN_LENGTHS.items()
+    ) + f"|(?!{'|'.join(_KNOWN)})[A-Z]{{2}}[0-9]{{2}}(?: ?[A-Z0-9]){{11,30}})" + _END),
+    ("phone", _international("{2,4}")
+     + rf"|{_START}\([0-9]{{3}}\) ?[0-9]{{3}}-[0-9]{{4}}{_END}"
+     + rf"|(?<![A-Za-z0-9.-])[0-9]{{3}}[.-][0-9]{{3}}[.-][0-9]{{4}}{_END}"),
+    ("phone", _international("{2,3}")),
+    ("phone", _international("{2}")),
+    # a time may follow an ISO date
+    ("date", r"(?<![A-Za-z0-9./-])(?:[0-9]{4}-[0-9]{2}-[0-9]{2}(?=T[0-9]|(?![A-Za-z0-9/-]))|(?:[0-9]{1,2}/[0-9]{1,2}/[0-9]{4}"
+     r"|[0-9]{1,2}\.[0-9]{1,2}\.[0-9]{4})(?![A-Za-z0-9/-]))"),
+    ("ssn", r"(?<![A-Za-z0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![A-Za-z0-9-])"),
+    ("ip", r"(?<![A-Za-z0-9.])[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?![A-Za-z0-9]|\.[0-9])"),
+    *(("card", _START + digits + _END) for digits in (
+        "[0-9]{13,19}", "[0-9]{4}(?:[ -][0-9]{4}){3}[ -][0-9]{1,3}", "[0-9]{4}(?:[ -][0-9]{4}){3}",
+        "[0-9]{4}[ -][0-9]{6}[ -][0-9]{5}", "[0-9]{4}[ -][0-9]{6}[ -][0-9]{4}",
+    )),
+]
+#: Digits grouped otherwise; tried once along a run of digits, since one in ten numbers passes a check digit by chance.
+LOOSE = _START + "[0-9](?:[ -]?[0-9]){12,18}" + _END
+ANY = "|".join(f"(?:{p})" for p in [*(p for _, p in FORMS), LOOSE])
+#: A form but mail is read from so many characters, its end and what must not follow it included.
+REACH = 100
 #: A text without any of these characters holds none of the forms.
 HINT = "[0-9@]"
 
@@ -181,9 +212,59 @@ def ssn(match: Column, key: str) -> Column:
 MAKERS = {"email": email, "iban": iban, "phone": phone, "date": date, "ssn": ssn, "ip": ip, "card": card}
 
 
-def pseudonym(match: Column, key: str) -> Column:
-    """The pseudonym of a found value, by the first form that it has and that holds it for valid; else null."""
-    return F.coalesce(*(F.when(F.rlike(match, F.lit(f"^(?:{PATTERNS[k]})$")), MAKERS[k](match, key)) for k in PATTERNS))
+def _let(value: Column, use) -> Column:
+    """`use(value)` with the value worked out once."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
+def _try(window: Column, form: str, make, key: str) -> Column:
+    """(size, new) of a form at the second character of `window`; `new` is null if it is not valid, all if it is not there."""
+    found = F.regexp_extract(window, f"(?s)^.({form})", 1)
+    return _let(found, lambda m: F.when(m != "", F.struct(F.char_length(m).alias("size"), make(m, key).alias("new"))))
+
+
+def candidate(window: Column, key: str) -> Column:
+    """What begins at the second character of `window`: (sure, loose), each as `_try` gives it.
+
+    `sure` is the first form of all that is valid, else null.
+    """
+    sure = (_let(_try(window, form, MAKERS[kind], key), lambda t: F.when(t["new"].isNotNull(), t)) for kind, form in FORMS)
+    return F.struct(F.coalesce(*sure).alias("sure"), _try(window, LOOSE, card, key).alias("loose"))
+
+
+def _walk(pieces: Column, tried: Column) -> Column:
+    """Struct with `out`, the new pieces, and `n`, the values replaced.
+
+    The first piece stands before all candidates, each other begins with one.
+    A candidate that begins inside a replaced value is passed over, and one of
+    loose grouping inside an earlier such candidate too.
+    """
+
+    def step(acc: Column, p: Column) -> Column:
+        loose = p["t"]["loose"]
+        free = acc["skip"] == 0
+        open_ = free & (acc["held"] == 0)
+        chosen = F.when(free, F.coalesce(p["t"]["sure"], F.when(open_ & loose["new"].isNotNull(), loose)))
+
+        def go(c: Column) -> Column:
+            size = F.char_length(p["piece"])
+            # characters from the start of this piece that are replaced, or that no loose candidate may begin in
+            gone = F.when(c.isNotNull(), c["size"]).otherwise(acc["skip"])
+            held = F.when(open_ & c.isNull() & loose.isNotNull(), loose["size"]).otherwise(acc["held"])
+            rest = F.when(gone == 0, p["piece"]).otherwise(F.substring(p["piece"], gone + 1, size))
+            return F.struct(
+                F.greatest(gone - size, F.lit(0)).alias("skip"),
+                F.greatest(held - size, F.lit(0)).alias("held"),
+                (acc["n"] + F.when(c.isNotNull(), 1).otherwise(0)).alias("n"),
+                F.array_append(acc["out"], F.concat(F.coalesce(c["new"], F.lit("")), rest)).alias("out"),
+            )
+
+        return _let(chosen, go)
+
+    start = F.struct(
+        F.lit(0).alias("skip"), F.lit(0).alias("held"), F.lit(0).alias("n"), F.array().cast("array<string>").alias("out")
+    )
+    return F.aggregate(F.arrays_zip(pieces.alias("piece"), tried.alias("t")), start, step)
 
 
 def pseudonymise(docs: DataFrame, key: str, text_col: str = "text") -> DataFrame:
@@ -195,23 +276,25 @@ def pseudonymise(docs: DataFrame, key: str, text_col: str = "text") -> DataFrame
     """
     text = F.col(f"`{text_col}`")
     may = F.coalesce(F.rlike(text, F.lit(HINT)), F.lit(False))
-    found = docs.withColumn("__found", F.when(may, F.regexp_extract_all(text, F.lit(ANY), F.lit(0))))
-    found = found.withColumn("__new", F.transform("__found", lambda m: pseudonym(m, key)))
-    around = F.split(text, ANY, -1)
-    stitched = F.array_join(
-        F.flatten(
-            F.zip_with(
-                around,
-                F.zip_with("__new", "__found", lambda new, old: F.coalesce(new, old)),
-                lambda before, value: F.array(before, F.coalesce(value, F.lit(""))),
-            )
-        ),
-        "",
-    )
+    # the places where a form may begin: what stands there, and the text parted at them
+    window = rf"(?=(?:{ANY}))(?=({FORMS[0][1]}|(?s:.{{1,{REACH}}})))"
+    found = docs.withColumn("__found", F.when(may, F.regexp_extract_all(text, F.lit(window), F.lit(1))))
     hit = F.coalesce(F.size("__found") > 0, F.lit(False))
-    count = F.when(hit, F.size(F.filter("__new", lambda m: m.isNotNull()))).otherwise(0).cast("long")
+    parts = F.split(text, f"(?={ANY})", -1)
+    # no empty piece comes before a form at the very start
+    pieces = F.when(F.size(parts) > F.size("__found"), parts).otherwise(F.concat(F.array(F.lit("")), parts))
+    found = found.withColumn("__pieces", F.when(hit, pieces))
+    windows = F.transform(
+        "__found", lambda w, i: F.concat(F.coalesce(F.nullif(F.right(F.get("__pieces", i), F.lit(1)), F.lit("")), F.lit("\n")), w)
+    )
+    tried = F.transform(windows, lambda w: candidate(w, key))
+    nothing = F.array(F.lit(None).cast("struct<sure:struct<size:int,new:string>,loose:struct<size:int,new:string>>"))
+    found = found.withColumn("__done", F.when(hit, _walk(F.col("__pieces"), F.concat(nothing, tried))))
     kept = [c for c in docs.columns if c.lower() != "n_pii"]
     return found.select(
-        *(F.when(hit, stitched).otherwise(text).alias(c) if c.lower() == text_col.lower() else F.col(f"`{c}`") for c in kept),
-        count.alias("n_pii"),
+        *(
+            F.when(hit, F.array_join("__done.out", "")).otherwise(text).alias(c) if c.lower() == text_col.lower() else F.col(f"`{c}`")
+            for c in kept
+        ),
+        F.when(hit, F.col("__done.n")).otherwise(0).cast("long").alias("n_pii"),
     )

@@ -251,6 +251,26 @@ def test_pseudonyms_keep_format_and_check_digits(spark):
     datetime.date.fromisoformat(re.search(r"<(.*)>", found["1985-02-28"].text)[1])
 
 
+def test_values_beside_others_and_inside_failed_matches(spark):
+    card, amex, iban = "4111 1111 1111 1111", "3782 822463 10005", "GB82WEST12345698765432"
+    cases = {  # values in their texts, as {}
+        "{} 123": [card], "{} 12/25": ["4111111111111111"], "{} BIC COBADEFF": ["DE89 3704 0044 0532 0130 00"],
+        "{} {}": [iban, "2024-05-01"], "at {}T10:00:00Z": ["2024-05-01"], "No 12 {} 99": [card], "{} 1234 {}": [amex, "4111-1111-1111-1111"],
+        "AT12 {}": [card], "1234 5678 9012 3456 7890 {}": [card], "{}, {}": ["4111111111111111", "Jo@example.com"],
+        "x {}5 {}": ["jo@example.com", "192.168.0.1"], "+49 30 1234 5678 9012 3456 {}": ["(555) 010-9999"], "4111 1111 1111 1112 é {}": ["31.12.1999"],
+    }
+    rows = [(f, f.format(*v)) for f, v in cases.items()]
+    found = {r.f: r for r in pseudonyms.pseudonymise(spark.createDataFrame(rows, "f string, text string"), "k").collect()}
+    alone = [(v,) for some in cases.values() for v in some]
+    single = {r.v: r.text for r in pseudonyms.pseudonymise(spark.createDataFrame(alone, "v string").selectExpr("v", "v AS text"), "k").collect()}
+    for f, values in cases.items():
+        if f.startswith("+49"):
+            assert found[f].text.endswith(single[values[0]]) and "1234 5678" not in found[f].text
+            continue
+        assert found[f].text == f.format(*(single[v] for v in values)) and found[f].n_pii == len(values), (f, found[f].text)
+        assert all(single[v] != v for v in values)
+
+
 def test_permutations_are_one_to_one(spark):
     n = pseudonyms.DAYS
     days = spark.range(n * n).select(
