@@ -1,23 +1,26 @@
 """URL filters: association rules mined from labelled pages, matched by an inverted index.
 
-Only DataFrame functions and Spark's FP-growth are used.
-
-A URL becomes a basket of at most eleven attributes (`ATTRIBUTES`), read from
-the whole URL. Their fixed number bounds the itemsets of one basket by 2^11,
-however long a URL is. FP-growth over the baskets of labelled pages, each with
-its label as one more item, gives rules `attributes -> block`; support and
-confidence prune them. A rule is filed in the index under its rarest item, so a
-basket meets only the rules of its own rare items, and is then checked in full.
+Only DataFrame functions are used.
+
+A URL becomes a basket of items read from the whole URL: attributes of fixed
+place (`ATTRIBUTES`), and all host labels, folders, words inside them, query keys
+and query values. Items that too few blocked pages have are dropped first, by an
+absolute count. Level by level the items of labelled pages are joined to itemsets
+of at most `MAX_ITEMS`; an itemset on the same pages as a part of it, or on
+blocked pages alone, is not extended, as no larger one says more. Count and
+confidence prune the rules `itemset -> block`. A rule is filed in the index under
+its rarest item, so a basket meets only the rules of its own rare items, and is
+then checked in full.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from shelfmark.llm.batches import bounded_broadcast
 from shelfmark.session import materialize
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -25,10 +28,14 @@ _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _PARTS = r"(?s)^.*?://([^/?#]*)([^?#]*)"
 
 ATTRIBUTES = ("scheme", "host", "domain", "tld", "sub", "first", "last", "dir1", "dir2", "ext", "query")
-BLOCK_ITEM = "label=block"
-MIN_SUPPORT = 0.001
-#: Pages that must bear a rule out, however few pages are labelled.
+#: Share of the labelled pages that must bear a rule out besides `MIN_COUNT`; none, so the bar does not rise with the table.
+MIN_SUPPORT = 0.0
+#: Blocked pages that must bear a rule out, however few or many pages are labelled.
 MIN_COUNT = 10
+#: Items of one rule.
+MAX_ITEMS = 3
+#: Above so many itemsets a join goes by shuffle and not by broadcast.
+BROADCAST_SETS = 500_000
 MIN_CONFIDENCE = 0.6
 
 
@@ -70,7 +77,7 @@ def listed_rule(host: Column, path: Column, rules: list[Rule]) -> Column:
 
 
 def basket(url: Column) -> Column:
-    """Sorted attribute items of a URL, such as `tld=org`; absent attributes give none."""
+    """Sorted items of a whole URL, such as `tld=org` or `dir=news`; absent attributes give none."""
     host, path = host_of(url), path_of(url)
     labels = F.split(host, r"\.")
     name = F.when(F.size(labels) > 1, F.element_at(labels, -2)).otherwise(host)
@@ -94,7 +101,26 @@ def basket(url: Column) -> Column:
         "query": F.regexp_extract(url, r"\?([^=&#]*)", 1),
     }
     items = F.array(*(F.when(values[k] != "", F.concat(F.lit(k + "="), values[k])) for k in ATTRIBUTES))
-    return F.sort_array(F.array_distinct(F.array_compact(items)))
+
+    def every(name: str, parts: Column) -> Column:
+        named = F.transform(F.filter(parts, lambda x: x != ""), lambda x: F.concat(F.lit(name + "="), x))
+        return F.coalesce(named, F.array().cast("array<string>"))
+
+    def words_in(parts: Column, sign: str) -> Column:
+        """Words of the parts that hold several."""
+        return F.flatten(F.transform(F.filter(parts, lambda x: F.rlike(x, F.lit(sign))), lambda x: F.split(x, sign)))
+
+    pairs = F.split(F.regexp_extract(url, r"(?s)^[^?#]*\?([^#]*)", 1), "[&;]")
+    rest = F.concat(
+        every("label", labels),
+        every("hostword", words_in(labels, "-")),
+        every("dir", F.slice(folders, 2, F.greatest(F.size(folders), F.lit(0)))),
+        every("word", words_in(folders, r"[^\p{L}\p{N}]+")),
+        every("key", F.transform(pairs, lambda x: F.regexp_extract(x, "(?s)^([^=]*)", 1))),
+        every("value", F.transform(pairs, lambda x: F.regexp_extract(x, "(?s)=(.*)$", 1))),
+        every("arg", F.filter(pairs, lambda x: x.contains("="))),
+    )
+    return F.sort_array(F.array_distinct(F.concat(F.array_compact(items), rest)))
 
 
 def labelled_baskets(pages: DataFrame, blocked: DataFrame) -> DataFrame:
@@ -111,36 +137,64 @@ def mine(
 ) -> DataFrame:
     """Rules (rule_id, items, key, confidence, support) that lead to the block item.
 
-    A rule with a subset among the rules of no less confidence says nothing new
-    to a matcher that takes the most confident, and stays harmless. No baskets
-    give no rules.
+    Of itemsets on the same labelled pages the least parts are given; a larger
+    one would say nothing new to a matcher that takes the most confident. No
+    baskets give no rules.
     """
     spark = baskets.sparkSession
     empty = "rule_id string, items array<string>, key string, confidence double, support double"
-    items = baskets.select(
-        F.when(F.col("block"), F.array_append("items", F.lit(BLOCK_ITEM))).otherwise(F.col("items")).alias("items")
-    )
-    items = materialize(items, "url-baskets")
-    if not items.where(F.array_contains("items", BLOCK_ITEM)).limit(1).count():
-        return spark.createDataFrame([], empty)
-    support = max(min_support, min_count / items.count())
-    if support > 1:
+    rows = baskets.groupBy("items").agg(F.count("*").alias("n"), F.sum(F.col("block").cast("long")).alias("b"))
+    rows = materialize(rows.withColumn("id", F.monotonically_increasing_id()), "url-baskets")
+    total = rows.agg(F.sum("n").alias("n")).first().n or 0
+    bar = max(min_count, min_support * total)
+    found = None
+    held = rows.select("id", "n", "b", F.array().cast("array<string>").alias("start"), F.explode("items").alias("item"))
+    smaller = spark.createDataFrame([([], total)], "items array<string>, n long")
+    for size in range(1, MAX_ITEMS + 1):
+        own = F.array_append("start", F.col("item"))
+        if size > 1:  # two itemsets that differ in the last item make one that is longer by one
+            joined = held.groupBy("id", "start").agg(
+                F.sort_array(F.collect_list("item")).alias("ends"), F.first("n").alias("n"), F.first("b").alias("b")
+            )
+            joined = joined.select("*", F.posexplode("ends").alias("at", "end"))
+            held = joined.select(
+                "id", "n", "b", F.array_append("start", F.col("end")).alias("start"),
+                F.explode(F.slice("ends", F.col("at") + 2, F.size("ends"))).alias("item"),
+            )
+        sets = held.groupBy(own.alias("items")).agg(F.sum("n").alias("n"), F.sum("b").alias("b")).where(F.col("b") >= bar)
+        sets = materialize(sets, "url-itemsets")
+        if not sets.limit(1).count():
+            break
+        # on fewer pages than each of its parts; parts that are missing were not to be extended
+        parts = sets.select("items", "n", "b", F.posexplode("items").alias("at", "out")).select(
+            "items", "n", "b", F.concat(F.slice("items", F.lit(1), F.col("at")), F.slice("items", F.col("at") + 2, F.size("items"))).alias("part")
+        )
+        parts = parts.join(smaller.select(F.col("items").alias("part"), F.col("n").alias("of")), "part")
+        least = parts.where("n < of").groupBy("items").agg(F.first("n").alias("n"), F.first("b").alias("b"), F.count("*").alias("parts"))
+        least = materialize(least.where(F.col("parts") == size).drop("parts"), "url-itemsets")
+        level = sets if size == 1 else least
+        found = level if found is None else found.unionByName(level)
+        if size == 1:
+            singles = sets
+        smaller = least.where("b < n").select("items", "n")
+        open_sets = bounded_broadcast(smaller.select(F.col("items").alias("set")), BROADCAST_SETS)
+        held = held.join(open_sets, own == F.col("set"), "left_semi")
+    if found is None:
         return spark.createDataFrame([], empty)
-    model = FPGrowth(itemsCol="items", minSupport=support, minConfidence=min_confidence).fit(items)
-    rules = model.associationRules.where(F.col("consequent")[0] == BLOCK_ITEM).select(
-        F.array_join(F.sort_array("antecedent"), " ").alias("rule_id"),
-        F.sort_array("antecedent").alias("items"),
-        "confidence",
-        "support",
+    rules = found.where(F.col("b") / F.col("n") >= min_confidence).select(
+        F.array_join("items", " ").alias("rule_id"),
+        "items",
+        (F.col("b") / F.col("n")).alias("confidence"),
+        (F.col("b") / F.lit(total)).alias("support"),
     )
-    counts = model.freqItemsets.where(F.size("items") == 1).select(F.col("items")[0].alias("item"), "freq")
+    counts = singles.select(F.col("items")[0].alias("item"), F.col("n").alias("freq"))
     keys = (
-        rules.select("rule_id", F.explode("items").alias("item"))
+        rules.select("items", F.explode("items").alias("item"))
         .join(counts, "item")
-        .groupBy("rule_id")
+        .groupBy("items")
         .agg(F.min_by("item", F.struct("freq", "item")).alias("key"))
     )
-    return materialize(rules.join(keys, "rule_id").select(*(c.split()[0] for c in empty.split(", "))), "url-rules")
+    return materialize(rules.join(keys, "items").select(*(c.split()[0] for c in empty.split(", "))), "url-rules")
 
 
 def judge(pages: DataFrame, rules: DataFrame, listed: list[Rule]) -> DataFrame:

@@ -75,6 +75,22 @@ def test_mined_rules_block_what_the_labels_show(spark):
         assert row.key in row["items"] and row.confidence >= 0.6
 
 
+def test_bad_tokens_anywhere_in_a_long_url_are_mined(spark):
+    forms = ["http://a.example.org/x/y/{}/z", "http://a.example.org/x/y/z-{}-t.html", "http://a.example.org/?k=1&{}=2",
+             "http://a.example.org/?k={}", "http://a.{}.b.example.org/", "http://p-{}-q.example.org/"]
+    for i, form in enumerate(forms):
+        pages = [(100 * i + k, form.format("bad" if k < 24 else f"ok{k}")) for k in range(60)]
+        frame = spark.createDataFrame(pages, "page_id long, url string")
+        labels = spark.createDataFrame([(n, "bad" in url) for n, url in pages if n % 2], "page_id long, block boolean")
+        found = url_rules.judge(frame, url_rules.mine(url_rules.labelled_baskets(frame, labels)), [])
+        assert {r.page_id for r in found.where("verdict = 'block'").collect()} == {n for n, url in pages if "bad" in url}, form
+
+
+def test_a_large_table_asks_for_no_more_pages(spark):
+    rows = spark.range(30_000).selectExpr("array('tld=org', concat('host=', if(id < 12, 'bad', string(id % 50)))) AS items", "id < 12 AS block")
+    assert [(r["items"], r.confidence) for r in url_rules.mine(rows).collect()] == [(["host=bad"], 1.0)]
+
+
 def test_tokens_of_odd_texts(spark, tables):
     library = Tokenizer.from_file(VOCABULARY)
     found = QUERIES["op2_wavelet_tokens"](spark, tables(**ROWS)).collect()
