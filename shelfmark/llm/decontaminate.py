@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -140,16 +141,19 @@ class Automaton:
         return spans, found
 
 
-def _blocks(items: DataFrame, text_col: str, id_col: str) -> list[list[tuple[str, list[bytes]]]]:
-    """Items with words, in blocks of bounded size; each block is read by the driver alone."""
+def _blocks(items: DataFrame, text_col: str, id_col: str) -> tuple[int, Iterator[list[tuple[str, list[bytes]]]]]:
+    """The number of blocks of bounded size, and the items with words in each; the driver reads one block at a time."""
     chosen = items.select(F.col(id_col).cast("string").alias("id"), F.col(text_col).alias("text")).where(
         "id IS NOT NULL AND text IS NOT NULL"
     )
     chars = chosen.agg(F.sum(F.length("text")).alias("n")).first().n or 0
-    count = 1 + chars // (2 * BLOCK_WORDS)
-    for k in range(count):  # a word and its separator are two characters at least
+    count = 1 + chars // (2 * BLOCK_WORDS)  # a word and its separator are two characters at least
+
+    def block(k: int) -> list[tuple[str, list[bytes]]]:
         part = chosen.where(F.pmod(F.xxhash64("id", "text"), F.lit(count)) == k)
-        yield [(row.id, words_of(row.text)) for row in part.distinct().orderBy("id", "text").collect()]
+        return [(row.id, words_of(row.text)) for row in part.distinct().orderBy("id", "text").collect()]
+
+    return count, map(block, range(count))
 
 
 def scan(docs: DataFrame, items: DataFrame, text_col: str = "text", keep=None, window: int = WINDOW,
@@ -162,7 +166,7 @@ def scan(docs: DataFrame, items: DataFrame, text_col: str = "text", keep=None, w
     """
     keep = list(docs.columns if keep is None else keep)
     out, first = docs, True
-    for block in _blocks(items, item_text, item_id):
+    for block in _blocks(items, item_text, item_id)[1]:
         automaton = Automaton(block, window)
         if not first:
             out = materialize(out, "decontaminate")
@@ -243,10 +247,10 @@ def clean(docs: DataFrame, items: DataFrame, text_col: str = "text", max_coverag
     takes the spans of all blocks on the same text before it cuts, and hit words
     count against the words of the text as it came.
     """
-    blocks = list(_blocks(items, "text", "item_id"))
-    if len(blocks) > 1:
+    count, blocks = _blocks(items, "text", "item_id")
+    if count > 1:
         return _clean_in_rounds(docs, items, text_col, max_coverage, window)
-    automaton = Automaton(blocks[0], window)
+    automaton = Automaton(next(blocks), window)
 
     def run(batches):
         for batch in batches:

@@ -154,6 +154,27 @@ def test_many_blocks_clean_like_one(spark, monkeypatch):
     assert {x: run(x) for x in whole} == whole
 
 
+def test_cleaning_reads_one_block_at_a_time(spark, monkeypatch):
+    items = spark.createDataFrame([(i, f"u{i} v{i} w{i}") for i in range(60)], "item_id long, text string")
+    docs = spark.createDataFrame([(1, "a u7 v7 w7 b c d e f")], "doc_id long, text string")
+    events, collect, build = [], type(docs).collect, decontaminate.Automaton.__init__
+
+    def collecting(frame):
+        if frame.columns == ["id", "text"]:
+            events.append("read")
+        return collect(frame)
+
+    def building(self, *args):
+        events.append("build")
+        build(self, *args)
+
+    monkeypatch.setattr(type(docs), "collect", collecting)
+    monkeypatch.setattr(decontaminate.Automaton, "__init__", building)
+    monkeypatch.setattr(decontaminate, "BLOCK_WORDS", 150)
+    assert [r.text for r in decontaminate.clean(docs, items, window=3).collect()] == ["a\nb c d e f"]
+    assert len(events) > 2 and events == ["read", "build"] * (len(events) // 2)
+
+
 def test_cleaned_texts_hold_no_window(spark):
     items = spark.createDataFrame([(1, "a b c d e f g h i j k l")], "item_id long, text string")
     clean = "Quite another text, of its own words entirely; nothing to cut. "
