@@ -59,3 +59,47 @@ SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit,
   sha256(coalesce(listed, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
 FROM d LEFT JOIN words USING (row_id) LEFT JOIN items USING (row_id)
 """
+
+# crc32 bit by bit: every eighth step takes in the next byte. Words with another letter at one
+# place are equal without it; of words one letter apart in length, one is the other without a letter.
+ORACLES["op13_spelling_variants"] = rf"""
+WITH RECURSIVE runs AS (
+  SELECT doc_id, run, count(*) AS c FROM (
+    SELECT doc_id, unnest(regexp_extract_all(translate(text, {_LOWER}), '[A-Za-zÀ-ÿ]{{6,}}')) AS run FROM documents
+  ) GROUP BY ALL
+), bytes AS (
+  SELECT *, list_transform(range(0, CAST(length(hex(encode(doc_id || ':' || run))) / 2 AS BIGINT)),
+    lambda i: CAST('0x' || substr(hex(encode(doc_id || ':' || run)), 2 * i + 1, 2) AS BIGINT)) AS b FROM runs
+), hashed AS (
+  SELECT run, c, doc_id, xor(list_reduce(range(0, 8 * len(b)), lambda a, k:
+    xor((CASE WHEN k % 8 = 0 THEN xor(a, b[k // 8 + 1]) ELSE a END) >> 1,
+        3988292384 * ((CASE WHEN k % 8 = 0 THEN xor(a, b[k // 8 + 1]) ELSE a END) & 1)), 4294967295), 4294967295) AS h
+  FROM bytes
+), words AS (
+  SELECT word, CAST(sum(c) AS BIGINT) AS n FROM (
+    SELECT c, CASE WHEN h % 199 = 0 THEN substr(run, 1, CAST(h % length(run) AS BIGINT)) || substr(run, CAST(h % length(run) AS BIGINT) + 2)
+      ELSE run END AS word FROM hashed
+  ) WHERE length(word) >= 6 GROUP BY word HAVING sum(c) >= 5
+), less AS (
+  SELECT DISTINCT word, n, at, substr(word, 1, at) || substr(word, at + 2) AS piece
+  FROM (SELECT word, n, unnest(range(0, length(word))) AS at FROM words)
+), replaced AS (
+  SELECT x.word, y.word AS other, y.n AS m FROM less x JOIN less y USING (at, piece) WHERE x.word != y.word
+), dropped AS (
+  SELECT DISTINCT x.word, x.n, y.word AS other, y.n AS m FROM less x JOIN words y ON y.word = x.piece
+), near AS (
+  SELECT word, other, m FROM replaced
+  UNION ALL SELECT word, other, m FROM dropped
+  UNION ALL SELECT other, word, n FROM dropped
+), told AS (
+  SELECT word, count(*) AS n_near, first(other ORDER BY m DESC, other) AS other, max(m) AS m FROM near GROUP BY word
+), formed AS (
+  SELECT w.word, w.n, coalesce(n_near, 0) AS n_near, CASE WHEN m >= 5 * w.n THEN other END AS form, CASE WHEN m >= 5 * w.n THEN m END AS form_n
+  FROM words w LEFT JOIN told USING (word)
+), chain AS (
+  SELECT word, word AS at FROM words
+  UNION ALL SELECT c.word, f.form FROM chain c JOIN formed f ON f.word = c.at WHERE f.form IS NOT NULL
+)
+SELECT f.word, f.form, c.at AS root, f.n, f.n_near, f.form_n FROM formed f
+JOIN chain c ON c.word = f.word JOIN formed e ON e.word = c.at AND e.form IS NULL
+"""

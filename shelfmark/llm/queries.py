@@ -8,7 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfmark.llm import bpe, chat, decontaminate, language, neardup, neighbours, pseudonyms, quality_rules, token_files, url_rules
+from shelfmark.llm import (
+    bpe, chat, decontaminate, language, neardup, neighbours, notices, periods, pseudonyms, quality_rules, token_files, url_rules, variants,
+)
 from shelfmark.llm.batches import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -113,3 +115,23 @@ def op10_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with its personal data replaced."""
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
     return pseudonyms.pseudonymise(docs, PSEUDONYM_KEY)
+
+
+@query
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Runs of repeated word blocks in every document; a tenth of the documents repeat one of their own."""
+    docs = read(spark, sf_dir, "documents")
+    shown = docs.select("doc_id", periods.repeated(F.col("doc_id"), F.col("text")).alias("text"))
+    return periods.digests(periods.find_runs(shown, keep=["doc_id"]))
+
+
+@query
+def op12_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licence notices in every document, found in spite of a few edits."""
+    return notices.digests(notices.scan(read(spark, sf_dir, "documents"), keep=["doc_id"]))
+
+
+@query
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of all documents with the more frequent word that each is a variant of."""
+    return variants.group(read(spark, sf_dir, "documents"))

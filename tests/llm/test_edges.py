@@ -2,12 +2,16 @@
 
 import zlib
 
+import duckdb
 import numpy as np
 import pytest
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from shelfmark.llm import chat, url_rules
+from checks.compare import rows_by_name
+from shelfmark.llm import chat, notices, periods, url_rules, variants
+from shelfmark.llm.lce import Extensions, cover
+from shelfmark.llm.oracles import ORACLES
 from shelfmark.llm.queries import QUERIES, VOCABULARY
 
 #: Names that operators use for columns of their own.
@@ -34,7 +38,7 @@ ROWS = {
     ],
 }
 PER_DOCUMENT = ["op2_wavelet_tokens", "op3_quality_rules", "op5_decontamination", "op6_near_duplicates", "op7_bpe",
-                "op8_quality_classifier", "op9_language_id", "op10_pseudonyms"]
+                "op8_quality_classifier", "op9_language_id", "op10_pseudonyms", "op11_periodic_runs", "op12_license_scan"]
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
@@ -140,3 +144,97 @@ def test_pipeline_on_odd_and_empty_tables(spark, tables, tmp_path):
 
 def test_pipeline_of_nothing(spark, tables):
     assert corpus_pipeline.run(spark, tables()).count() == 0
+
+
+def test_cover_reaches_every_pair_of_residues():
+    for v in (64, 256):
+        members, shift = cover(v)
+        a, b = np.indices((v, v))
+        assert (shift >= 0).all() and np.isin((a + shift) % v, members).all() and np.isin((b + shift) % v, members).all()
+
+
+def test_extensions_equal_plain_comparison():
+    rng = np.random.default_rng(3)
+    for kind in range(30):
+        numbers = rng.integers(0, 1 + kind % 3, rng.integers(1, 700))
+        if kind % 2:
+            numbers = np.tile(numbers[: 1 + len(numbers) // 7], 8)
+        numbers = np.append(numbers, 9)
+        a, b = rng.integers(0, len(numbers), (2, 200))
+        a, b = a[a != b], b[a != b]
+        for x, y, got in zip(a.tolist(), b.tolist(), Extensions(numbers)(a, b).tolist()):
+            same = 0
+            while numbers[min(x, y) + same] == numbers[max(x, y) + same]:
+                same += 1
+            assert got == same
+
+
+def test_runs_of_odd_texts(spark):
+    block = [f"b{i}" for i in range(700)]
+    texts = {
+        1: None, 2: "", 3: " \n", 4: "a " * 5, 5: "a\u00a0b " * 6, 6: "x " * 200_000, 7: " ".join(block * 40),
+        8: "a b a b a b a b c a a a a a a", 9: "é é é é é é", 10: "z" * (3 << 20) + " y y\ty\x0by y y",
+    }
+    frame = spark.createDataFrame([*texts.items(), (8, texts[8])], "doc_id long, text string")
+    found = {r.doc_id: [tuple(x) for x in r.runs] for r in periods.find_runs(frame).collect()}
+    assert found == {
+        1: [], 2: [], 3: [], 4: [], 5: [(0, 6, 1)], 6: [(0, 200_000, 1)], 7: [(0, 28_000, 700)],
+        8: [(0, 8, 2), (9, 6, 1)], 9: [(0, 6, 1)], 10: [(1, 6, 1)],
+    }
+    collapsed = {r.doc_id: r.collapsed for r in periods.find_runs(frame).collect()}
+    assert collapsed[8] == "a b c a" and collapsed[6] == "x" and collapsed[7] == " ".join(block) and collapsed[3] == ""
+    assert collapsed[10] == "z" * (3 << 20) + " y"
+
+
+def test_notices_with_edits_are_found_and_clean_texts_are_not(spark):
+    rng = np.random.default_rng(2)
+    rows, wanted = [], {}
+    for number, notice in enumerate(notices.NOTICES):
+        for edits in (0, 1, notice.edits):
+            text = notice.text
+            for at in rng.choice(np.arange(1, len(text) - 1), edits, replace=False):
+                text = text[:at] + "q" + text[at + 1 :]
+            doc = len(rows)
+            rows.append((doc, f"Some words, {text.upper()}. And (more) words"))
+            wanted[doc] = number
+    rows += [(1000, "the licence of the mill"), (1001, None), (1002, "of " * 500_000 + "RELEASED under teh MIT  License"), (1003, "emit license")]
+    found = {r.doc_id: r for r in notices.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    for doc, number in wanted.items():
+        assert number in {h.notice for h in found[doc].hits}, rows[doc]
+        assert all(h.first_word >= 2 for h in found[doc].hits if h.notice == number)
+    assert not found[1000].hits and not found[1001].hits and not found[1003].hits and not found[1003].base
+    assert [(h.label, h.edits, h.first_word, h.text) for h in found[1002].hits] == [("mit", 2, 500_000, "released under teh mit license")]
+    assert [tuple(b) for b in found[1002].base] == [(500_003, "mit")]
+
+
+def test_pivots_meet_the_prefix_of_every_near_word():
+    rng = np.random.default_rng(4)
+    for _ in range(300):
+        word = "".join(rng.choice(list("abé"), rng.integers(6, 12)))
+        at = int(rng.integers(len(word)))
+        near = [word[:at] + word[at + 1 :], word[:at] + "c" + word[at:], word[:at] + "b" + word[at + 1 :]][rng.integers(3)]
+        grams = {w[i : i + 2] for w in (word, near) for i in range(len(w) - 1)}
+        order = {g: int(r) for g, r in zip(sorted(grams), rng.permutation(len(grams)))}
+        if near == word:
+            continue
+        s, r = sorted((word, near), key=lambda w: variants.prefix_and_pivots(w, order)[2])
+        _, pivots, _ = variants.prefix_and_pivots(s, order)
+        prefix, _, _ = variants.prefix_and_pivots(r, order)
+        assert len(pivots) == 2 and pivots[1] - pivots[0] >= 2
+        assert any(s[: p + 2] == r[: p + 2] and p in prefix or s[p:] == r[p + len(r) - len(s) :] and p + len(r) - len(s) in prefix for p in pivots)
+
+
+def test_variants_of_odd_texts(spark, tables):
+    words = ["letter", "lettor", "leter", "ÉCOLIÈRE", "écolière", "×÷×÷×÷", "LETTER", "letterz", "looooong" * 3000, "looooong" * 3000 + "x", "five5"]
+    counts = [40, 8, 9, 30, 5, 6, 10, 300, 5, 25, 9]
+    documents = [(i, " ".join(f"{w}," for w, n in zip(words, counts) if k < n)) for i, k in enumerate(range(300))]
+    documents += [(None, "letter letter"), (3, None), (4, ""), (7, "letter"), (7, "letter")]
+    folder = tables(CLASHING, documents=documents)
+    frame = QUERIES["op13_spelling_variants"](spark, folder)
+    connection = duckdb.connect()
+    connection.execute(f"CREATE VIEW documents AS SELECT * FROM '{folder}/documents.parquet/*.parquet'")
+    result = connection.execute(ORACLES["op13_spelling_variants"])
+    names = [c[0] for c in result.description]
+    found = {r.word: r for r in frame.collect()}
+    assert rows_by_name(frame.columns, found.values()) == rows_by_name(names, result.fetchall())
+    assert found["lettor"].form == "letter" and found["lettor"].root == "letterz" and found["letterz"].form is None

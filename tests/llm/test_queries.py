@@ -11,7 +11,7 @@ import pytest
 from tokenizers import Tokenizer
 
 from checks.compare import connect, rows_by_name
-from shelfmark.llm import neardup, quality_rules
+from shelfmark.llm import neardup, notices, quality_rules
 from shelfmark.llm.oracles import ORACLES
 from shelfmark.llm.queries import LISTED, QUERIES, VOCABULARY
 
@@ -40,7 +40,7 @@ def test_query_equals_its_sql(spark, sf_dir, name):
 
 
 def test_every_operator_has_a_query():
-    assert sorted(int(re.match(r"op(\d+)_", n)[1]) for n in QUERIES if n.startswith("op")) == list(range(1, 11))
+    assert sorted(int(re.match(r"op(\d+)_", n)[1]) for n in QUERIES if n.startswith("op")) == list(range(1, 14))
 
 
 def test_op1_host_path_and_listed_rules(spark, sf_dir):
@@ -210,3 +210,86 @@ def test_op10_leaves_no_value_and_keeps_the_rest(spark):
 def luhn(number):
     digits = [int(c) for c in reversed(number)]
     return sum(d if i % 2 == 0 else (2 * d - 9 if d > 4 else 2 * d) for i, d in enumerate(digits)) % 10 == 0
+
+
+def test_op11_runs_and_texts_equal_brute_force(spark, sf_dir, documents):
+    found = {r["doc_id"]: r for r in rows(spark, sf_dir, "op11_periodic_runs")}
+    for d in documents:
+        words = [w.decode() for w in (d["text"] or "").encode().split()]
+        n, h = len(words), zlib.crc32(str(d["doc_id"]).encode())
+        g = h // 10
+        if h % 10 == 0 and n:
+            a = g % n
+            p = 1 + (n - a) // (3 + g % 8)
+            words = [words[i] if i < a else words[a + (i - a) % p] for i in range(n)]
+        runs = plain_runs(words)
+        gone = {i for s, length, q in runs for i in range(s + q, s + length)}
+        best = max(runs, key=lambda r: (r[1] / r[2], -r[0], -r[2]), default=(None, None, None))
+        assert found[d["doc_id"]] == {
+            "doc_id": d["doc_id"], "n_runs": len(runs), "start": best[0], "length": best[1], "period": best[2],
+            "exponent_milli": best[0] if best[0] is None else 1000 * best[1] // best[2],
+            "runs_sha256": sha("".join(f"{s},{length},{q}\n" for s, length, q in runs)),
+            "collapsed_sha256": sha(" ".join(w for i, w in enumerate(words) if i not in gone)),
+        }
+
+
+def sha(text):
+    return hashlib.sha256(text.encode()).hexdigest()
+
+
+def plain_runs(words):
+    """Runs by start, then period: every period compared from end to end."""
+    out, n = {}, len(words)
+    for q in range(1, n // 4 + 1):
+        i = 0
+        while i + q < n:
+            j = i
+            while j + q < n and words[j] == words[j + q]:
+                j += 1
+            if j - i + q >= max(6, 4 * q):
+                out.setdefault((i, j - i + q), q)
+            i = max(j, i + 1)
+    return sorted(((s, length, q) for (s, length), q in out.items()), key=lambda r: (r[0], r[2]))
+
+
+def test_op12_equals_a_search_without_seeds(spark, sf_dir, documents):
+    found = {r["doc_id"]: r for r in rows(spark, sf_dir, "op12_license_scan")}
+    for d in documents:
+        text = re.sub("[A-Z]+", lambda m: m[0].lower(), d["text"] or "")
+        words = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", text)
+        places = [
+            (i, label) for i in range(len(words)) for phrase, label in notices.PHRASES.items()
+            if words[i : i + len(phrase.split())] == phrase.split()
+        ]
+        least = [(x, least_edits(x.text, " ".join(words))) for x in notices.NOTICES] if re.search("licen|permission|public|source", text) else []
+        near = [(x, e) for x, e in least if e <= x.edits]
+        r = found[d["doc_id"]]
+        assert (r["n_words"], r["n_base"]) == (len(words), len(places))
+        assert (r["first_word"], r["last_word"]) == (min(places)[0] if places else None, max(places)[0] if places else None)
+        assert r["base_labels"] == ",".join(sorted({label for _, label in places}))
+        assert r["labels"] == ",".join(sorted({label for _, label in places} | {x.label for x, _ in near}))
+        assert r["score"] == pytest.approx(1 if places else max((1 - e / len(x.text) for x, e in near), default=0))
+
+
+def least_edits(pattern, text):
+    """Least edits between `pattern` and whole words of `text`, one word start after the other."""
+    best, limit = len(pattern), len(pattern) // 10
+    for start in (m.start() for m in re.finditer(r"(?<![^ ])", text)):
+        row = list(range(len(pattern) + 1))
+        for j, c in enumerate(text[start : start + len(pattern) + limit + 1]):
+            if c == " ":
+                best = min(best, row[-1])
+            row = edit_row(row, pattern, c, j)
+            if min(row) > limit:
+                break
+        else:
+            if start + len(pattern) + limit + 1 >= len(text):
+                best = min(best, row[-1])
+    return best
+
+
+def edit_row(row, pattern, c, j):
+    out = [j + 1]
+    for i, p in enumerate(pattern):
+        out.append(min(row[i] + (p != c), row[i + 1] + 1, out[-1] + 1))
+    return out
