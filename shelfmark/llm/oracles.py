@@ -81,10 +81,10 @@ WITH RECURSIVE runs AS (
       ELSE run END AS word FROM hashed
   ) WHERE length(word) >= 6 GROUP BY word HAVING sum(c) >= 5
 ), less AS (
-  SELECT DISTINCT word, n, at, substr(word, 1, at) || substr(word, at + 2) AS piece
-  FROM (SELECT word, n, unnest(range(0, length(word))) AS at FROM words)
+  SELECT DISTINCT word, n, place, substr(word, 1, place) || substr(word, place + 2) AS piece
+  FROM (SELECT word, n, unnest(range(0, length(word))) AS place FROM words)
 ), replaced AS (
-  SELECT x.word, y.word AS other, y.n AS m FROM less x JOIN less y USING (at, piece) WHERE x.word != y.word
+  SELECT x.word, y.word AS other, y.n AS m FROM less x JOIN less y USING (place, piece) WHERE x.word != y.word
 ), dropped AS (
   SELECT DISTINCT x.word, x.n, y.word AS other, y.n AS m FROM less x JOIN words y ON y.word = x.piece
 ), near AS (
