@@ -10,8 +10,11 @@ _NUMBERS = ("id", "eclassnumber")
 _TEXTS = ("description", "category")
 
 
+_ORDERED = ", ".join(COLUMNS)
+
+
 def _with(source: str, body: str) -> str:
-    return f"WITH eclasses AS ({source}) {body}"
+    return f"WITH eclasses AS ({source}) {body}".replace(") ,", "),")
 
 
 _CLEAN = catalogue_sql()
@@ -192,6 +195,70 @@ _COMMAND = """CASE id % 4
   ELSE 'DELETE FROM eclasses WHERE description = ''' END || description || ''''"""
 
 
+def _command_sql() -> dict[str, str]:
+    """Each command's next snapshot, and the report after all of them."""
+    inserted = ", ".join(
+        {
+            "id": "CAST(id + 1000000 AS INT) AS id",
+            "description": "upper(category) AS description",
+            "brand": "NOT brand AS brand",
+            "eclassnumber": "eclassnumber",
+            "category": "CAST(NULL AS VARCHAR) AS category",
+        }.get(name, f"CAST(NULL AS BOOLEAN) AS {name}")
+        for name in COLUMNS
+    )
+
+    def insert(t):
+        return f"SELECT * FROM {t} UNION ALL SELECT {inserted} FROM {t} WHERE link"
+
+    def update(t):
+        return f"SELECT {_UPDATED} FROM {t}"
+
+    def delete(t):
+        even = f"SELECT category FROM {t} GROUP BY category HAVING count(*) % 2 = 0"
+        return f"SELECT * FROM {t} WHERE (category IN ({even}) OR eclassnumber IS NULL) IS NOT TRUE"
+
+    report = "SELECT category, brand, count(*) AS n, min(id) AS least FROM c GROUP BY category, brand"
+    return {
+        "command_insert": _with(_GAPPED, insert("eclasses")),
+        "command_update": _with(_GAPPED, update("eclasses")),
+        "command_delete": _with(_GAPPED, delete("eclasses")),
+        "command_session": _with(_GAPPED, f", a AS ({insert('eclasses')}), b AS ({update('a')}), c AS ({delete('b')}) {report}"),
+    }
+
+
+def _replaced(name: str, value: str) -> str:
+    return ", ".join(f"{value} AS {c}" if c == name else c for c in COLUMNS)
+
+
+_CHANGED = f"""SELECT {_replaced('category', 'CASE WHEN id % 10 = 4 THEN upper(category) ELSE category END')}
+  FROM eclasses WHERE (id % 10 = 3) IS NOT TRUE"""
+_NEXT = f"""{_CHANGED} UNION ALL SELECT * FROM eclasses WHERE id % 10 = 5
+  UNION ALL SELECT {_replaced('id', 'CAST(id + 1000000 AS INT)')} FROM eclasses WHERE id % 10 = 6"""
+
+# Equal rows are counted on each side; a key that both lost and won rows was updated.
+_CHANGES = f""", later AS ({_NEXT}), counted AS (
+  SELECT {_ORDERED}, sum(s) AS moved FROM (SELECT *, -1 AS s FROM eclasses UNION ALL SELECT *, 1 AS s FROM later)
+  GROUP BY {_ORDERED} HAVING sum(s) <> 0
+), torn AS (SELECT id FROM counted WHERE id IS NOT NULL GROUP BY id HAVING min(moved) < 0 AND max(moved) > 0)
+SELECT {_ORDERED}, CAST(abs(moved) AS BIGINT) AS copies,
+  CASE WHEN id IN (SELECT id FROM torn) THEN CASE WHEN moved > 0 THEN 'update_after' ELSE 'update_before' END
+    WHEN moved > 0 THEN 'insert' ELSE 'delete' END AS change FROM counted"""
+
+
+def _repair_reasons() -> str:
+    """Why each line of a dump with line breaks in it cannot be read from both ends."""
+    whole = r"regexp_full_match({0}, '[+-]?[0-9]{{1,10}}') AND try_cast({0} AS INT) IS NOT NULL OR {0} IN ('', 'null')"
+    return rf"""WITH lines AS (
+  SELECT unnest(string_split_regex({_line()}, '\r\n|\r|\n')) AS value FROM ({catalogue_sql(RAW)})
+), parted AS (SELECT value, string_split(value, ',') AS f FROM lines)
+SELECT CASE WHEN len(f) < 14 THEN 'fields' WHEN NOT ({whole.format('f[1]')}) THEN 'id'
+    WHEN len(list_filter(f[len(f) - 10 : len(f) - 1], lambda x: lower(x) NOT IN ('true', 'false', '', 'null'))) > 0 THEN 'flags'
+    WHEN NOT ({whole.format('f[len(f)]')}) THEN 'label' END AS reason,
+  count(*) AS n, count(DISTINCT value) AS n_values
+FROM parted GROUP BY ALL"""
+
+
 def _shifted(delta: int) -> str:
     columns = ", ".join(
         f"eclassnumber + {delta} AS eclassnumber" if name == "eclassnumber" else name
@@ -273,6 +340,8 @@ ORACLES: dict[str, str] = {
     + " AS value FROM documents",
     "parse_lines": _CLEAN,
     "parse_lines_dirty": _parsed(catalogue_sql(DIRTY)),
+    "parse_lines_repaired": f"SELECT * REPLACE (nullif(description, '') AS description) FROM ({catalogue_sql(DIRTY)})",
+    "quarantine_counts": _repair_reasons(),
     "rename_columns": producer_sql(_GAPPED),
     "rename_to_consumer": _GAPPED,
     "description_length": "SELECT id, eclassnumber, CAST(length(description) AS INT)"
@@ -299,6 +368,18 @@ ORACLES: dict[str, str] = {
     "snapshot_insert": f"{_CLEAN} UNION ALL SELECT {_INSERTED} FROM supplier",
     "snapshot_update": f"SELECT {_UPDATED} FROM ({_GAPPED})",
     "snapshot_delete": f"SELECT * FROM ({_GAPPED}) WHERE (eclassnumber >= 2000000) IS NOT TRUE",
+    **_command_sql(),
+    "snapshot_changes": _with(_GAPPED, _CHANGES),
+    "apply_changes": _with(_GAPPED, _NEXT),
+    "undo_changes": _GAPPED,
+    "change_records": f"""WITH eclasses AS ({_CLEAN}), later AS ({_CHANGED}), sent AS (
+  SELECT CAST(id AS VARCHAR) AS key, {_line()} AS value FROM (SELECT * FROM later EXCEPT SELECT * FROM eclasses)
+) SELECT key, {_trimmed('value')} AS value FROM sent
+UNION ALL SELECT CAST(id AS VARCHAR), NULL FROM eclasses WHERE id % 10 = 3""",
+    "stream_merged": f"""WITH eclasses AS ({_CLEAN}), later AS ({_CHANGED}) SELECT * FROM later
+UNION ALL SELECT * FROM eclasses WHERE id % 10 = 3""",
+    "stream_changes_merged": _with(_CLEAN, _CHANGED),
+    "compacted_batches": _CLEAN,
     "latest_rows_gapped": f"""SELECT * FROM ({_GAPPED}) WHERE id IS NOT NULL
 UNION ALL SELECT g.* FROM ({_GAPPED}) g, range(2) WHERE id IS NULL""",
     "latest_snapshot": """SELECT user_id, event_id, event_type, value FROM events

@@ -11,14 +11,16 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from checks.tables import DIRTY, RAW, catalogue, gapped, gapped_sql, producer_sql, table
-from shelfmark.functions import codec, text
+from shelfmark.functions import codec, repair, text
 from shelfmark.functions.commands import returns_rows
-from shelfmark.operators import describe, metrics, report, snapshot, split, terms
+from shelfmark.operators import changes, commands, describe, metrics, report, snapshot, split, terms
 from shelfmark.plans import features, flow, training
 from shelfmark.session import materialize, scratch_path
 from shelfmark.sinks import publish
 from shelfmark.sources import files
+from shelfmark.streaming.compact import BatchTable
 from shelfmark.streaming.ingest import ingest_available
+from shelfmark.streaming.merge import MergedTable, merge_available
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -159,6 +161,19 @@ def parse_lines_dirty(spark, sf_dir):
     return codec.parse_lines(codec.encode_lines(catalogue(spark, sf_dir, DIRTY)))
 
 
+def parse_lines_repaired(spark, sf_dir):
+    """Descriptions with commas, read from both ends: the rows as they were."""
+    return repair.parse_lines_repaired(codec.encode_lines(catalogue(spark, sf_dir, DIRTY)))
+
+
+def quarantine_counts(spark, sf_dir):
+    """Lines of a dump with line breaks inside records: how many can be read, and why the others cannot."""
+    path = scratch_path(spark, "dump")
+    publish.text_dump(codec.encode_lines(catalogue(spark, sf_dir, RAW)), path)
+    read = repair.read_lines(files.text_lines(spark, path))
+    return read.groupBy("reason").agg(F.count(F.lit(1)).alias("n"), F.countDistinct("value").alias("n_values"))
+
+
 def rename_columns(spark, sf_dir):
     return codec.to_producer_names(gapped(spark, sf_dir))
 
@@ -248,6 +263,114 @@ def snapshot_delete(spark, sf_dir):
     return snapshot.delete(gapped(spark, sf_dir), "eclassnumber >= 2000000")
 
 
+COMMANDS = {
+    "insert": """INSERT INTO eclasses (eclassnumber, ID, description, brand)
+        SELECT eclassnumber, id + 1000000, upper(category), NOT brand FROM eclasses WHERE link""",
+    "update": """UPDATE eclasses AS e SET category = concat(e.category, '!'), taric = e.details, details = e.taric
+        WHERE e.eclassnumber >= 2000000 AND category IS NOT NULL""",
+    "delete": """DELETE FROM Eclasses WHERE category IN
+        (SELECT category FROM eclasses GROUP BY category HAVING count(*) % 2 = 0) OR eclassnumber IS NULL""",
+}
+
+
+def command_insert(spark, sf_dir):
+    """An INSERT as text: columns in an order of its own, rows from the snapshot itself."""
+    return commands.execute(gapped(spark, sf_dir), COMMANDS["insert"]).snapshot
+
+
+def command_update(spark, sf_dir):
+    """An UPDATE as text: two columns swap roles under an alias."""
+    return commands.execute(gapped(spark, sf_dir), COMMANDS["update"]).snapshot
+
+
+def command_delete(spark, sf_dir):
+    """A DELETE as text whose condition asks the snapshot."""
+    return commands.execute(gapped(spark, sf_dir), COMMANDS["delete"]).snapshot
+
+
+def command_session(spark, sf_dir):
+    """Commands one after the other; the query at the end sees what they left."""
+    prompt = commands.Prompt(gapped(spark, sf_dir))
+    prompt.run_all(COMMANDS.values())
+    return prompt.run("SELECT category, brand, count(*) AS n, min(id) AS least FROM eclasses GROUP BY category, brand").rows
+
+
+def _next_snapshot(first: DataFrame) -> DataFrame:
+    """Rows go, change and come, and some of them twice."""
+    kept = snapshot.update(snapshot.delete(first, "id % 10 = 3"), {"category": "upper(category)"}, "id % 10 = 4")
+    doubled = kept.where("id % 10 = 5")
+    come = first.where("id % 10 = 6").withColumn("id", (F.col("id") + 1_000_000).cast("int"))
+    return kept.unionByName(doubled).unionByName(come)
+
+
+def snapshot_changes(spark, sf_dir):
+    first = gapped(spark, sf_dir)
+    return changes.snapshot_changes(first, _next_snapshot(first))
+
+
+def apply_changes(spark, sf_dir):
+    """The first snapshot and the change set give the second."""
+    first = gapped(spark, sf_dir)
+    return changes.apply_changes(first, changes.snapshot_changes(first, _next_snapshot(first)))
+
+
+def undo_changes(spark, sf_dir):
+    """The second snapshot and the inverse change set give the first."""
+    first = gapped(spark, sf_dir)
+    second = _next_snapshot(first)
+    return changes.apply_changes(second, changes.inverse(changes.snapshot_changes(first, second)))
+
+
+def change_records(spark, sf_dir):
+    """What is published of an update: lines of new rows by key, and keys alone of rows that went."""
+    first = catalogue(spark, sf_dir)
+    second = snapshot.update(snapshot.delete(first, "id % 10 = 3"), {"category": "upper(category)"}, "id % 10 = 4")
+    return publish.change_records(changes.snapshot_changes(first, second))
+
+
+def stream_merged(spark, sf_dir):
+    """Two whole, overlapping snapshots streamed one after the other; each id has its newest row."""
+    first = catalogue(spark, sf_dir).where("id % 10 != 6")
+    second = snapshot.update(catalogue(spark, sf_dir).where("id % 10 != 3"), {"category": "upper(category)"}, "id % 10 = 4")
+    dump, mark = scratch_path(spark, "dump"), scratch_path(spark, "checkpoint")
+    target = MergedTable(spark, scratch_path(spark, "merged"), buckets=16)
+    for number, whole in enumerate((first, second)):
+        publish.text_dump(publish.snapshot_records(whole), f"{dump}/{number}")
+        merge_available(files.text_stream(spark, f"{dump}/*", files_per_batch=3), target, mark)
+    return target.rows().drop("timestamp")
+
+
+def stream_changes_merged(spark, sf_dir):
+    """A snapshot and then its change set, as keyed records that may delete, merged in two batches."""
+    first = catalogue(spark, sf_dir)
+    second = snapshot.update(snapshot.delete(first, "id % 10 = 3"), {"category": "upper(category)"}, "id % 10 = 4")
+    whole = publish.snapshot_records(first).withColumn("key", F.get(F.split("value", ",", 2), F.lit(0)))
+    batches = whole, publish.change_records(changes.snapshot_changes(first, second))
+    inbox, mark = scratch_path(spark, "inbox"), scratch_path(spark, "checkpoint")
+    target = MergedTable(spark, scratch_path(spark, "merged"), deleted="deleted", buckets=16)
+    for number, records in enumerate(batches):
+        stamped = records.select("key", "value", F.timestamp_seconds(F.lit(1_700_000_000 + number)).alias("timestamp"))
+        stamped.write.parquet(f"{inbox}/{number}")
+        stream = spark.readStream.schema(stamped.schema).parquet(f"{inbox}/*")
+        merge_available(stream, target, mark)
+    return target.rows().drop("timestamp")
+
+
+def compacted_batches(spark, sf_dir):
+    """Micro-batches streamed, compacted in two steps, and a later one; the reader gives all rows once, by day."""
+    dump, root, mark = (scratch_path(spark, label) for label in ("dump", "batches", "checkpoint"))
+    whole = catalogue(spark, sf_dir)
+    whole_table = BatchTable(spark, root)
+    for part in range(3):
+        publish.text_dump(publish.snapshot_records(whole.where(F.col("id") % 3 == part)), f"{dump}/{part}")
+        ingest_available(files.text_stream(spark, f"{dump}/*", files_per_batch=2), root, mark)
+        if part < 2:
+            whole_table.compact()
+    whole_table.merge_parts()
+    whole_table.vacuum()
+    return whole_table.rows().drop("timestamp")
+
+
 def latest_whole_snapshot(spark, sf_dir):
     """Two overlapping snapshots stored together; only the newer one's rows come back."""
     first = catalogue(spark, sf_dir)
@@ -552,6 +675,8 @@ QUERIES: dict[str, Query] = {
         trim_lines,
         parse_lines,
         parse_lines_dirty,
+        parse_lines_repaired,
+        quarantine_counts,
         rename_columns,
         rename_to_consumer,
         description_length,
@@ -563,6 +688,17 @@ QUERIES: dict[str, Query] = {
         snapshot_insert,
         snapshot_update,
         snapshot_delete,
+        command_insert,
+        command_update,
+        command_delete,
+        command_session,
+        snapshot_changes,
+        apply_changes,
+        undo_changes,
+        change_records,
+        stream_merged,
+        stream_changes_merged,
+        compacted_batches,
         latest_rows_gapped,
         latest_snapshot,
         latest_whole_snapshot,

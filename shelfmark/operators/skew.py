@@ -6,6 +6,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
+def bounded_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
+    """`df` marked for broadcast if it has at most `max_rows` rows, else as it is; the caller joins either form alike."""
+    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
+
+
 def salted_lookup(
     rows: DataFrame,
     facts: DataFrame,

@@ -29,6 +29,9 @@ CATALOGUE = T.StructType(
 
 COLUMNS = CATALOGUE.fieldNames()
 
+# A catalogue row as it is ingested: with the time of its record.
+STAMPED = T.StructType([*CATALOGUE.fields, T.StructField("timestamp", T.TimestampType())])
+
 CATALOGUE_DDL = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in CATALOGUE.fields)
 
 # The four columns that the database names differently.

@@ -25,7 +25,11 @@ def read_batch(
     batch: int | None = None,
     schema: T.StructType = CATALOGUE,
 ) -> DataFrame:
-    """The rows of one ingested micro-batch, or of all of them."""
+    """The rows of one ingested micro-batch, or of all of them.
+
+    With `schema.STAMPED` the record time comes along, which tells copies of a
+    row from overlapping snapshots apart.
+    """
     name = "*" if batch is None else str(batch)
     return parquet_table(spark, f"{root}/batch_{name}", schema)
 

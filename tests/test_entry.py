@@ -1,3 +1,7 @@
+import subprocess
+import sys
+from pathlib import Path
+
 import pytest
 
 import __spark_entry__ as entry
@@ -24,3 +28,16 @@ def test_entry_gives_a_sorted_result(spark):
     result = entry.entry(spark)
     assert result.dtypes == [("eclassnumber", "int"), ("prediction", "int")]
     assert result.count() > 0
+
+
+@pytest.mark.parametrize("package", ["public_tokenizers", "corpus_pipeline"])
+def test_other_queries_stay_without_what_the_text_operators_need(package):
+    code = f"""
+import sys
+sys.modules[{package!r}] = None
+import __spark_entry__ as entry
+names = set(entry.queries())
+assert "predictions" in names and "pipeline" not in names and not any(n.startswith("op") for n in names), names
+assert set(entry.oracle_sql()) <= names
+"""
+    subprocess.run([sys.executable, "-c", code], check=True, cwd=Path(entry.__file__).parent)
