@@ -27,10 +27,13 @@ from shelfmark.session import materialize, scratch_path
 
 END_ID = 1
 SHARD_TOKENS = 2_000_000
+#: Text that is encoded at once: the more, the fewer chunks are looked up again.
+PIECE_BYTES = 1 << 20
 #: Chunks whose ids a Python worker remembers, twice: the latest and those before.
 REMEMBERED = 500_000
-#: Chunks with more ids are not remembered, so the memory is bounded in bytes.
+#: Chunks with more ids or bytes are not remembered, so the memory is bounded in bytes.
 REMEMBERED_IDS = 64
+REMEMBERED_BYTES = 256
 #: All but ASCII white space.
 CHUNKS = classes(chunks="".join(chr(b) for b in range(256) if chr(b) not in " \t\n\x0b\x0c\r"))
 #: Letters that the vocabulary's normaliser at most lower-cases, and marks that are a word of their own after them.
@@ -44,8 +47,9 @@ class LibraryEncoder:
 
     Neither words nor special tokens of the vocabulary cross white space, so
     equal chunks have equal ids and each goes to the library once while it is
-    remembered. Chunks are named by 64-bit hashes. A-Z count as a-z, as the
-    vocabulary has it, unless a special token might stand in the texts.
+    remembered. Hashes gather what may be equal; every chunk is then compared
+    byte by byte with the one that stands for its hash. A-Z count as a-z, as
+    the vocabulary has it, unless a special token might stand in the texts.
     """
 
     def __init__(self, vocabulary: str):
@@ -56,8 +60,8 @@ class LibraryEncoder:
         self.library.no_truncation()
         self.library.no_padding()
         self.bits = max(1, int(self.library.get_vocab_size(with_added_tokens=True) - 1).bit_length())
-        self.known: dict[int, bytes] = {}
-        self.older: dict[int, bytes] = {}
+        self.known: dict[bytes, bytes] = {}
+        self.older: dict[bytes, bytes] = {}
         self.words: dict[str, bytes] = {}
         letters = byte_letters()
         self.spelled = {c: "".join(letters[b] for b in chr(c).encode()) for c in range(0x80, 0x100)}
@@ -96,10 +100,12 @@ class LibraryEncoder:
     def encode(self, texts: pa.Array, end: int) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts in order, each with `end` after it; ids per text)."""
         raw, _ = byte_view(texts)
-        special = b"<|" in raw.tobytes()
+        data = raw.tobytes()
+        special = b"<|" in data
+        data = data if special else data.translate(_FOLD)
         words = Words(texts, CHUNKS, fold=not special)
-        names, first, place = np.unique(words.hash, return_index=True, return_inverse=True)
-        keys = names.tolist()
+        first, place = _named(data, words)
+        keys = [data[a:b] for a, b in zip(words.starts[first].tolist(), words.ends[first].tolist())]
         ids = list(map(self.known.get, keys))
         new = [i for i, found in enumerate(ids) if found is None]
         if new:
@@ -110,12 +116,9 @@ class LibraryEncoder:
                 ids[i] = self.older.get(keys[i])
                 if ids[i] is None:
                     unseen.append(i)
-            spans = zip(words.starts[first[unseen]].tolist(), words.ends[first[unseen]].tolist())
-            data = raw.tobytes() if special else raw.tobytes().translate(_FOLD)
-            chunks = [data[a:b].decode() for a, b in spans]
-            for i, found in zip(unseen, self._new(chunks)):
+            for i, found in zip(unseen, self._new([keys[i].decode() for i in unseen])):
                 ids[i] = found
-            self.known.update((keys[i], ids[i]) for i in new if len(ids[i]) <= 4 * REMEMBERED_IDS)
+            self.known.update((keys[i], ids[i]) for i in new if len(ids[i]) <= 4 * REMEMBERED_IDS and len(keys[i]) <= REMEMBERED_BYTES)
         sizes = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
         offsets = np.cumsum(sizes) - sizes
         flat = np.frombuffer(b"".join(ids), "<u4")
@@ -128,6 +131,33 @@ class LibraryEncoder:
         return out, counts
 
 
+def _named(data: bytes, words: Words) -> tuple[np.ndarray, np.ndarray]:
+    """(a word that stands for each name, name of each word); words have the same name only if their bytes are equal."""
+    _, first, place = np.unique(words.hash, return_index=True, return_inverse=True)
+    starts, ends = words.starts, words.ends
+    own = first[place]
+    size = ends - starts
+    differs = size != size[own]
+    # eight bytes at once: the first of both, then from eight to eight, the last ones overlapping
+    eights = np.ndarray((len(data) + 1,), "<u8", data + bytes(8), strides=(1,)) if len(data) else np.zeros(1, "<u8")
+    other = np.flatnonzero((own != np.arange(len(own))) & ~differs)
+    short = other[size[other] < 8]
+    mask = (np.uint64(1) << (8 * size[short]).astype(np.uint64)) - np.uint64(1)
+    differs[short] = ((eights[starts[short]] ^ eights[starts[own[short]]]) & mask) != 0
+    rest, at = other[size[other] >= 8], 0
+    while len(rest):
+        shift = np.minimum(at, size[rest] - 8)
+        unequal = eights[starts[rest] + shift] != eights[starts[own[rest]] + shift]
+        differs[rest[unequal]] = True
+        rest, at = rest[~unequal & (at + 8 < size[rest])], at + 8
+    odd = np.flatnonzero(differs)
+    if len(odd):  # equal hashes of different words: each gets a name of its own
+        place = place.copy()
+        place[odd] = len(first) + np.arange(len(odd))
+        first = np.append(first, odd)
+    return first, place
+
+
 def encoder(vocabulary: str) -> LibraryEncoder:
     if vocabulary not in _encoders:
         _encoders[vocabulary] = LibraryEncoder(vocabulary)
@@ -164,7 +194,7 @@ def write(docs: DataFrame, vocabulary: str, root: str, text_col: str = "text", i
             return pa.RecordBatch.from_pydict(dict(zip(("part", "seq", "file", "n_docs", "n_tokens"), row)))
 
         for batch in batches:
-            for piece in pieces(batch, "text"):
+            for piece in pieces(batch, "text", PIECE_BYTES):
                 found, counts = encoder(vocabulary).encode(piece.column(1), END_ID)
                 at = 0
                 for doc_id, n in zip(piece.column(0).to_pylist(), counts.tolist()):

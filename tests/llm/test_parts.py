@@ -49,6 +49,35 @@ def test_codec_equals_the_library_on_code_points_of_any_age(codec, library):
         assert codec.encode(text) == library.encode(text, add_special_tokens=False).ids, hex(point)
 
 
+def thue_morse(letters, n):
+    return "".join(letters[bin(i).count("1") % 2] for i in range(n))
+
+
+def test_chunks_of_equal_hash_keep_their_own_ids(library, monkeypatch):
+    pairs = [thue_morse(letters, n) for n in (1024, 2048) for letters in ("ab", "ba")]
+    few = ["ab", "ba", "abcdefgh", "abcdefgi", "bbcdefgh", "abcdefghij", "abcdefghik", "abcdefghijklmnopqr", "abcdefgXijklmnopqr", "a"]
+    texts = [*pairs, " ".join(pairs), " ".join(few + few[::-1]), *few]
+    wanted = [[*library.encode(t, add_special_tokens=False).ids, 1] for t in texts]
+
+    def check():
+        own = token_files.LibraryEncoder(VOCABULARY)
+        for some in (texts, texts[::-1]):
+            ids, counts = own.encode(pa.array(some), 1)
+            assert [x.tolist() for x in np.split(ids, np.cumsum(counts)[:-1])] == (wanted if some is texts else wanted[::-1])
+
+    check()
+    # and if all hashes were equal
+    words = token_files.Words
+
+    class Same(words):
+        def __init__(self, *args, **options):
+            super().__init__(*args, **options)
+            self.hash = np.zeros_like(self.hash)
+
+    monkeypatch.setattr(token_files, "Words", Same)
+    check()
+
+
 def test_long_words_are_not_remembered():
     codec, remembering = WordCodec(VOCABULARY), token_files.LibraryEncoder(VOCABULARY)
     texts = ["x" * 5_000 + " ab", "é" * 5_000]
