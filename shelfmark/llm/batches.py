@@ -14,7 +14,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 BATCH_BYTES_KEY = "spark.sql.execution.arrow.maxBytesPerBatch"
-BATCH_BYTES = 4 << 20
+BATCH_BYTES = 1 << 20
+#: Text that is worked on at once. Workers live on from stage to stage, so what one piece needs is what they keep.
+PIECE_BYTES = 256 << 10
 _shipped: set[str] = set()
 
 
@@ -38,7 +40,27 @@ def prepare(spark: SparkSession) -> None:
         _shipped.add(context.applicationId)
 
 
-def pieces(batch: pa.RecordBatch, column: str, limit: int = 2 << 20) -> Iterator[pa.RecordBatch]:
+def give_back() -> None:
+    """Return freed memory to the system; a worker would keep the most that it ever used."""
+    pa.default_memory_pool().release_unused()
+    if _trim is not None:
+        _trim(0)
+
+
+def _libc_trim():
+    """glibc's way to do that; other C libraries have none."""
+    import ctypes
+
+    try:
+        return ctypes.CDLL(None).malloc_trim
+    except (AttributeError, OSError):
+        return None
+
+
+_trim = _libc_trim()
+
+
+def pieces(batch: pa.RecordBatch, column: str, limit: int = PIECE_BYTES) -> Iterator[pa.RecordBatch]:
     """Slices of `batch` with at most `limit` bytes in `column`; a longer text is a slice alone."""
     lengths = pc.binary_length(batch.column(column)).fill_null(0).to_pylist()
     start = size = 0
@@ -49,6 +71,8 @@ def pieces(batch: pa.RecordBatch, column: str, limit: int = 2 << 20) -> Iterator
         size += length
     if start < batch.num_rows:
         yield batch.slice(start)
+    if sum(lengths) >= limit:
+        give_back()
 
 
 def append_columns(

@@ -15,36 +15,13 @@ from pyspark.sql import functions as F
 
 from shelfmark.llm.batches import append_columns
 from shelfmark.llm.lce import Extensions
+from shelfmark.llm.tokens import parts, word_numbers
 
 MIN_EXPONENT = 4
 MIN_LENGTH = 6
-#: Bytes of a text that are parted into words at once, and grid pairs extended at once.
-PART, PAIRS = 1 << 20, 1 << 18
+#: Grid pairs extended at once.
+PAIRS = 1 << 18
 FOUND = "runs array<struct<start:bigint,length:bigint,period:bigint>>, collapsed string"
-_SPACE = b" \t\n\x0b\x0c\r"
-
-
-def parts(raw: bytes):
-    """`raw` in pieces of about `PART` bytes that break no word."""
-    at = 0
-    while len(raw) - at > PART:
-        end = max(raw.rfind(bytes([c]), at, at + PART) for c in _SPACE)
-        if end < 0:  # one word longer than a piece
-            ends = [e for c in _SPACE if (e := raw.find(bytes([c]), at + PART)) >= 0]
-            end = min(ends, default=len(raw) - 1)
-        yield raw[at : end + 1]
-        at = end + 1
-    yield raw[at:]
-
-
-def numbered(raw: bytes, known: dict[bytes, int]) -> np.ndarray:
-    """The words of `raw` (parted at ASCII white space) as numbers from `known`, which takes in new words."""
-    found = [
-        np.fromiter((known.setdefault(w, len(known)) for w in words), np.int32, len(words))
-        for part in parts(raw)
-        if (words := part.split())
-    ]
-    return np.concatenate(found) if found else np.zeros(0, np.int32)
 
 
 def _grid(numbers: np.ndarray, starts: np.ndarray, sizes: np.ndarray):
@@ -167,7 +144,7 @@ def find_runs(docs: DataFrame, text_col: str = "text", keep=None) -> DataFrame:
     def make(piece):
         raws = [(t or "").encode("utf-8", "surrogatepass") for t in piece.column("__text").to_pylist()]
         known: dict[bytes, int] = {}
-        texts = [numbered(raw, known) for raw in raws]
+        texts = [word_numbers(raw, known) for raw in raws]
         names = list(known)
         runs, collapsed = stretches(texts), []
         for raw, words, found in zip(raws, texts, runs):

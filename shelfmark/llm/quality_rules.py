@@ -8,15 +8,13 @@ threshold; nothing is drawn at random.
 
 from __future__ import annotations
 
-from collections import Counter
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shelfmark.llm.batches import append_columns, bounded_broadcast, pieces
-from shelfmark.llm.tokens import WORDS_AND_MARKS, Words
+from shelfmark.llm.tokens import WORDS_AND_MARKS, Words, word_numbers
 
 BUCKETS = 1 << 16
 #: Mean log ratio per gram below which a text goes.
@@ -27,29 +25,51 @@ SMOOTHING = 10.0
 BROADCAST_IDS = 4_000_000
 
 SYMBOLS = b"#*$%&|<>"
+SPACE = b" \t\n\x0b\x0c\r"
 FEATURES = (
     "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, "
     "base_failed boolean, score double, kept boolean"
 )
 
 
-def base_features(text: str | None) -> tuple[int, int, int, int, int]:
-    """(n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words); a null text has none of them."""
-    raw = (text or "").encode("utf-8", "surrogatepass")
-    words = raw.split()  # ASCII white space only, as the rule wants
-    symbols = len(raw) - len(raw.translate(None, SYMBOLS))
-    chars = len(b"".join(words).decode("utf-8", "surrogatepass"))
-    lines = [line for line in raw.split(b"\n") if line.strip()]
-    windows = list(zip(words, words[1:], words[2:]))
-    repeated = 0
-    if len(set(windows)) < len(windows):
-        seen = Counter(windows)
-        covered = 0  # words before this position are counted already
-        for i, window in enumerate(windows):
-            if seen[window] > 1:
-                repeated += i + 3 - max(covered, i)
-                covered = i + 3
-    return len(words), chars, symbols, len(lines) - len(set(lines)), repeated
+def base_features(texts: list[str | None]) -> np.ndarray:
+    """A row of (n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words) for each text; a null text has none of them.
+
+    Words are numbered, so that what a text of any length needs besides itself
+    is a few numbers per word.
+    """
+    out = np.zeros((len(texts), 5), np.int64)
+    known: dict[bytes, int] = {}
+    numbered = []
+    for row, text in enumerate(texts):
+        raw = (text or "").encode("utf-8", "surrogatepass")
+        numbers, lines = word_numbers(raw, known), [line for line in raw.split(b"\n") if line.strip()]
+        numbered.append(numbers)
+        blanks = len(raw) - len(raw.translate(None, SPACE))
+        more = len(raw) - len(text or "")  # bytes beyond one per code point
+        out[row, 0], out[row, 1] = len(numbers), len(raw) - blanks - more
+        out[row, 2], out[row, 3] = len(raw) - len(raw.translate(None, SYMBOLS)), len(lines) - len(set(lines))
+    out[:, 4] = _repeated(numbered)
+    return out
+
+
+def _repeated(texts: list[np.ndarray]) -> np.ndarray:
+    """Words of each text that stand in a three-word window which the text has twice or more."""
+    sizes = np.array([len(t) for t in texts], np.int64)
+    numbers = np.concatenate([*texts, np.zeros(0, np.int32)]).astype(np.int64)
+    owner = np.repeat(np.arange(len(texts)), sizes)
+    if len(numbers) < 3:
+        return np.zeros(len(texts), np.int64)
+    at = np.flatnonzero(owner[2:] == owner[:-2])
+    base = int(numbers.max()) + 1
+    pairs = np.unique(numbers[:-1] * base + numbers[1:], return_inverse=True)[1]
+    windows = np.unique(pairs[at] * base + numbers[at + 2], return_inverse=True)[1]
+    _, name, count = np.unique(owner[at] * (len(at) + 1) + windows, return_inverse=True, return_counts=True)
+    twice = at[count[name] > 1]
+    covered = np.zeros(len(numbers), bool)
+    for i in range(3):
+        covered[twice + i] = True
+    return np.bincount(owner, weights=covered, minlength=len(texts)).astype(np.int64)
 
 
 def _buckets(column: pa.Array) -> tuple[np.ndarray, np.ndarray, int]:
@@ -110,12 +130,10 @@ def judge(docs: DataFrame, ratios: np.ndarray, text_col: str = "text", keep=None
 
     def make(piece):
         texts = piece.column("__text")
-        base = [base_features(t) for t in texts.to_pylist()]
-        columns = [list(c) for c in zip(*base)]
-        failed = [b[0] < 50 or 100 * b[4] > 50 * b[0] for b in base]
+        base = base_features(texts.to_pylist())
+        failed = (base[:, 0] < 50) | (100 * base[:, 4] > 50 * base[:, 0])
         score = scores(texts, ratios)
-        kept = ~np.array(failed) & (score >= threshold)
-        return [*(pa.array(c, pa.int64()) for c in columns), failed, score, kept]
+        return [*(pa.array(c) for c in base.T.copy()), failed, score, ~failed & (score >= threshold)]
 
     return append_columns(docs, text_col, FEATURES, make, keep)
 

@@ -112,3 +112,31 @@ class Words:
         doc, gram = np.concatenate([doc, short]), np.concatenate([gram, mix(whole)])
         order = np.argsort(doc, kind="stable")
         return doc[order], gram[order]
+
+
+#: Bytes of a text that are parted at white space at once.
+PART = 1 << 20
+_SPACE = b" \t\n\x0b\x0c\r"
+
+
+def parts(raw: bytes):
+    """`raw` in pieces of about `PART` bytes that break no word."""
+    at = 0
+    while len(raw) - at > PART:
+        end = max(raw.rfind(bytes([c]), at, at + PART) for c in _SPACE)
+        if end < 0:  # one word longer than a piece
+            ends = [e for c in _SPACE if (e := raw.find(bytes([c]), at + PART)) >= 0]
+            end = min(ends, default=len(raw) - 1)
+        yield raw[at : end + 1]
+        at = end + 1
+    yield raw[at:]
+
+
+def word_numbers(raw: bytes, known: dict[bytes, int]) -> np.ndarray:
+    """The words of `raw` (parted at ASCII white space) as numbers from `known`, which takes in new words."""
+    found = [
+        np.fromiter((known.setdefault(w, len(known)) for w in words), np.int32, len(words))
+        for part in parts(raw)
+        if (words := part.split())
+    ]
+    return np.concatenate(found) if found else np.zeros(0, np.int32)
