@@ -18,8 +18,10 @@ from shelfmark.llm.batches import append_columns, pieces
 from shelfmark.llm.tokens import mix
 
 DIMENSIONS = 1024
-#: Texts bundled at once.
-ROWS = 1024
+#: Texts bundled at once, and cells of their counts.
+ROWS, COUNTS = 1024, 1 << 21
+#: Trigrams up to which a table tells which ones occur (about a hundred letters); beyond it they are sorted.
+TABLE = 1 << 20
 UNKNOWN = "und"
 PREDICTION = "lang_pred string, score double"
 
@@ -75,7 +77,7 @@ def bundles(texts: list[str], groups: np.ndarray | None = None) -> np.ndarray:
     rows = len(texts) if groups is None else int(groups.max(initial=-1)) + 1
     if not len(code):
         return np.zeros((rows, DIMENSIONS), np.float32)
-    if n**3 <= 1 << 25:
+    if n**3 <= TABLE:
         seen = np.flatnonzero(np.bincount(code, minlength=n**3))
         place = np.zeros(n**3, np.int64)
         place[seen] = np.arange(len(seen))
@@ -86,7 +88,7 @@ def bundles(texts: list[str], groups: np.ndarray | None = None) -> np.ndarray:
     turned = [np.roll(vectors, turn, axis=1) for turn in (2, 1, 0)]
     owner = owner if groups is None else groups[owner]
     out = np.zeros((rows, DIMENSIONS), np.float32)
-    step = max(1, (1 << 23) // max(rows, DIMENSIONS))  # trigrams at once: 32 MB of vectors, and of counts
+    step = max(1, COUNTS // max(rows, DIMENSIONS))  # trigrams at once: 8 MB of vectors, and of counts
     for first in range(0, len(seen), step):
         some = seen[first : first + step]
         bound = (
