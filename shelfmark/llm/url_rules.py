@@ -1,26 +1,26 @@
 """URL filters: association rules mined from labelled pages, matched by an inverted index.
 
-Only DataFrame functions are used.
+Only DataFrame functions and Spark's own FP-growth are used.
 
 A URL becomes a basket of items read from the whole URL: attributes of fixed
 place (`ATTRIBUTES`), and all host labels, folders, words inside them, query keys
 and query values. Items that too few blocked pages have are dropped first, by an
-absolute count. Level by level the items of labelled pages are joined to itemsets
-of at most `MAX_ITEMS`; an itemset on the same pages as a part of it, or on
-blocked pages alone, is not extended, as no larger one says more. Count and
-confidence prune the rules `itemset -> block`. A rule is filed in the index under
-its rarest item, so a basket meets only the rules of its own rare items, and is
-then checked in full.
+absolute count, and so are items that all labelled pages have. Items that always
+occur together are one item with several names. FP-growth then gives the
+combinations of any length with their counts on blocked pages and on all; count
+and confidence prune the rules `itemset -> block`. A rule is filed in the index
+under its rarest item, so a basket meets only the rules of its own rare items,
+and is then checked in full.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
+from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shelfmark.llm.batches import bounded_broadcast
 from shelfmark.session import materialize
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -30,13 +30,13 @@ _PARTS = r"(?s)^.*?://([^/?#]*)([^?#]*)"
 ATTRIBUTES = ("scheme", "host", "domain", "tld", "sub", "first", "last", "dir1", "dir2", "ext", "query")
 #: Share of the labelled pages that must bear a rule out besides `MIN_COUNT`; none, so the bar does not rise with the table.
 MIN_SUPPORT = 0.0
-#: Blocked pages that must bear a rule out, however few or many pages are labelled.
+#: Blocked pages that must bear a rule out, however few or many pages are labelled: the least support.
 MIN_COUNT = 10
-#: Items of one rule.
-MAX_ITEMS = 3
-#: Above so many itemsets a join goes by shuffle and not by broadcast.
-BROADCAST_SETS = 500_000
+#: Bytes of rules up to which they are broadcast to the pages.
+BROADCAST_BYTES = 32 << 20
 MIN_CONFIDENCE = 0.6
+#: The item of blocked pages; no URL gives it, as all others have a sign of equality.
+BLOCK = "block"
 
 
 @dataclass(frozen=True)
@@ -129,72 +129,86 @@ def labelled_baskets(pages: DataFrame, blocked: DataFrame) -> DataFrame:
     return pages.select("page_id", basket(F.col("url")).alias("items")).join(labels, "page_id").select("items", "block")
 
 
+RULE = "rule_id string, items array<string>, members array<array<string>>, key string, confidence double, support double"
+
+
+def _classes(rows: DataFrame, bar: float, total: int) -> DataFrame:
+    """(item, rep, n, b): items that at least `bar` blocked pages have, and the least name of those on the same pages.
+
+    Pages are compared by their number and two sums of their hashes.
+    """
+    page = [F.xxhash64("id", F.lit(salt)).cast("decimal(38,0)") for salt in (1, 2)]
+    items = rows.select("n", "b", *(h.alias(f"h{i}") for i, h in enumerate(page)), F.explode("items").alias("item"))
+    counts = items.groupBy("item").agg(F.sum("n").alias("n"), F.sum("b").alias("b"), F.sum("h0").alias("h0"), F.sum("h1").alias("h1"))
+    counts = materialize(counts.where((F.col("b") >= bar) & (F.col("n") < total)), "url-items")
+    reps = counts.groupBy("n", "b", "h0", "h1").agg(F.min("item").alias("rep"))
+    return materialize(counts.join(reps, ["n", "b", "h0", "h1"]).select("item", "rep", "n", "b"), "url-items")
+
+
 def mine(
     baskets: DataFrame,
     min_support: float = MIN_SUPPORT,
     min_confidence: float = MIN_CONFIDENCE,
     min_count: int = MIN_COUNT,
 ) -> DataFrame:
-    """Rules (rule_id, items, key, confidence, support) that lead to the block item.
-
-    Of itemsets on the same labelled pages the least parts are given; a larger
-    one would say nothing new to a matcher that takes the most confident. No
-    baskets give no rules.
+    """Rules (`RULE`) that lead to the block item.
+
+    `items` names each part of a rule by one item, `members` lists all names of
+    it. A rule bears at least `min_count` blocked pages, and at least
+    `min_support` of all. Of itemsets on the same labelled pages the least parts
+    are given, and none that only narrows a rule of confidence 1: a matcher that
+    takes the most confident needs no others. No baskets give no rules. The
+    labelled pages, cut to their frequent items, are what FP-growth holds in
+    memory; its combinations grow with the items that pages share without always
+    sharing them.
     """
     spark = baskets.sparkSession
-    empty = "rule_id string, items array<string>, key string, confidence double, support double"
     rows = baskets.groupBy("items").agg(F.count("*").alias("n"), F.sum(F.col("block").cast("long")).alias("b"))
     rows = materialize(rows.withColumn("id", F.monotonically_increasing_id()), "url-baskets")
     total = rows.agg(F.sum("n").alias("n")).first().n or 0
     bar = max(min_count, min_support * total)
-    found = None
-    held = rows.select("id", "n", "b", F.array().cast("array<string>").alias("start"), F.explode("items").alias("item"))
-    smaller = spark.createDataFrame([([], total)], "items array<string>, n long")
-    for size in range(1, MAX_ITEMS + 1):
-        own = F.array_append("start", F.col("item"))
-        if size > 1:  # two itemsets that differ in the last item make one that is longer by one
-            joined = held.groupBy("id", "start").agg(
-                F.sort_array(F.collect_list("item")).alias("ends"), F.first("n").alias("n"), F.first("b").alias("b")
-            )
-            joined = joined.select("*", F.posexplode("ends").alias("at", "end"))
-            held = joined.select(
-                "id", "n", "b", F.array_append("start", F.col("end")).alias("start"),
-                F.explode(F.slice("ends", F.col("at") + 2, F.size("ends"))).alias("item"),
-            )
-        sets = held.groupBy(own.alias("items")).agg(F.sum("n").alias("n"), F.sum("b").alias("b")).where(F.col("b") >= bar)
-        sets = materialize(sets, "url-itemsets")
-        if not sets.limit(1).count():
-            break
-        # on fewer pages than each of its parts; parts that are missing were not to be extended
-        parts = sets.select("items", "n", "b", F.posexplode("items").alias("at", "out")).select(
-            "items", "n", "b", F.concat(F.slice("items", F.lit(1), F.col("at")), F.slice("items", F.col("at") + 2, F.size("items"))).alias("part")
+    classes = _classes(rows, bar, total)
+    if not classes.limit(1).count():
+        return spark.createDataFrame([], RULE)
+    # a page with an item of confidence 1 needs no longer rule with it
+    sure = classes.where("n = b")
+    open_items = classes.where("n > b AND item = rep").select("item")
+    held = rows.select("id", "n", "b", F.explode("items").alias("item")).join(open_items, "item")
+    held = held.groupBy("id").agg(F.collect_set("item").alias("items"), F.first("n").alias("n"), F.first("b").alias("b"))
+    each = F.concat(F.array_repeat(F.lit(True), F.col("b").cast("int")), F.array_repeat(F.lit(False), (F.col("n") - F.col("b")).cast("int")))
+    pages = held.select("items", F.explode(each).alias("block"))
+    pages = materialize(pages.select(F.when(F.col("block"), F.array_append("items", F.lit(BLOCK))).otherwise(F.col("items")).alias("items")), "url-baskets")
+    n_pages = pages.count()
+    single = sure.where("item = rep").select(F.array("rep").alias("items"), "n", "b")
+    if n_pages:
+        # half a page below the bar, so that rounding up gives the bar itself
+        model = FPGrowth(itemsCol="items", minSupport=max(0.0, (bar - 0.5) / n_pages)).fit(pages)
+        sets = materialize(model.freqItemsets, "url-itemsets")
+        with_block = F.array_contains("items", BLOCK)
+        n = sets.where(~with_block).select(F.array_sort("items").alias("items"), F.col("freq").alias("n"))
+        b = sets.where(with_block & (F.size("items") > 1)).select(
+            F.array_sort(F.array_remove("items", BLOCK)).alias("items"), F.col("freq").alias("b")
         )
-        parts = parts.join(smaller.select(F.col("items").alias("part"), F.col("n").alias("of")), "part")
-        least = parts.where("n < of").groupBy("items").agg(F.first("n").alias("n"), F.first("b").alias("b"), F.count("*").alias("parts"))
-        least = materialize(least.where(F.col("parts") == size).drop("parts"), "url-itemsets")
-        level = sets if size == 1 else least
-        found = level if found is None else found.unionByName(level)
-        if size == 1:
-            singles = sets
-        smaller = least.where("b < n").select("items", "n")
-        open_sets = bounded_broadcast(smaller.select(F.col("items").alias("set")), BROADCAST_SETS)
-        held = held.join(open_sets, own == F.col("set"), "left_semi")
-    if found is None:
-        return spark.createDataFrame([], empty)
+        found = materialize(n.join(b, "items"), "url-itemsets")
+        # on fewer pages than each of its parts, and no part on blocked pages alone
+        parts = found.where(F.size("items") > 1).select("items", "n", F.explode("items").alias("out"))
+        parts = parts.select("items", "n", F.array_remove("items", F.col("out")).alias("part"))
+        wider = found.select(F.col("items").alias("part"), F.col("n").alias("of"), F.col("b").alias("of_b"))
+        idle = parts.join(wider, "part").where("n = of OR of = of_b").select("items").distinct()
+        found = found.join(idle, "items", "left_anti").select("items", "n", "b").unionByName(single)
+    else:
+        found = single
     rules = found.where(F.col("b") / F.col("n") >= min_confidence).select(
-        F.array_join("items", " ").alias("rule_id"),
-        "items",
-        (F.col("b") / F.col("n")).alias("confidence"),
-        (F.col("b") / F.lit(total)).alias("support"),
+        F.array_join("items", " ").alias("rule_id"), "items",
+        (F.col("b") / F.col("n")).alias("confidence"), (F.col("b") / F.lit(total)).alias("support"),
     )
-    counts = singles.select(F.col("items")[0].alias("item"), F.col("n").alias("freq"))
-    keys = (
-        rules.select("items", F.explode("items").alias("item"))
-        .join(counts, "item")
-        .groupBy("items")
-        .agg(F.min_by("item", F.struct("freq", "item")).alias("key"))
+    names = classes.groupBy("rep").agg(F.sort_array(F.collect_list("item")).alias("names"), F.first("n").alias("freq"))
+    parts = rules.select("rule_id", "items", "confidence", "support", F.posexplode("items").alias("at", "rep")).join(names, "rep")
+    filed = parts.groupBy("rule_id", "items", "confidence", "support").agg(
+        F.sort_array(F.collect_list(F.struct("at", "names"))).alias("listed"), F.min_by("rep", F.struct("freq", "rep")).alias("key")
     )
-    return materialize(rules.join(keys, "items").select(*(c.split()[0] for c in empty.split(", "))), "url-rules")
+    members = F.transform("listed", lambda x: x["names"])
+    return materialize(filed.withColumn("members", members).select(*(c.split()[0] for c in RULE.split(", "))), "url-rules")
 
 
 def judge(pages: DataFrame, rules: DataFrame, listed: list[Rule]) -> DataFrame:
@@ -205,11 +219,14 @@ def judge(pages: DataFrame, rules: DataFrame, listed: list[Rule]) -> DataFrame:
     malformed URL has an empty host and path and is allowed.
     """
     urls = pages.select("url").where("url IS NOT NULL").distinct()
+    size = rules.agg(F.sum(F.octet_length(F.to_json("members"))).alias("n")).first().n or 0
+    place = F.array_position("items", F.col("key")).cast("int") - 1
+    index = rules.select(F.explode(F.get("members", place)).alias("key"), "members", "rule_id", "confidence")
     fired = (
         urls.select("url", basket(F.col("url")).alias("have"))
         .select("url", "have", F.explode("have").alias("key"))
-        .join(rules.select("key", "items", "rule_id", "confidence"), "key")
-        .where(F.size(F.array_except("items", "have")) == 0)
+        .join(F.broadcast(index) if size <= BROADCAST_BYTES else index, "key")
+        .where(F.forall("members", lambda names: F.arrays_overlap(names, F.col("have"))))
         .groupBy("url")
         .agg(F.min(F.struct((-F.col("confidence")).alias("c"), F.col("rule_id").alias("mined_rule"))).alias("m"))
         .select("url", "m.mined_rule", (-F.col("m.c")).alias("confidence"))

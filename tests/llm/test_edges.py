@@ -1,6 +1,9 @@
 """Nulls, empty and very long texts, ties, repeated rows, empty tables and clashing columns."""
 
+import itertools
+import random
 import zlib
+from collections import Counter
 
 import duckdb
 import numpy as np
@@ -90,6 +93,51 @@ def test_bad_tokens_anywhere_in_a_long_url_are_mined(spark):
         assert {r.page_id for r in found.where("verdict = 'block'").collect()} == {n for n, url in pages if "bad" in url}, form
 
 
+def test_four_tokens_that_only_together_tell_pages_apart(spark):
+    pages = []
+    for i in range(480):  # every combination of three of four tokens is good, all four are bad
+        bits = 15 if i < 30 else [7, 11, 13, 14, 3, 5, 6, 9, 10, 12, 1, 2, 4, 8, 0][i % 15]
+        pages.append((i, "http://h.example.org/" + "/".join(t for k, t in enumerate("pqrs") if bits >> k & 1) + f"/{i}"))
+    frame = spark.createDataFrame(pages, "page_id long, url string")
+    labels = spark.createDataFrame([(i, i < 30) for i, _ in pages], "page_id long, block boolean")
+    rules = url_rules.mine(url_rules.labelled_baskets(frame, labels))
+    found = url_rules.judge(frame, rules, [])
+    assert {r.page_id for r in found.where("verdict = 'block'").collect()} == set(range(30))
+
+
+@pytest.mark.parametrize("seed", range(8))
+def test_verdicts_equal_those_of_all_itemsets(spark, seed):
+    """Every subset of every basket counted; a page is blocked if one of its subsets is a rule."""
+    rng = random.Random(seed)
+    names = [f"dir={c}" for c in "abcdefg"]
+    rows = []
+    for _ in range(rng.randrange(40, 160)):
+        items = {n for n in names if rng.random() < rng.choice((0.2, 0.5, 0.8))}
+        if "dir=a" in items:
+            items |= {"dir=z", "dir=y"}  # always together
+        if seed % 2:
+            items.add("dir=all")
+        bad = rng.random() < (0.8 if {"dir=b", "dir=c"} <= items else 0.2 if "dir=d" in items else 0.05)
+        rows.append((sorted(items), bad))
+    confidence, least = rng.choice((0.5, 0.6, 0.9)), rng.choice((1, 2, 5))
+    counts, blocked = Counter(), Counter()
+    for items, bad in rows:
+        subsets = [frozenset(x) for k in range(1, len(items) + 1) for x in itertools.combinations(items, k)]
+        counts.update(subsets)
+        blocked.update(subsets if bad else [])
+    wanted = {s for s, b in blocked.items() if b >= least and b / counts[s] >= confidence and counts[s] < len(rows)}
+    frame = spark.createDataFrame(rows, "items array<string>, block boolean").repartition(3)
+    rules = url_rules.mine(frame, min_confidence=confidence, min_count=least).collect()
+    for r in rules:
+        assert r["items"] == sorted(r["items"]) and frozenset(r["items"]) in wanted and r.key in r["items"]
+        assert r.confidence == pytest.approx(blocked[frozenset(r["items"])] / counts[frozenset(r["items"])])
+    others = [sorted(n for n in [*names, "dir=z", "dir=y"] if rng.random() < 0.5) for _ in range(60)]  # what no label showed, too
+    for have in [items for items, _ in rows] + others:
+        plain = max((blocked[s] / counts[s] for s in wanted if s <= set(have)), default=None)
+        fired = max((r.confidence for r in rules if all(set(m) & set(have) for m in r.members)), default=None)
+        assert fired == (None if plain is None else pytest.approx(plain)), have
+
+
 def test_a_large_table_asks_for_no_more_pages(spark):
     rows = spark.range(30_000).selectExpr("array('tld=org', concat('host=', if(id < 12, 'bad', string(id % 50)))) AS items", "id < 12 AS block")
     assert [(r["items"], r.confidence) for r in url_rules.mine(rows).collect()] == [(["host=bad"], 1.0)]
