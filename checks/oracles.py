@@ -116,10 +116,11 @@ def _tfidf(facts: str) -> str:
     )
 
 
-def _feature_slots(buckets: dict[str, int] | None = None) -> str:
+def _feature_slots(buckets: dict[str, int] | None = None, by_term: bool = False) -> str:
     """Long form of the assembled vector: scalars, description weights, category weights.
 
-    With `buckets` a term stands for the first 32 bits of its MD5, modulo the column's number.
+    With `buckets` a term stands for the first 32 bits of its MD5, modulo the column's number; a bucket has one
+    weight, or the sum of its terms' own if `by_term`.
     """
     scalars = {"id": "id", "description_length": "length(description)", **{f: f for f in FLAGS}}
     parts = [
@@ -130,7 +131,11 @@ def _feature_slots(buckets: dict[str, int] | None = None) -> str:
 
     def weights(column: str, n: int) -> str:
         body = f"SELECT id, '{column}' AS part, term, {_WEIGHT} AS value FROM tf JOIN v USING (term), m"
-        if buckets:
+        if by_term:
+            hashed = f"CAST(CAST(('0x' || substr(md5(term), 1, 8)) AS BIGINT) % {buckets[column]} AS VARCHAR)"
+            body = f"""SELECT id, '{column}' AS part, {hashed} AS term, sum({_WEIGHT}) AS value
+FROM tf JOIN st USING (term), m GROUP BY ALL"""
+        elif buckets:
             hashed = f"CAST(CAST(('0x' || substr(md5(term), 1, 8)) AS BIGINT) % {buckets[column]} AS VARCHAR)"
             body = f"""SELECT id, '{column}' AS part, term, {_WEIGHT} AS value
 FROM (SELECT id, {hashed} AS term, CAST(sum(tf) AS BIGINT) AS tf FROM tf GROUP BY ALL)
@@ -457,6 +462,7 @@ QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC)
     "category_tfidf": _text("category", 1, _tfidf("v")),
     "feature_vectors": _feature_slots({"description": 131_072, "category": 4_096}),
     "feature_vectors_topk": _feature_slots(),
+    "feature_vectors_weighted": _feature_slots({"description": 131_072, "category": 4_096}, by_term=True),
     "random_split": _with(
         _CLEAN, "SELECT id, eclassnumber, count(*) AS n FROM eclasses GROUP BY id, eclassnumber"
     ),

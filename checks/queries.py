@@ -14,7 +14,7 @@ from checks.tables import DIRTY, RAW, catalogue, gapped, gapped_sql, producer_sq
 from shelfmark.functions import codec, repair, text
 from shelfmark.functions.commands import returns_rows
 from shelfmark.operators import changes, commands, density, describe, exact, metrics, report, snapshot, split, terms, topk
-from shelfmark.plans import features, flow, moments, training
+from shelfmark.plans import features, flow, moments, training, weighted
 from shelfmark.session import materialize, scratch_path
 from shelfmark.sinks import publish
 from shelfmark.sources import files, ranges
@@ -494,6 +494,23 @@ def feature_vectors_topk(spark, sf_dir):
     return _named_slots(spark, sf_dir, 262_144)
 
 
+def feature_vectors_weighted(spark, sf_dir):
+    """The same with buckets that add up their terms' own weights, read from the vectors."""
+    whole = catalogue(spark, sf_dir)
+    slots = features.vector_slots(weighted.weighted_vectors(whole))
+    return _rounded(slots.join(_slot_parts(spark), "slot").drop("slot"), "value")
+
+
+def _slot_parts(spark):
+    """What each slot of a weighted vector holds, in the order of the vector."""
+    widths = {"description": 1 << 17, "category": 1 << 12}
+    parts = [("id", 1), ("description_length", 1), *widths.items(), *((name, 1) for name in features.FLAGS)]
+    names = [(part, str(i) if part in widths else None) for part, width in parts for i in range(width)]
+    frame = pd.DataFrame(names, columns=["part", "term"])
+    frame.insert(0, "slot", range(len(frame)))
+    return spark.createDataFrame(frame, "slot int, part string, term string")
+
+
 def _named_slots(spark, sf_dir, vocabulary_size):
     whole = catalogue(spark, sf_dir)
     model = features.fit_features(whole, vocabulary_size)
@@ -834,6 +851,7 @@ QUERIES: dict[str, Query] = {
         # The wide vectors last: they need the most memory.
         feature_vectors,
         feature_vectors_topk,
+        feature_vectors_weighted,
         linreg_fit,
         cv_metrics,
         predictions,
