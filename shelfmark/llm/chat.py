@@ -156,44 +156,44 @@ def format_chats(rows: DataFrame, loss_role: str = "assistant") -> DataFrame:
 
 
 def under_mask(formatted: Column, runs: Column) -> Column:
-    """The pieces of `formatted` under the loss mask, as they stand there."""
-    ends = F.aggregate(
-        runs,
-        F.struct(F.lit(1).alias("at"), F.array().cast("array<string>").alias("out"), F.lit(False).alias("in")),
-        lambda acc, n: F.struct(
-            (acc["at"] + n).alias("at"),
-            F.when(acc["in"] & (n > 0), F.array_append(acc["out"], F.substring(formatted, acc["at"], n)))
-            .otherwise(acc["out"])
-            .alias("out"),
-            (~acc["in"]).alias("in"),
-        ),
-    )
-    return ends["out"]
+    """The texts of `formatted` under the loss mask: unescaped where their turn has a star.
 
+    Four run lengths are a turn: what stands before its text, the text, the end
+    mark, and nothing. The star is read where the turn begins.
+    """
+    star_at = len("[INST")
 
-def read_back(formatted: DataFrame, loss_role: str = "assistant") -> DataFrame:
+    def step(acc: Column, n: Column) -> Column:
+        star = F.when(acc["k"] == 0, F.substring(formatted, acc["at"] + star_at, F.lit(1)) == "*").otherwise(acc["star"])
+        piece = F.substring(formatted, acc["at"], n)
+        piece = F.when(star, unescape(piece)).otherwise(piece)
+        counted = (acc["k"] == 1) & (n > 0)
+        return F.struct(
+            (acc["at"] + n).alias("at"), ((acc["k"] + 1) % 4).alias("k"), star.alias("star"),
+            F.when(counted, F.array_append(acc["out"], piece)).otherwise(acc["out"]).alias("out"),
+        )
+
+    start = F.struct(F.lit(1).alias("at"), F.lit(0).alias("k"), F.lit(False).alias("star"), F.array().cast("array<string>").alias("out"))
+    return F.aggregate(runs, start, step)["out"]
+
+
+def read_back(formatted: DataFrame) -> DataFrame:
     """Digests of each conversation, from nothing but its formatted text and loss mask.
 
-    (conv_id, n_turns, turns_sha256, loss_chars, loss_sha256, formatted_chars, escape_level)
+    (conv_id, n_turns, turns_sha256, loss_chars, loss_sha256, formatted_chars, escape_level);
+    the loss columns are of the texts under the mask, whatever the turns' roles.
     """
     turns = formatted.withColumn("turns", parse(F.col("formatted")))
-    counted = F.filter("turns", lambda t: t["role"] == loss_role)
-    loss = F.array_join(F.transform(counted, lambda t: t["text"]), "")
-    masked = F.aggregate(
-        F.transform("loss_runs", lambda n, i: F.when(i % 2 == 1, n).otherwise(0)), F.lit(0), lambda a, n: a + n
-    )
-    raw = F.aggregate(counted, F.lit(0), lambda a, t: a + t["raw_chars"])
     return (
-        turns.withColumn("loss", loss)
-        .withColumn("agrees", masked == raw)
+        turns.withColumn("loss", F.array_join(under_mask(F.col("formatted"), F.col("loss_runs")), ""))
         .select(
             "conv_id",
             F.size("turns").cast("long").alias("n_turns"),
             F.sha2(
                 F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), ""), 256
             ).alias("turns_sha256"),
-            F.when(F.col("agrees"), F.char_length("loss").cast("long")).alias("loss_chars"),
-            F.when(F.col("agrees"), F.sha2(F.col("loss"), 256)).alias("loss_sha256"),
+            F.char_length("loss").cast("long").alias("loss_chars"),
+            F.sha2(F.col("loss"), 256).alias("loss_sha256"),
             F.char_length("formatted").cast("long").alias("formatted_chars"),
             "escape_level",
         )

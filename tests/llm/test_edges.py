@@ -181,6 +181,7 @@ def test_control_strings_survive(spark):
     for r in back:
         wanted = [(role or "", text) for c, _, role, text in rows if c == r.conv_id]
         assert [(t.role, t.text) for t in r.t] == wanted
+        assert r.m == [text for role, text in wanted if role == "assistant" and text]
     digests = chat.read_back(formatted).collect()
     assert all(d.loss_chars == sum(len(t) for c, _, role, t in rows if c == d.conv_id and role == "assistant") for d in digests)
 
