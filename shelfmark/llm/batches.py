@@ -15,9 +15,12 @@ from pyspark.sql.types import StructType
 
 BATCH_BYTES_KEY = "spark.sql.execution.arrow.maxBytesPerBatch"
 BATCH_BYTES = 1 << 20
+#: Text after which a worker returns its freed memory to the system.
+GIVE_BACK_BYTES = 8 << 20
 #: Text that is worked on at once. Workers live on from stage to stage, so what one piece needs is what they keep.
 PIECE_BYTES = 256 << 10
 _shipped: set[str] = set()
+_worked = 0
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -71,7 +74,10 @@ def pieces(batch: pa.RecordBatch, column: str, limit: int = PIECE_BYTES) -> Iter
         size += length
     if start < batch.num_rows:
         yield batch.slice(start)
-    if sum(lengths) >= limit:
+    global _worked
+    _worked += sum(lengths)
+    if _worked >= GIVE_BACK_BYTES:
+        _worked = 0
         give_back()
 
 

@@ -22,7 +22,7 @@ THRESHOLD = -0.1
 #: Grams added to a bucket on both sides.
 SMOOTHING = 10.0
 #: Above so many trusted ids the texts are joined by a shuffle and not by a broadcast.
-BROADCAST_IDS = 4_000_000
+BROADCAST_IDS = 500_000
 
 SYMBOLS = b"#*$%&|<>"
 SPACE = b" \t\n\x0b\x0c\r"
