@@ -432,8 +432,8 @@ UNION ALL SELECT CAST(id AS VARCHAR), NULL FROM eclasses WHERE id % 10 = 3""",
 UNION ALL SELECT * FROM eclasses WHERE id % 10 = 3""",
     "stream_changes_merged": _with(_CLEAN, _CHANGED),
     "compacted_batches": _CLEAN,
-    "latest_rows_gapped": f"""SELECT * FROM ({_GAPPED}) WHERE id IS NOT NULL
-UNION ALL SELECT g.* FROM ({_GAPPED}) g, range(2) WHERE id IS NULL""",
+    "latest_rows_gapped": f"""SELECT g.* REPLACE (category || ' v' || CAST(version AS VARCHAR) AS category), version
+FROM ({_GAPPED}) g, (VALUES (1), (2)) v(version) WHERE id IS NULL OR version = 2""",
     "latest_snapshot": """SELECT user_id, event_id, event_type, value FROM events
 QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1""",
     "latest_whole_snapshot": "SELECT "
@@ -448,11 +448,17 @@ QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC)
     "vocabulary_topk": _text(
         "description", 5, "SELECT term, cf, df, CAST(rank AS INT) AS rank FROM v"
     ),
-    "vocabulary_ranked": _text(
+    "vocabulary_by_names": _text(
         "description", 5, "SELECT term, cf, df, CAST(rank AS INT) AS rank FROM v"
     ),
     "doc_freq": _text("description", 5, "SELECT term, df FROM st"),
     "tfidf": _text("description", 5, _tfidf("st")),
+    "tfidf_limited": _text(
+        "description",
+        1,
+        f"SELECT id, term, tf, df, CASE WHEN df >= 40 THEN round({_WEIGHT}, 6) ELSE 0 END AS tfidf"
+        " FROM tf JOIN st USING (term), m WHERE tf >= 2 AND df >= 0.01 * rows",
+    ),
     "tfidf_vocabulary": _text("description", 5, _tfidf("v")),
     "tokenize_category": _text(
         "category", 1, "SELECT id, CAST(pos AS INT) AS pos, w AS term FROM t"

@@ -406,8 +406,9 @@ def latest_whole_snapshot(spark, sf_dir):
 
 
 def latest_rows_gapped(spark, sf_dir):
-    """The newest row of each known id, and every row without one."""
-    return snapshot.latest_rows(_twice(gapped(spark, sf_dir)), "id", "version").drop("version")
+    """The newest row of each known id, and every row without one; the copies differ, so an older one would show."""
+    both = _twice(gapped(spark, sf_dir)).withColumn("category", F.concat("category", F.lit(" v"), F.col("version")))
+    return snapshot.latest_rows(both, "id", "version")
 
 
 def _twice(frame: DataFrame) -> DataFrame:
@@ -441,12 +442,12 @@ def term_counts(spark, sf_dir):
 
 
 def vocabulary_topk(spark, sf_dir):
-    return topk.top_terms(_description_terms(spark, sf_dir), "terms")
+    return terms.vocabulary(terms.term_stats(_description_terms(spark, sf_dir), "terms"))
 
 
-def vocabulary_ranked(spark, sf_dir):
-    """The same from a table of all terms."""
-    return terms.vocabulary(terms.term_stats(_description_terms(spark, sf_dir), "terms"))
+def vocabulary_by_names(spark, sf_dir):
+    """The same terms without a shuffle of all terms' texts."""
+    return topk.top_terms(_description_terms(spark, sf_dir), "terms")
 
 
 def doc_freq(spark, sf_dir):
@@ -457,6 +458,13 @@ def tfidf(spark, sf_dir):
     return _rounded(terms.tfidf(_description_terms(spark, sf_dir), "id", "terms"), "tfidf")
 
 
+def tfidf_limited(spark, sf_dir):
+    """TF-IDF of the words of descriptions with all three limits: on rows, inside a row, and on weights."""
+    words = text.catalogue_terms(F.col("description"), 1)
+    rows = catalogue(spark, sf_dir).select("id", words.alias("terms"))
+    return _rounded(terms.tfidf(rows, "id", "terms", min_df=0.01, min_tf=2, min_doc_freq=40), "tfidf")
+
+
 def tfidf_vocabulary(spark, sf_dir):
     """TF-IDF of the vocabulary's terms only, as the vectors hold it."""
     weighted = terms.tfidf(
@@ -813,9 +821,10 @@ QUERIES: dict[str, Query] = {
         ngrams5,
         term_counts,
         vocabulary_topk,
-        vocabulary_ranked,
+        vocabulary_by_names,
         doc_freq,
         tfidf,
+        tfidf_limited,
         tfidf_vocabulary,
         tokenize_category,
         category_stop,

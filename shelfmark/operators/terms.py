@@ -32,9 +32,18 @@ def term_rows(df: DataFrame, key: str, terms: str) -> DataFrame:
     return exploded.where(F.col("pos").isNotNull())
 
 
-def term_counts(df: DataFrame, key: str, terms: str) -> DataFrame:
-    """(key, term, tf) per input row; no shuffle."""
-    return df.select(key, F.inline(counted(F.col(terms))))
+def _counts(terms: str, min_tf: float) -> Column:
+    """The (term, tf) pairs of a row; those of fewer than `min_tf` occurrences (a share of the row's terms, if below 1) go."""
+    pairs = counted(F.col(terms))
+    if min_tf == 1:
+        return pairs
+    least = F.lit(min_tf) if min_tf >= 1 else F.lit(min_tf) * F.size(terms)
+    return F.filter(pairs, lambda p: p["tf"] >= least)
+
+
+def term_counts(df: DataFrame, key: str, terms: str, min_tf: float = 1) -> DataFrame:
+    """(key, term, tf) per input row; no shuffle. `min_tf` leaves out what is rare in its row: a count, or a share if below 1."""
+    return df.select(key, F.inline(_counts(terms, min_tf)))
 
 
 def term_stats(df: DataFrame, terms: str) -> DataFrame:
@@ -46,6 +55,13 @@ def term_stats(df: DataFrame, terms: str) -> DataFrame:
     )
 
 
+def frequent(stats: DataFrame, min_df: float, rows: int | None = None) -> DataFrame:
+    """The terms that at least `min_df` rows hold: a number of rows, or a share of `rows` if below 1."""
+    if min_df < 1 and rows is None:
+        raise ValueError("a share needs the number of rows")
+    return stats.where(F.col("df") >= (min_df if min_df >= 1 else min_df * rows))
+
+
 def doc_freq(df: DataFrame, terms: str) -> DataFrame:
     """(term, df) alone, without the per-row counts."""
     return (
@@ -115,18 +131,26 @@ def tfidf(
     terms: str,
     vocabulary_size: int | None = None,
     broadcast_bytes: int = BROADCAST_BYTES,
+    min_df: float = 1,
+    min_tf: float = 1,
+    min_doc_freq: int = 0,
 ) -> DataFrame:
     """(key, term, tf, df, tfidf) with tfidf = tf * ln((rows + 1) / (df + 1)).
 
     All rows count, also those without terms. With `vocabulary_size` only the
     vocabulary's terms are kept; that table is measured and, if it fits, the
-    term counts are never shuffled.
+    term counts are never shuffled. `min_df` leaves out terms of few rows,
+    `min_tf` terms that are rare in their row (each a number, or a share if
+    below 1), and terms of fewer than `min_doc_freq` rows weigh nothing.
     """
-    counts = term_counts(df, key, terms)
+    counts = term_counts(df, key, terms, min_tf)
+    total = df.count() if min_df < 1 else None
     if vocabulary_size is None:
-        joined = salted_lookup(counts, doc_freq(df, terms), "term", "df", key)
+        # written once: the total, the heavy keys and the join all read it
+        facts = materialize(frequent(doc_freq(df, terms), min_df, total), "doc-freq")
+        joined = salted_lookup(counts, facts, "term", "df", key)
     else:
-        stats = term_stats(df, terms)
+        stats = frequent(term_stats(df, terms), min_df, total)
         kept = materialize(vocabulary(stats, vocabulary_size), "vocabulary").select("term", "df")
         size = kept.agg(F.sum(F.octet_length("term"))).first()[0] or 0
         if size <= broadcast_bytes:
@@ -134,6 +158,7 @@ def tfidf(
         else:
             joined = salted_lookup(counts, kept, "term", "df", key)
     rows = df.agg(F.count(F.lit(1))).scalar()
-    return joined.select(
-        key, "term", "tf", "df", (F.col("tf") * idf(rows, F.col("df"))).alias("tfidf")
-    )
+    weight = idf(rows, F.col("df"))
+    if min_doc_freq:
+        weight = F.when(F.col("df") >= min_doc_freq, weight).otherwise(0.0)
+    return joined.select(key, "term", "tf", "df", (F.col("tf") * weight).alias("tfidf"))

@@ -1,3 +1,4 @@
+from pyspark.ml.feature import IDF, CountVectorizer
 import hashlib
 import math
 import random
@@ -92,3 +93,19 @@ def test_salted_lookup_spreads_a_hot_key_and_loses_nothing(spark):
     sizes = [r["n"] for r in joined.groupBy(F.spark_partition_id().alias("p")).agg(F.count(F.lit(1)).alias("n")).collect()]
     spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
     assert max(sizes) < 10_000
+
+
+def test_limits_equal_those_of_the_stages(spark):
+    rows = [(1, ["a", "a", "b", "c"]), (2, ["a", "b", "b", "b"]), (3, ["c", "d"]), (4, [])]
+    df = spark.createDataFrame(rows, "id int, terms array<string>")
+    for min_df, min_tf, min_doc_freq in ((1, 1, 0), (2, 1, 0), (0.5, 2, 3), (1, 0.5, 2), (0.5, 1, 0)):
+        counter = CountVectorizer(inputCol="terms", outputCol="counts", minDF=min_df, minTF=min_tf).fit(df)
+        weigher = IDF(inputCol="counts", outputCol="weights", minDocFreq=min_doc_freq)
+        counts = counter.transform(df)
+        weights = weigher.fit(counter.setMinTF(1).transform(df)).transform(counts)
+        wanted = {
+            (r["id"], counter.vocabulary[i]): (r["counts"][int(i)], round(float(r["weights"][int(i)]), 9))
+            for r in weights.collect() for i in r["counts"].indices.tolist()
+        }
+        found = terms.tfidf(df, "id", "terms", min_df=min_df, min_tf=min_tf, min_doc_freq=min_doc_freq).collect()
+        assert {(r["id"], r["term"]): (r["tf"], round(r["tfidf"], 9)) for r in found} == wanted
