@@ -9,10 +9,15 @@ network keyed by the caller permutes each within its format, so equal values
 get equal pseudonyms in all documents and different values different ones:
 
 - characters: each digit or ASCII letter moves within its own kind, by a keyed
-  digest of the other half; all other characters stay. Cards get a new check
-  digit (Luhn) and accounts new check digits (mod 97).
-- numbers: two halves of equal range, for IP addresses (2^16 each) and for days
-  within a span of 271 * 271 days, which maps dates to dates without a search.
+  digest of the other half. Cards, accounts and telephone numbers are permuted
+  without the signs that group them, which are put back at their places, so one
+  number gets one pseudonym however it is written. Cards get a new check digit
+  (Luhn) and accounts new check digits (mod 97).
+- numbers: two halves, each of a range of its own: IP addresses (2^16 each),
+  social security numbers (areas with groups, and serials, that may be issued),
+  and days within a span of 271 * 271 days, which maps dates to dates without a
+  search. All years from 1 to 9999 are covered: what no whole span holds at the
+  two ends is one set of 50 * 1069 days.
 """
 
 from __future__ import annotations
@@ -67,8 +72,17 @@ REACH = 100
 HINT = "[0-9@]"
 
 DAYS = 271
-#: First day of the middle span; spans of 271 * 271 days lie on both sides, years 1698 to 2302.
+SPAN = DAYS * DAYS
+#: First day of a span; whole spans lie on both sides of it.
 FIRST_DAY = "1900-01-01"
+#: Days of the years 1 to 9999 before that day and from it on, whole spans on each side, and the days left over at both ends.
+DAYS_BEFORE, DAYS_AFTER = 693_595, 2_958_464
+SPANS_BEFORE, SPANS_AFTER = DAYS_BEFORE // SPAN, DAYS_AFTER // SPAN
+LEFT_OVER = (50, 1_069)
+#: Areas with groups, and serials, of a social security number: no area 000, 666 or 9xx, no group 00, no serial 0000.
+SSN_SIZES = (898 * 99, 9_999)
+#: Country codes of telephone numbers by their first digits (E.164); all others have three.
+CODES = "^(?:1|7|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]|[0-9]{3})"
 
 
 def _number(key: str, kind: str, i: Column, half: Column) -> Column:
@@ -77,14 +91,18 @@ def _number(key: str, kind: str, i: Column, half: Column) -> Column:
     return F.conv(F.substring(digest, 1, 15), 16, 10).cast("long")
 
 
-def permute_number(left: Column, right: Column, size: int, key: str, kind: str) -> Column:
-    """A permutation of pairs (left, right), each from 0 to size - 1, as a struct of both."""
+def permute_number(left: Column, right: Column, sizes: tuple[int, int], key: str, kind: str) -> Column:
+    """A permutation of pairs (left, right) from 0 to each one's size - 1, as a struct of both.
+
+    The halves change places in every round, and the rounds are even in number.
+    """
     start = F.struct(left.cast("long").alias("left"), right.cast("long").alias("right"))
     return F.aggregate(
         F.sequence(F.lit(1), F.lit(ROUNDS)),
         start,
         lambda acc, i: F.struct(
-            acc["right"].alias("left"), F.pmod(acc["left"] + _number(key, kind, i, acc["right"]), F.lit(size)).alias("right")
+            acc["right"].alias("left"),
+            F.pmod(acc["left"] + _number(key, kind, i, acc["right"]), F.when(i % 2 == 1, sizes[0]).otherwise(sizes[1])).alias("right"),
         ),
     )
 
@@ -130,6 +148,26 @@ def _digits(text: Column) -> Column:
     return F.regexp_replace(text, "[^0-9]", "")
 
 
+def _let(value: Column, use) -> Column:
+    """`use(value)` with the value worked out once."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
+def grouped_as(form: Column, plain: Column) -> Column:
+    """`form` with its ASCII letters and digits replaced, one after another, by the characters of `plain`."""
+
+    def step(acc: Column, c: Column, new: Column) -> Column:
+        moves = F.rlike(c, F.lit("[A-Za-z0-9]"))
+        put = F.when(moves, F.substring(new, acc["at"], F.lit(1))).otherwise(c)
+        return F.struct(
+            F.concat(acc["out"], put).alias("out"), (acc["at"] + F.when(moves, 1).otherwise(0)).alias("at")
+        )
+
+    start = F.struct(F.lit("").alias("out"), F.lit(1).alias("at"))
+    chars = F.filter(F.split(form, ""), lambda c: c != "")
+    return _let(plain, lambda new: F.aggregate(chars, start, lambda acc, c: step(acc, c, new))["out"])
+
+
 def luhn(digits: Column) -> Column:
     """Luhn sum of a number whose last digit counts once, modulo 10."""
     doubled = F.transform(
@@ -141,9 +179,10 @@ def luhn(digits: Column) -> Column:
 
 def card(match: Column, key: str) -> Column:
     """A card number of the same form with a right check digit; what fails the check is no card."""
-    body = permute_chars(F.substring(match, F.lit(1), F.char_length(match) - 1), key, "card")
-    check = (10 - luhn(F.concat(_digits(body), F.lit("0")))) % 10
-    return F.when(luhn(_digits(match)) == 0, F.concat(body, check.cast("string")))
+    digits = _digits(match)
+    body = permute_chars(F.substring(digits, F.lit(1), F.char_length(digits) - 1), key, "card")
+    new = _let(body, lambda b: F.concat(b, ((10 - luhn(F.concat(b, F.lit("0")))) % 10).cast("string")))
+    return F.when(luhn(digits) == 0, grouped_as(match, new))
 
 
 def mod97(text: Column) -> Column:
@@ -158,45 +197,72 @@ def mod97(text: Column) -> Column:
 def iban(match: Column, key: str) -> Column:
     """An account of the same country and form with right check digits."""
     plain = F.replace(match, F.lit(" "), F.lit(""))
-    rest = permute_chars(F.substring(match, F.lit(5), F.char_length(match)), key, "iban")
     country = F.substring(match, 1, 2)
-    check = 98 - mod97(F.concat(F.replace(rest, F.lit(" "), F.lit("")), country, F.lit("00")))
-    good = mod97(F.concat(F.substring(plain, F.lit(5), F.char_length(plain)), F.substring(plain, 1, 4))) == 1
-    return F.when(good, F.concat(country, F.lpad(check.cast("string"), 2, "0"), rest))
+
+    def checked(rest: Column) -> Column:
+        check = 98 - mod97(F.concat(rest, country, F.lit("00")))
+        return F.concat(country, F.lpad(check.cast("string"), 2, "0"), rest)
+
+    body = F.substring(plain, F.lit(5), F.char_length(plain))
+    good = mod97(F.concat(body, F.substring(plain, 1, 4))) == 1
+    return F.when(good, grouped_as(match, _let(permute_chars(body, key, "iban"), checked)))
 
 
 def ip(match: Column, key: str) -> Column:
     """Another address; each part must be below 256."""
     parts = F.transform(F.split(match, r"\."), lambda p: p.cast("int"))
-    value = permute_number(parts[0] * 256 + parts[1], parts[2] * 256 + parts[3], 1 << 16, key, "ip")
+    value = permute_number(parts[0] * 256 + parts[1], parts[2] * 256 + parts[3], (1 << 16, 1 << 16), key, "ip")
     out = F.concat_ws(
         ".", *(x.cast("string") for h in ("left", "right") for x in (F.floor(value[h] / 256), value[h] % 256))
     )
     return F.when(F.forall(parts, lambda p: p < 256), out)
 
 
+def another_day(day: Column, key: str) -> Column:
+    """Another day of the same span, for days outside the whole spans another such day."""
+    first = F.lit(FIRST_DAY).cast("date")
+    since = F.datediff(day, first)
+    span = F.floor(since / SPAN)
+    inside = F.pmod(since, F.lit(SPAN))
+    near = permute_number(F.floor(inside / DAYS), inside % DAYS, (DAYS, DAYS), key, "date")
+    near = _let(near, lambda p: span * SPAN + p["left"] * DAYS + p["right"])
+    # the days at both ends as one row of numbers, those before the first span in front
+    head = DAYS_BEFORE - SPANS_BEFORE * SPAN
+    at = F.when(since < 0, since + DAYS_BEFORE).otherwise(since - SPANS_AFTER * SPAN + head)
+    far = permute_number(F.floor(at / LEFT_OVER[1]), at % LEFT_OVER[1], LEFT_OVER, key, "far date")
+    far = _let(far, lambda p: p["left"] * LEFT_OVER[1] + p["right"])
+    far = _let(far, lambda n: F.when(n < head, n - DAYS_BEFORE).otherwise(n - head + SPANS_AFTER * SPAN))
+    return F.date_add(first, F.when(span.between(-SPANS_BEFORE, SPANS_AFTER - 1), near).otherwise(far).cast("int"))
+
+
 def date(match: Column, key: str) -> Column:
     """Another date in the same order and with the same signs; day before month where both readings are right."""
-    out = F.lit(None).cast("string")
-    for form in ("MM/dd/yyyy", "MM.dd.yyyy", "dd.MM.yyyy", "dd/MM/yyyy", "yyyy-MM-dd"):
+
+    def reading(form: str) -> Column:
         sign = form.strip("Mdy")[0]
         padded = F.concat_ws(sign, F.transform(F.split(match, f"[{sign}]"), lambda p: F.when(F.length(p) < 2, F.concat(F.lit("0"), p)).otherwise(p)))
-        day = F.try_to_timestamp(padded, F.lit(form)).cast("date")
-        since = F.datediff(day, F.lit(FIRST_DAY).cast("date"))
-        span, size = F.floor(since / (DAYS * DAYS)), DAYS * DAYS
-        inside = F.pmod(since, F.lit(size))
-        value = permute_number(F.floor(inside / DAYS), inside % DAYS, DAYS, key, "date")
-        moved = F.date_add(F.lit(FIRST_DAY).cast("date"), (span * size + value["left"] * DAYS + value["right"]).cast("int"))
-        fits = match.contains(sign) & day.isNotNull() & span.between(-1, 1)
-        out = F.when(fits, F.date_format(moved, form)).otherwise(out)
-    return out
+        day = F.when(match.contains(sign), F.try_to_timestamp(padded, F.lit(form)).cast("date"))
+        return _let(day, lambda d: F.when(F.year(d) > 0, F.struct(F.lit(form).alias("form"), d.alias("day"))))
+
+    readings = map(reading, ("yyyy-MM-dd", "dd/MM/yyyy", "dd.MM.yyyy", "MM.dd.yyyy", "MM/dd/yyyy"))
+    return _let(
+        F.coalesce(*readings),
+        lambda r: F.when(r.isNotNull(), F.call_function("date_format", another_day(r["day"], key), r["form"])),
+    )
 
 
 def phone(match: Column, key: str) -> Column:
-    """Another number of the same form; a country code and its plus sign stay."""
-    code = F.regexp_extract(match, r"^\+[0-9]{1,3}(?=[ .(-])", 0)
-    rest = F.substring(match, F.char_length(code) + 1, F.char_length(match))
-    return F.when(F.length(_digits(match)).between(7, 15), F.concat(code, permute_chars(rest, key, "phone")))
+    """Another number of the same form; a country code and its plus sign stay.
+
+    The number without its country code is permuted, so it is linked with and
+    without one.
+    """
+    digits = _digits(match)
+    code = F.when(match.startswith("+"), F.regexp_extract(digits, CODES, 0)).otherwise("")
+    new = _let(
+        code, lambda c: F.concat(c, permute_chars(F.substring(digits, F.char_length(c) + 1, F.char_length(digits)), key, "phone"))
+    )
+    return F.when(F.length(digits).between(7, 15), grouped_as(match, new))
 
 
 def email(match: Column, key: str) -> Column:
@@ -206,15 +272,20 @@ def email(match: Column, key: str) -> Column:
 
 
 def ssn(match: Column, key: str) -> Column:
-    return permute_chars(match, key, "ssn")
+    """Another number that may be issued; what may not be issued is none."""
+    area, group, serial = (F.substring(match, at, n).cast("int") for at, n in ((1, 3), (5, 2), (8, 4)))
+    valid = (area > 0) & (area < 900) & (area != 666) & (group > 0) & (serial > 0)
+    place = area - F.when(area > 666, 2).otherwise(1)
+    value = permute_number(place * 99 + group - 1, serial - 1, SSN_SIZES, key, "ssn")
 
+    def written(v: Column) -> Column:
+        new = F.floor(v["left"] / 99) + 1
+        return F.format_string("%03d-%02d-%04d", new + F.when(new >= 666, 1).otherwise(0), v["left"] % 99 + 1, v["right"] + 1)
 
-MAKERS = {"email": email, "iban": iban, "phone": phone, "date": date, "ssn": ssn, "ip": ip, "card": card}
+    return F.when(valid, _let(value, written))
 
 
-def _let(value: Column, use) -> Column:
-    """`use(value)` with the value worked out once."""
-    return F.element_at(F.transform(F.array(value), use), 1)
+MAKERS = {"email": email, "iban": iban, "phone": phone, "date": date, "ssn": ssn, "ip": ip, "card": card}
 
 
 def _try(window: Column, form: str, make, key: str) -> Column:
@@ -272,7 +343,9 @@ def pseudonymise(docs: DataFrame, key: str, text_col: str = "text") -> DataFrame
 
     Columns keep their places, an input column `n_pii` is replaced. Null and
     empty texts stay as they are with none found; repeated rows are treated
-    alike. `key` decides the permutation; who has it can undo it.
+    alike. A text of any length is one value in its task, with an array of the
+    places where a form may begin. `key` decides the permutation; who has it can
+    undo it.
     """
     text = F.col(f"`{text_col}`")
     may = F.coalesce(F.rlike(text, F.lit(HINT)), F.lit(False))

@@ -286,7 +286,8 @@ def test_pseudonyms_keep_format_and_check_digits(spark):
         "+1 (555) 010-9999": r"\+1 \(\d{3}\) \d{3}-\d{4}", "(555) 010-9999": r"\(\d{3}\) \d{3}-\d{4}", "192.168.0.1": r"\d+(\.\d+){3}",
         "123-45-6789": r"\d{3}-\d\d-\d{4}", "1985-02-28": r"\d{4}-\d\d-\d\d", "28/02/1985": r"\d\d/\d\d/\d{4}", "31.12.1999": r"\d\d\.\d\d\.\d{4}",
     }
-    kept = ["4111111111111112", "1985-02-30", "256.1.1.1", "DE00370400440532013000", "3.14", "no", "2024", "token=1234567890123456"]
+    kept = ["4111111111111112", "1985-02-30", "256.1.1.1", "DE00370400440532013000", "3.14", "no", "2024", "token=1234567890123456",
+            "000-00-0000", "000-12-3456", "666-12-3456", "912-34-5678", "123-00-6789", "123-45-0000", "0000-01-01"]
     rows = [(v, f"See <{v}>, again {v}!") for v in [*values, *kept]]
     found = {r.v: r for r in pseudonyms.pseudonymise(spark.createDataFrame(rows, "v string, text string"), "k").collect()}
     for v, form in values.items():
@@ -324,10 +325,69 @@ def test_values_beside_others_and_inside_failed_matches(spark):
 def test_permutations_are_one_to_one(spark):
     n = pseudonyms.DAYS
     days = spark.range(n * n).select(
-        pseudonyms.permute_number(F.floor(F.col("id") / n), F.col("id") % n, n, "k", "date").alias("p")
+        pseudonyms.permute_number(F.floor(F.col("id") / n), F.col("id") % n, (n, n), "k", "date").alias("p")
     )
     assert days.distinct().count() == n * n
     numbers = spark.range(10_000).select(pseudonyms.permute_chars(F.format_string("%04d", "id"), "k", "x").alias("p"))
     assert numbers.where(F.rlike("p", F.lit("^[0-9]{4}$"))).distinct().count() == 10_000
     other = spark.range(100).select(pseudonyms.permute_chars(F.format_string("%04d", "id"), "k2", "x").alias("p"))
     assert other.exceptAll(numbers.limit(100)).count() > 50
+
+
+def test_permutations_of_unequal_halves_are_one_to_one(spark):
+    rows, sizes = 7 * 30, (7, 30)
+    some = spark.range(rows).select(
+        pseudonyms.permute_number(F.floor(F.col("id") / 30), F.col("id") % 30, sizes, "k", "x").alias("p")
+    )
+    assert some.where("p.left < 7 AND p.right < 30").distinct().count() == rows
+    # every day that a date can name, once
+    assert pseudonyms.LEFT_OVER[0] * pseudonyms.LEFT_OVER[1] == (
+        pseudonyms.DAYS_BEFORE % pseudonyms.SPAN + pseudonyms.DAYS_AFTER % pseudonyms.SPAN
+    )
+    first, last = datetime.date(1, 1, 1).toordinal(), datetime.date(9999, 12, 31).toordinal()
+    head, tail = pseudonyms.DAYS_BEFORE % pseudonyms.SPAN, pseudonyms.DAYS_AFTER % pseudonyms.SPAN
+    days = spark.range(head).unionByName(spark.range(last - first + 1 - tail, last - first + 1)).select(
+        F.date_add(F.lit("0001-01-01").cast("date"), F.col("id").cast("int")).alias("day")
+    )
+    moved = days.select(pseudonyms.another_day(F.col("day"), "k").alias("day")).distinct()
+    assert moved.count() == days.count() == head + tail
+    assert moved.join(days, "day", "left_anti").count() == 0
+
+
+def test_one_pseudonym_however_a_value_is_written(spark):
+    alike = [
+        ["4111111111111111", "4111 1111 1111 1111", "4111-1111-1111-1111"],
+        ["378282246310005", "3782 822463 10005"],
+        ["DE89370400440532013000", "DE89 3704 0044 0532 0130 00"],
+        ["(555) 010-9999", "555-010-9999", "555.010.9999", "+1 (555) 010-9999", "+1 555-010-9999", "+15550109999"],
+        ["+44 20 7946 0958", "+442079460958"],
+        ["1985-02-28", "28/02/1985", "28.2.1985", "02/28/1985"],
+        ["0850-01-02", "2.1.0850"], ["9998-12-31", "31/12/9998"], ["1600-02-29", "29.02.1600"],
+    ]
+    values = [(v,) for some in alike for v in some]
+    new = {r.v: r.text for r in pseudonyms.pseudonymise(spark.createDataFrame(values, "v string").selectExpr("v", "v AS text"), "k").collect()}
+
+    def plain(text):
+        if re.fullmatch(r"\d+([-/.])\d+\1\d{4}|\d{4}-\d\d-\d\d", text) and len(text) <= 10:
+            for form in ("%Y-%m-%d", "%d/%m/%Y", "%d.%m.%Y", "%m/%d/%Y"):
+                try:
+                    return datetime.datetime.strptime(text, form).date()
+                except ValueError:
+                    continue
+        return re.sub("[^A-Z0-9]", "", text)[-10 if text[0] in "+(5" else 0:]
+
+    for some in alike:
+        assert all(new[v] != v and len(new[v]) >= len(v) for v in some), some
+        assert len({plain(new[v]) for v in some if not v.startswith("02/28")}) == 1, [(v, new[v]) for v in some]
+    months_first = datetime.datetime.strptime(new["28.2.1985"], "%d.%m.%Y")
+    assert new["02/28/1985"] == months_first.strftime("%m/%d/%Y")
+
+
+def test_social_security_numbers_stay_issuable(spark):
+    numbers = [f"{a:03d}-{g:02d}-{s:04d}" for a in (1, 665, 667, 899) for g in (1, 50, 99) for s in (1, 5000, 9999)]
+    frame = spark.createDataFrame([(n, n) for n in numbers], "v string, text string")
+    new = {r.v: r.text for r in pseudonyms.pseudonymise(frame, "k").collect()}
+    assert len(set(new.values())) == len(numbers)
+    for v, n in new.items():
+        m = re.fullmatch(r"(\d{3})-(\d\d)-(\d{4})", n)
+        assert n != v and 0 < int(m[1]) < 900 and m[1] != "666" and m[2] != "00" and m[3] != "0000"
