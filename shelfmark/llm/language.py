@@ -22,6 +22,8 @@ DIMENSIONS = 1024
 ROWS, COUNTS = 1024, 1 << 21
 #: Trigrams up to which a table tells which ones occur (about a hundred letters); beyond it they are sorted.
 TABLE = 1 << 20
+#: Characters whose trigrams are taken at once, two or more.
+PART = 1 << 18
 UNKNOWN = "und"
 PREDICTION = "lang_pred string, score double"
 
@@ -44,15 +46,40 @@ def letter_vectors(symbols: np.ndarray) -> np.ndarray:
     return 2 * bits.astype(np.int8) - 1
 
 
-def _trigrams(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, int]:
-    """(symbols, owner, code, letters per text...) of all trigrams; runs of non-letters are one gap, and each text ends in one."""
-    lower = [t.lower() for t in texts]
+def _parts(texts: list[str]):
+    """(parts, owners): the texts in small letters, a long one in several parts of equal trigrams together.
+
+    A part ends in a gap between words, where each text ends, and the next one
+    begins with the letter before that gap: every trigram begins in one of them.
+    """
+    parts, owners, size = [], [], 0
+    for owner, text in enumerate(texts):
+        text, at = text.lower(), 0
+        while True:
+            end = gap = at + PART
+            while gap < len(text) and (text[gap].isalpha() or not text[gap - 1].isalpha()):
+                gap += 1
+            end = min(gap, len(text))
+            if parts and size + end - at > PART:
+                yield parts, owners
+                parts, owners, size = [], [], 0
+            parts.append(text[at:end])
+            owners.append(owner)
+            size += end - at
+            if end == len(text):
+                break
+            at = end - 1
+    if parts:
+        yield parts, owners
+
+
+def _trigrams(lower: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, int]:
+    """(symbols, owner, code, number of symbols) of all trigrams; runs of non-letters are one gap, and each text ends in one but begins with none."""
     points = np.frombuffer("\n".join([*lower, ""]).encode("utf-32-le", "surrogatepass"), np.uint32)
     owner = np.repeat(np.arange(len(lower)), [len(t) + 1 for t in lower])
     points = np.where(letter_table()[points], points, 0)
     real = points != 0
     real[1:] |= points[:-1] != 0
-    real[:1] |= True
     points, owner = points[real], owner[real]
     symbols, at = _compact(points)
     n = len(symbols)
@@ -73,10 +100,19 @@ def _compact(points: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 def bundles(texts: list[str], groups: np.ndarray | None = None) -> np.ndarray:
     """The bundle of each text, or of each group of texts if `groups` numbers them; whole numbers."""
-    symbols, owner, code, n = _trigrams(texts)
     rows = len(texts) if groups is None else int(groups.max(initial=-1)) + 1
+    out = np.zeros((rows, DIMENSIONS), np.float32)
+    for parts, owners in _parts(texts):
+        _bundle(parts, np.array(owners) if groups is None else groups[owners], out)
+    return out
+
+
+def _bundle(parts: list[str], groups: np.ndarray, out: np.ndarray) -> None:
+    """Add the trigrams of each part to its group's bundle."""
+    symbols, owner, code, n = _trigrams(parts)
+    rows = len(out)
     if not len(code):
-        return np.zeros((rows, DIMENSIONS), np.float32)
+        return
     if n**3 <= TABLE:
         seen = np.flatnonzero(np.bincount(code, minlength=n**3))
         place = np.zeros(n**3, np.int64)
@@ -86,8 +122,7 @@ def bundles(texts: list[str], groups: np.ndarray | None = None) -> np.ndarray:
         seen, at = np.unique(code, return_inverse=True)
     vectors = letter_vectors(symbols)
     turned = [np.roll(vectors, turn, axis=1) for turn in (2, 1, 0)]
-    owner = owner if groups is None else groups[owner]
-    out = np.zeros((rows, DIMENSIONS), np.float32)
+    owner = groups[owner]
     step = max(1, COUNTS // max(rows, DIMENSIONS))  # trigrams at once: 8 MB of vectors, and of counts
     for first in range(0, len(seen), step):
         some = seen[first : first + step]
@@ -98,7 +133,6 @@ def bundles(texts: list[str], groups: np.ndarray | None = None) -> np.ndarray:
         cells = owner[inside] * len(some) + at[inside] - first
         counts = np.bincount(cells, minlength=rows * len(some)).reshape(rows, len(some)).astype(np.float32)
         out += counts @ bound
-    return out
 
 
 def has_letter(text: str | None) -> bool:
@@ -141,7 +175,8 @@ def predict(docs: DataFrame, model: tuple[list[str], np.ndarray], text_col: str
 
     `und` with score 0 where the text is null or has no letter, or nothing was
     learned; else the language of the greatest cosine, the first by name among
-    equals. The score is that cosine, 0 if it is negative.
+    equals. The score is that cosine, 0 if it is negative. A very long text is
+    taken whole, its trigrams part by part.
     """
     names, profiles = model
     unit = profiles / np.maximum(1e-300, np.linalg.norm(profiles, axis=1, keepdims=True))

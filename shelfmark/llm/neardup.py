@@ -40,6 +40,8 @@ COMPONENTS = BANDS * ROWS
 AGREEING = int(COMPONENTS * (SIMILARITY - 5 * (SIMILARITY * (1 - SIMILARITY) / COMPONENTS) ** 0.5))
 #: Nodes of a bucket that one cell takes from each side, and words of theirs (12 bytes of shingle each).
 CELL, CELL_WORDS = 1_500, 3_000_000
+#: Elements of texts whose arrivals are drawn at once.
+DRAWN = 1 << 18
 #: Shingles that a task keeps at hand while it verifies pairs.
 HELD_BYTES = 32 << 20
 #: Above so many ids a join goes by shuffle and not by broadcast.
@@ -50,8 +52,11 @@ def weighted_shingles(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndar
     """(owner, shingle, weight) of each distinct shingle, owners ascending; a text of 1 to 4 words is one shingle."""
     words = Words(column, ALNUM_WORDS)
     doc, gram = words.shingles(SHINGLE)
-    order = np.lexsort((gram, doc))
-    doc, gram = doc[order], gram[order]
+    if words.docs > 1:
+        order = np.lexsort((gram, doc))
+        doc, gram = doc[order], gram[order]
+    else:
+        gram.sort()  # a long text is alone, and sorted in its place
     new = np.ones(len(doc), bool)
     new[1:] = (doc[1:] != doc[:-1]) | (gram[1:] != gram[:-1])
     starts = np.flatnonzero(new)
@@ -59,9 +64,22 @@ def weighted_shingles(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndar
 
 
 def signatures(owner: np.ndarray, element: np.ndarray, weight: np.ndarray, docs: int) -> np.ndarray:
-    """The first element to arrive at each place of each text, 0 for a text without elements."""
+    """The first element to arrive at each place of each text, 0 for a text without elements.
+
+    The elements of a long text are drawn in parts; those of later parts stop
+    at what earlier ones have reached.
+    """
     first = np.full(docs * COMPONENTS, np.inf)
     chosen = np.zeros(docs * COMPONENTS, np.uint64)
+    for at in range(0, len(element), DRAWN):
+        part = slice(at, at + DRAWN)
+        _draw(owner[part], element[part], weight[part], first, chosen)
+    return chosen.reshape(docs, COMPONENTS)
+
+
+def _draw(owner: np.ndarray, element: np.ndarray, weight: np.ndarray, first: np.ndarray, chosen: np.ndarray) -> None:
+    """Take the arrivals of some elements into the `first` times of all places and the elements `chosen` there."""
+    docs = len(first) // COMPONENTS
     time = np.zeros(len(element))
     arrival = 0
     while len(element):
@@ -75,7 +93,6 @@ def signatures(owner: np.ndarray, element: np.ndarray, weight: np.ndarray, docs:
         last = first.reshape(docs, COMPONENTS).max(axis=1)
         alive = time < last[owner]
         owner, element, weight, time = owner[alive], element[alive], weight[alive], time[alive]
-    return chosen.reshape(docs, COMPONENTS)
 
 
 def similarity(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> float:
@@ -287,7 +304,8 @@ def classes(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id") ->
 
     Words are runs of ASCII letters, digits and all beyond ASCII, A-Z as a-z.
     Texts of equal words are copies. Texts of fewer than five words are compared
-    as one shingle; null, empty and wordless texts are alone in their class.
+    as one shingle; null, empty and wordless texts are alone in their class. Very
+    long texts are compared whole; a task holds about fifteen bytes for each byte.
     Rows that share a doc_id share a class, and if their texts differ one text
     stands for all; a null doc_id has a null class.
     """
@@ -327,9 +345,11 @@ def classes(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id") ->
             roots = components(links.unionByName(more))
 
     own = copies.join(roots, "node", "left").select("low", "high", F.coalesce("root", "node").alias("class_id"))
-    found = signed.select("doc_id", "low", "high").join(own, ["low", "high"], "left")
+    found = signed.where("low IS NOT NULL").select("doc_id", "low", "high").join(own, ["low", "high"], "left")
+    # texts without words meet nobody, and are not sent to one task for their lack of a digest
+    alone = signed.where("low IS NULL").select("doc_id", F.col("doc_id").alias("class_id"))
     # ids with several texts: one class for all their rows, the least
-    return _one_class_per_id(found.select("doc_id", F.coalesce("class_id", "doc_id").alias("class_id")))
+    return _one_class_per_id(found.select("doc_id", F.coalesce("class_id", "doc_id").alias("class_id")).unionByName(alone))
 
 
 def _one_class_per_id(rows: DataFrame) -> DataFrame:

@@ -30,6 +30,8 @@ NEIGHBOURS = 40
 SHARPNESS = 4
 #: Texts whose cosines with the sample are held at once.
 BLOCK = 512
+#: Words of a text whose shapes are worked out at once.
+PART = 1 << 18
 SCORE = "score double, predicted int"
 THRESHOLD = 0.3
 
@@ -44,18 +46,36 @@ def counts(column: pa.Array) -> np.ndarray:
     if not len(words.hash):
         return np.zeros((words.docs, BUCKETS), np.int64)
     raw, _ = byte_view(column)
-    first, second = raw[words.starts], raw[np.minimum(words.starts + 1, len(raw) - 1)]
+    out = _recurring(words)
+    for first in range(0, len(words.hash), PART):
+        # each part with the word after it, for the pair over the seam
+        out += _shapes(raw, words, first, min(first + PART, len(words.hash)))
+    return out
+
+
+def _shapes(raw: np.ndarray, words: Words, begin: int, end: int) -> np.ndarray:
+    """Counts of the words `begin` to `end`, and of the pairs that begin with them."""
+    part = slice(begin, end + 1)
+    starts, ends, doc, token = words.starts[part], words.ends[part], words.doc[part], words.hash[part]
+    first, second = raw[starts], raw[np.minimum(starts + 1, len(raw) - 1)]
     mark = WORDS_AND_MARKS[first] == 2
 
     def upper(byte):
         return (byte >= 65) & (byte <= 90)
 
-    case = np.where(upper(first), np.where(upper(second) & (words.ends - words.starts > 1), 2, 1), 0)
-    size = np.minimum(words.ends - words.starts, 12) // 3
-    shape = np.where(mark, words.hash % np.uint64(4093), (16 + 8 * case + size).astype(np.uint64))
-    pair_doc, pair = words.doc[1:], mix(shape[1:] * np.uint64(8191) + shape[:-1])
-    inside = pair_doc == words.doc[:-1]
-    # tokens that recur in the text, by how often
+    case = np.where(upper(first), np.where(upper(second) & (ends - starts > 1), 2, 1), 0)
+    size = np.minimum(ends - starts, 12) // 3
+    shape = np.where(mark, token % np.uint64(4093), (16 + 8 * case + size).astype(np.uint64))
+    pair_doc, pair = doc[1:], mix(shape[1:] * np.uint64(8191) + shape[:-1])
+    inside = pair_doc == doc[:-1]
+    own = slice(0, end - begin)
+    return _ranges(doc[own], (token[own] % np.uint64(WORD_BUCKETS)).astype(np.int64), words.docs) + _ranges(
+        pair_doc[inside], WORD_BUCKETS + (pair[inside] % np.uint64(SHAPE_BUCKETS)).astype(np.int64), words.docs
+    )
+
+
+def _recurring(words: Words) -> np.ndarray:
+    """Counts of the tokens of each text by how often they recur in it."""
     order = np.lexsort((words.hash, words.doc))
     doc, token = words.doc[order], words.hash[order]
     new = np.ones(len(doc), bool)
@@ -64,13 +84,9 @@ def counts(column: pa.Array) -> np.ndarray:
     times = np.diff(np.append(starts, len(doc)))
     share = times * 32 // words.counts[doc[starts]]
     recur = np.minimum(np.log2(times).astype(np.int64), 7) * 8 + np.minimum(share, 7)
-    return (
-        _ranges(words.doc, (words.hash % np.uint64(WORD_BUCKETS)).astype(np.int64), words.docs)
-        + _ranges(pair_doc[inside], WORD_BUCKETS + (pair[inside] % np.uint64(SHAPE_BUCKETS)).astype(np.int64), words.docs)
-        + np.bincount(
-            doc[starts] * BUCKETS + WORD_BUCKETS + SHAPE_BUCKETS + recur, weights=times, minlength=words.docs * BUCKETS
-        ).reshape(words.docs, BUCKETS).astype(np.int64)
-    )
+    return np.bincount(
+        doc[starts] * BUCKETS + WORD_BUCKETS + SHAPE_BUCKETS + recur, weights=times, minlength=words.docs * BUCKETS
+    ).reshape(words.docs, BUCKETS).astype(np.int64)
 
 
 def document_frequency(docs: DataFrame, text_col: str = "text") -> tuple[int, np.ndarray]:
@@ -169,7 +185,11 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, text_col: str
 
 
 def score(docs: DataFrame, model: Model, text_col: str = "text", keep=None) -> DataFrame:
-    """`docs` with `SCORE`; every row stays a row."""
+    """`docs` with `SCORE`; every row stays a row.
+
+    Null, empty and wordless texts get the share of label 1 among the learned
+    labels. A very long text is scored whole, its shapes worked out in parts.
+    """
 
     def make(piece):
         parts = [model.scores(counts(piece.column("__text").slice(i, BLOCK))) for i in range(0, piece.num_rows, BLOCK)]

@@ -57,15 +57,23 @@ def _repeated(texts: list[np.ndarray]) -> np.ndarray:
     """Words of each text that stand in a three-word window which the text has twice or more."""
     sizes = np.array([len(t) for t in texts], np.int64)
     numbers = np.concatenate([*texts, np.zeros(0, np.int32)]).astype(np.int64)
-    owner = np.repeat(np.arange(len(texts)), sizes)
+    owner = np.repeat(np.arange(len(texts), dtype=np.int32), sizes)
     if len(numbers) < 3:
         return np.zeros(len(texts), np.int64)
     at = np.flatnonzero(owner[2:] == owner[:-2])
     base = int(numbers.max()) + 1
-    pairs = np.unique(numbers[:-1] * base + numbers[1:], return_inverse=True)[1]
-    windows = np.unique(pairs[at] * base + numbers[at + 2], return_inverse=True)[1]
-    _, name, count = np.unique(owner[at] * (len(at) + 1) + windows, return_inverse=True, return_counts=True)
-    twice = at[count[name] > 1]
+    window = numbers[:-1] * base + numbers[1:]
+    if base**3 >= 1 << 63:  # pairs by their places, so that three numbers fit in one
+        window = np.unique(window, return_inverse=True)[1]
+    window = window[at] * base + numbers[at + 2]
+    order = np.argsort(window, kind="stable")  # equal windows of one text stand together, as texts do in `at`
+    window, at = window[order], at[order]
+    own = owner[at]
+    again = (window[1:] == window[:-1]) & (own[1:] == own[:-1])
+    some = np.zeros(len(at), bool)
+    some[1:] = again
+    some[:-1] |= again
+    twice = at[some]
     covered = np.zeros(len(numbers), bool)
     for i in range(3):
         covered[twice + i] = True
@@ -125,7 +133,8 @@ def scores(column: pa.Array, ratios: np.ndarray) -> np.ndarray:
 def judge(docs: DataFrame, ratios: np.ndarray, text_col: str = "text", keep=None, threshold: float = THRESHOLD) -> DataFrame:
     """`docs` with the columns of `FEATURES`; every row stays a row, repeated ids too.
 
-    A null or empty text has no words and fails the base rule.
+    A null or empty text has no words and fails the base rule. A very long text
+    is judged whole; its task holds about twenty bytes for each byte of it.
     """
 
     def make(piece):

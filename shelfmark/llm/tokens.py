@@ -11,15 +11,18 @@ import pyarrow as pa
 
 _BASE = 0x9E3779B97F4A7C15
 _INVERSE = pow(_BASE, -1, 1 << 64)
-_powers = {"up": np.ones(1, np.uint64), "down": np.ones(1, np.uint64)}
+#: Bytes that are hashed at once; what a text of any length needs besides its bytes is a few numbers per word.
+BLOCK = 1 << 18
+_powers: dict[int, np.ndarray] = {}
 
 
-def _table(name: str, base: int, size: int) -> np.ndarray:
-    if len(_powers[name]) < size:
-        factors = np.full(max(size, 1 << 16), base, np.uint64)
+def _table(base: int) -> np.ndarray:
+    """Powers 0 to `BLOCK` - 1 of an odd number, modulo 2^64."""
+    if base not in _powers:
+        factors = np.full(BLOCK, base, np.uint64)
         factors[0] = 1
-        _powers[name] = np.cumprod(factors, dtype=np.uint64)
-    return _powers[name]
+        _powers[base] = np.cumprod(factors, dtype=np.uint64)
+    return _powers[base]
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -64,36 +67,63 @@ def byte_view(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 
 class Words:
-    """Words of a text column: `doc` owns each word, `hash` names it; A-Z count as a-z if `fold`."""
+    """Words of a text column: `doc` owns each word, `hash` names it; A-Z count as a-z if `fold`.
+
+    The bytes are gone through in blocks. A word's hash is the difference of a
+    running sum at its two ends, so a word may lie across any number of blocks.
+    """
 
     def __init__(self, column: pa.Array, table: np.ndarray = ALNUM_WORDS, fold: bool = True):
         raw, bounds = byte_view(column)
         self.docs = len(bounds) - 1
-        kind = table[raw]
-        edge = np.ones(len(raw) + 1, bool)
-        edge[1:-1] = kind[1:] != kind[:-1]
-        edge[bounds] = True
-        cuts = np.flatnonzero(edge)
-        starts, ends = cuts[:-1], cuts[1:]
-        real = kind[starts] > 0
-        self.starts, self.ends = starts[real], ends[real]
+        offsets = np.int32 if len(raw) < 1 << 31 else np.int64
+        found = [(np.zeros(0, offsets), np.zeros(0, offsets), np.zeros(0, np.uint64))]
+        total, opened, last = np.uint64(0), None, 0
+        for first in range(0, len(raw), BLOCK):
+            block = raw[first : first + BLOCK]
+            size = len(block)
+            kind = table[block]
+            edge = np.ones(size, bool)
+            edge[1:] = kind[1:] != kind[:-1]
+            edge[0] = kind[0] != last
+            inside = bounds[np.searchsorted(bounds, first) : np.searchsorted(bounds, first + size)]
+            edge[inside - first] = True
+            cuts = np.flatnonzero(edge)
+            before = kind[cuts - 1]  # what a cut ends
+            if len(cuts) and cuts[0] == 0:
+                before[0] = last
+            values = ((_LOWER[block] if fold else block).astype(np.uint64) + np.uint64(1)) * _table(_BASE)[:size]
+            sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(values, dtype=np.uint64)])
+            sums = sums * np.uint64(pow(_BASE, first, 1 << 64)) + total
+            total, last = sums[-1], kind[-1]
+            begin, end = cuts[kind[cuts] > 0], cuts[before > 0]
+            down = _table(_INVERSE)[begin] * np.uint64(pow(_INVERSE, first, 1 << 64))
+            starts, ends, at, to = begin + first, end + first, sums[begin], sums[end]
+            if opened is not None:  # the word that the last block left open
+                starts, at, down = (np.append(old, new) for old, new in zip(opened, (starts, at, down)))
+            whole = len(ends)
+            opened = None
+            if len(starts) > whole:
+                opened = starts[whole:].astype(np.int64), at[whole:], down[whole:]
+            found.append((starts[:whole].astype(offsets), ends.astype(offsets), mix((to - at[:whole]) * down[:whole])))
+        if opened is not None:
+            found.append((opened[0].astype(offsets), np.array([len(raw)], offsets), mix((total - opened[1]) * opened[2])))
+        self.starts, self.ends, self.hash = (np.concatenate(part) for part in zip(*found))
         self.doc = np.searchsorted(bounds, self.starts, side="right") - 1
         self.counts = np.bincount(self.doc, minlength=self.docs)
-        raw = _LOWER[raw] if fold else raw
-        values = (raw.astype(np.uint64) + np.uint64(1)) * _table("up", _BASE, len(raw))[: len(raw)]
-        sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(values, dtype=np.uint64)])
-        self.hash = mix(
-            (sums[self.ends] - sums[self.starts]) * _table("down", _INVERSE, len(raw) + 1)[self.starts]
-        )
 
     def grams(self, n: int) -> tuple[np.ndarray, np.ndarray]:
         """(owner, hash) of each run of `n` words inside one text."""
         size = max(0, len(self.hash) - n + 1)
-        total = np.zeros(size, np.uint64)
-        for i in range(n):
-            total = total * np.uint64(0xD6E8FEB86659FD93) + self.hash[i : i + size]
+        gram = np.empty(size, np.uint64)
+        for first in range(0, size, BLOCK):
+            last = min(first + BLOCK, size)
+            total = np.zeros(last - first, np.uint64)
+            for i in range(n):
+                total = total * np.uint64(0xD6E8FEB86659FD93) + self.hash[first + i : last + i]
+            gram[first:last] = mix(total)
         same = self.doc[:size] == self.doc[n - 1 : n - 1 + size]
-        return self.doc[:size][same], mix(total[same])
+        return self.doc[:size][same], gram[same]
 
     def shingles(self, n: int) -> tuple[np.ndarray, np.ndarray]:
         """`grams(n)`, and for a text of fewer words, but not none, one gram of all its words."""

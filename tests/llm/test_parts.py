@@ -3,6 +3,9 @@
 import datetime
 import random
 import re
+import subprocess
+import sys
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -10,7 +13,7 @@ import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from shelfmark.llm import decontaminate, neardup, pseudonyms, token_files
+from shelfmark.llm import decontaminate, language, neardup, neighbours, pseudonyms, quality_rules, token_files, tokens
 from shelfmark.llm.graph import components
 from shelfmark.llm.merges import PlainDecoder, WordCodec
 from shelfmark.llm.queries import VOCABULARY
@@ -391,3 +394,76 @@ def test_social_security_numbers_stay_issuable(spark):
     for v, n in new.items():
         m = re.fullmatch(r"(\d{3})-(\d\d)-(\d{4})", n)
         assert n != v and 0 < int(m[1]) < 900 and m[1] != "666" and m[2] != "00" and m[3] != "0000"
+
+
+def test_values_do_not_depend_on_the_parts_of_a_long_text(monkeypatch):
+    draw = random.Random(3)
+    texts = ["".join(draw.choice("ab cd.É#\n \u03a3 1") for _ in range(draw.choice([0, 1, 5, 80, 700]))) for _ in range(60)]
+    texts += ["x" * 900, "." * 900, "ab " * 300, None]
+    column = pa.array(texts, pa.string())
+
+    def values():
+        tokens._powers.clear()
+        owner, element, weight, words = neardup.weighted_shingles(column)
+        return [
+            owner, element, weight, words.counts, words.starts, neardup.signatures(owner, element, weight, words.docs),
+            neighbours.counts(column), language.bundles([t or "" for t in texts]),
+            language.bundles([t or "" for t in texts], np.arange(len(texts)) % 3), quality_rules.base_features(texts),
+            quality_rules.scores(column, np.arange(quality_rules.BUCKETS) / 7),
+        ]
+
+    whole = values()
+    try:
+        for size in (2, 7, 50):
+            for module, name in ((tokens, "BLOCK"), (neardup, "DRAWN"), (neighbours, "PART"), (language, "PART"), (tokens, "PART")):
+                monkeypatch.setattr(module, name, size)
+            for some, every in zip(values(), whole):
+                assert np.array_equal(some, every)
+    finally:
+        tokens._powers.clear()
+    # each alone, where a short way is taken
+    for i, text in enumerate(texts):
+        one = pa.array([text], pa.string())
+        owner, element, weight, words = neardup.weighted_shingles(one)
+        assert np.array_equal(neardup.signatures(owner, element, weight, 1)[0], whole[5][i])
+        assert np.array_equal(quality_rules.base_features([text])[0], whole[9][i])
+
+
+LONG = """
+import resource, sys
+import numpy as np, pyarrow as pa
+from shelfmark.llm import language, neardup, neighbours, quality_rules
+what, megabytes = sys.argv[1], int(sys.argv[2])
+draw = np.random.default_rng(1)
+letters = [chr(c) for c in range(0x61, 0x7B)] if what != "op9" else [chr(c) for c in range(0x400, 0x482)] + [chr(c) for c in range(0x5D0, 0x5EB)] + [chr(c) for c in range(0x4E00, 0x4E00 + 163)]
+words = np.array(["".join(draw.choice(letters, draw.integers(2, 9))) for _ in range(20_000)], object)
+some = " ".join(words[draw.integers(0, 20_000, 200_000)]) + " "
+size = len(some.encode())
+text = some
+while size < megabytes << 20:
+    text, size = text + text[::-1], 2 * size
+column = pa.array([text], pa.string())
+del text, some
+used = lambda: int(open("/proc/self/statm").read().split()[1]) * 4096 >> 20
+before = used()
+if what == "op3":
+    quality_rules.base_features(column.to_pylist())
+    quality_rules.scores(column, np.zeros(quality_rules.BUCKETS))
+elif what == "op6":
+    owner, element, weight, words = neardup.weighted_shingles(column)
+    neardup.signatures(owner, element, weight, words.docs)
+elif what == "op8":
+    neighbours.counts(column)
+else:
+    language.bundles(column.to_pylist())
+print(resource.getrusage(resource.RUSAGE_SELF).ru_maxrss // 1024 - before, column.nbytes >> 20)
+"""
+
+
+@pytest.mark.parametrize("what, most", [("op3", 45), ("op6", 35), ("op8", 25), ("op9", 20)])
+def test_memory_of_a_long_text(what, most):
+    """Megabytes per megabyte of text, and 100 besides; op9 over 320 letters of three scripts."""
+    root = Path(tokens.__file__).parents[2]
+    done = subprocess.run([sys.executable, "-c", LONG, what, "40"], cwd=root, capture_output=True, text=True, check=True)
+    used, size = map(int, done.stdout.split())
+    assert size >= 40 and used <= 100 + most * size, (used, size)
