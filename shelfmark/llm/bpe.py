@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
@@ -78,7 +79,7 @@ def encode_and_decode(docs: DataFrame, vocabulary: str, text_col: str = "text",
             decoded = " ".join([e[2] for e in entries])
             rows.append(
                 (
-                    [int(i) for i in spelled.split()],
+                    np.fromstring(spelled, np.int32, sep=" "),
                     sum(e[0] for e in entries),
                     hashlib.sha256(spelled.encode()).hexdigest(),
                     hashlib.sha256(decoded.encode("utf-8")).hexdigest(),

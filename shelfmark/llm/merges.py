@@ -98,12 +98,9 @@ class Merges:
         get, none = self.rank.get, len(self.rank)
         parts = list(symbols)
         ranks = [get(pair, none) for pair in zip(parts, parts[1:])]
-        while ranks:
-            best = min(ranks)
-            if best == none:
-                break
+        while ranks and (best := min(ranks)) != none:
             i = ranks.index(best)
-            parts[i : i + 2] = [parts[i] + parts[i + 1]]
+            parts[i] += parts.pop(i + 1)
             del ranks[i]
             if i:
                 ranks[i - 1] = get((parts[i - 1], parts[i]), none)
@@ -111,6 +108,10 @@ class Merges:
                 ranks[i] = get((parts[i], parts[i + 1]), none)
         return parts
 
+    def tokens(self, symbols: list[str]) -> list[str]:
+        """Tokens of a word whose symbols are at hand; below the window the transducer would hold all of them."""
+        return self.merge(symbols) if len(symbols) < self.window else list(self.transduce(symbols))
+
     def transduce(self, symbols: Iterable[str]) -> Iterator[str]:
         """Tokens of a stream of symbols, each as soon as no later symbol can change it.
 
@@ -199,7 +200,7 @@ class WordCodec:
     normaliser and word boundaries are asked.
     """
 
-    def __init__(self, path: str, memory: int = 150_000):
+    def __init__(self, path: str, memory: int = 300_000):
         with open(path, encoding="utf-8") as file:
             spec = json.load(file)
         self.merges = Merges(spec["model"]["vocab"], [tuple(m) for m in spec["model"]["merges"]])
@@ -207,9 +208,10 @@ class WordCodec:
         self.tokens = {i: t for t, i in (spec["model"]["vocab"] | self.special).items()}
         self.letters = byte_letters()
         self._special = regex.compile("(" + "|".join(map(regex.escape, self.special)) + ")")
-        self._chunks, self._words = Memory(memory), Memory(memory)
+        self._chunks = Memory(memory)
         self._path, self._library = path, None
         self._bytes = {letter: byte for byte, letter in enumerate(self.letters)}
+        self._shown = dict(enumerate(self.letters))
 
     def _stages(self):
         """The library's tokenizer, for its normaliser and word boundaries; read when first needed."""
@@ -230,7 +232,9 @@ class WordCodec:
         return plain.split() if not _NARROW.search(plain) else [c for c in _SPACES.split(plain) if c]
 
     def _parted(self, chunk: str) -> list[str]:
-        """Words of a chunk."""
+        """Words of a chunk; letters alone, all known to Python, are one."""
+        if chunk.isalpha():
+            return [chunk]
         if not unsettled(chunk):
             return _WORD.findall(chunk)
         spelled = self._stages().pre_tokenizer.pre_tokenize_str(chunk)
@@ -238,26 +242,26 @@ class WordCodec:
 
     def _word(self, word: str) -> tuple[int, str, str]:
         """(number of ids, ids as text, decoded text) of one word; a symbol that the vocabulary lacks gives none."""
-        found = self._words.get(word) or self._words.recall(word)
+        found = self._chunks.get(word) or self._chunks.recall(word)
         if found is None:
-            letters = [self.letters[b] for b in word.encode("utf-8")]
+            letters = list(word.encode("utf-8").decode("latin-1").translate(self._shown))
             letters[-1] += END
-            ids = [self.merges.ids[t] for t in self.merges.transduce(letters) if t in self.merges.ids]
+            known = self.merges.ids
+            ids = [known[t] for t in self.merges.tokens(letters) if t in known]
             found = (len(ids), " ".join(map(str, ids)), self.decode(ids))
             if len(word) <= REMEMBERED_LETTERS:
-                self._words.keep(word, found)
+                self._chunks.keep(word, found)
         return found
 
     def _chunk(self, chunk: str) -> tuple[int, str, str]:
-        """The same of all words of what lies between white space."""
+        """The same of all words of what lies between white space; a word alone is parted into itself, so one memory serves both."""
         found = self._chunks.recall(chunk)
         if found is None:
-            words = [self._word(word) for word in self._parted(chunk)]
-            words = [word for word in words if word[0]]
-            if len(words) == 1:
-                found = words[0]
-            else:
-                found = (sum(w[0] for w in words), " ".join([w[1] for w in words]), " ".join([w[2] for w in words]))
+            parted = self._parted(chunk)
+            if parted == [chunk]:
+                return self._word(chunk)
+            words = [word for word in map(self._word, parted) if word[0]]
+            found = (sum(w[0] for w in words), " ".join([w[1] for w in words]), " ".join([w[2] for w in words]))
             if len(chunk) <= REMEMBERED_LETTERS:
                 self._chunks.keep(chunk, found)
         return found
@@ -269,14 +273,15 @@ class WordCodec:
     def entries(self, text: str) -> list[tuple[int, str, str]]:
         """(number of ids, ids as text, decoded text) of each chunk and special token of a text, in order."""
         out = []
-        known = self._chunks
         for i, piece in enumerate(self._special.split(text) if "<|" in text else (text,)):
             if i % 2:
                 out.append((1, str(self.special[piece]), piece))
                 continue
-            for chunk in self._composed(piece):
-                entry = known.get(chunk)
-                out.append(entry if entry is not None else self._chunk(chunk))
+            chunks = self._composed(piece)
+            found = list(map(self._chunks.get, chunks))
+            if None in found:
+                found = [e or self._chunks.get(c) or self._chunk(c) for e, c in zip(found, chunks)]
+            out += found
         return [entry for entry in out if entry[0]]
 
     def encode(self, text: str) -> list[int]:
