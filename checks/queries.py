@@ -41,6 +41,14 @@ def _surrogate(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _description_words(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The words of which the descriptions' terms are windows of `TERM_WORDS`."""
+    return catalogue(spark, sf_dir).select("id", text.catalogue_terms(F.col("description"), 1).alias("words"))
+
+
+TERM_WORDS = features.DESCRIPTION.n
+
+
 def _description_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = text.catalogue_terms(F.col("description"), 5)
     return catalogue(spark, sf_dir).select("id", kept.alias("terms"))
@@ -438,24 +446,24 @@ def ngrams5(spark, sf_dir):
 
 
 def term_counts(spark, sf_dir):
-    return terms.term_counts(_description_terms(spark, sf_dir), "id", "terms")
+    return terms.term_counts(_description_words(spark, sf_dir), "id", "words", n=TERM_WORDS)
 
 
 def vocabulary_topk(spark, sf_dir):
-    return terms.vocabulary(terms.term_stats(_description_terms(spark, sf_dir), "terms"))
+    return terms.vocabulary(terms.term_stats(_description_words(spark, sf_dir), "words", TERM_WORDS))
 
 
 def vocabulary_by_names(spark, sf_dir):
     """The same terms without a shuffle of all terms' texts."""
-    return topk.top_terms(_description_terms(spark, sf_dir), "terms")
+    return topk.top_terms(_description_words(spark, sf_dir), "words", n=TERM_WORDS)
 
 
 def doc_freq(spark, sf_dir):
-    return terms.doc_freq(_description_terms(spark, sf_dir), "terms")
+    return terms.doc_freq(_description_words(spark, sf_dir), "words", TERM_WORDS)
 
 
 def tfidf(spark, sf_dir):
-    return _rounded(terms.tfidf(_description_terms(spark, sf_dir), "id", "terms"), "tfidf")
+    return _rounded(terms.tfidf(_description_words(spark, sf_dir), "id", "words", n=TERM_WORDS), "tfidf")
 
 
 def tfidf_limited(spark, sf_dir):
@@ -468,7 +476,7 @@ def tfidf_limited(spark, sf_dir):
 def tfidf_vocabulary(spark, sf_dir):
     """TF-IDF of the vocabulary's terms only, as the vectors hold it."""
     weighted = terms.tfidf(
-        _description_terms(spark, sf_dir), "id", "terms", terms.VOCABULARY_SIZE
+        _description_words(spark, sf_dir), "id", "words", terms.VOCABULARY_SIZE, n=TERM_WORDS
     )
     return _rounded(weighted, "tfidf")
 
@@ -506,7 +514,7 @@ def feature_vectors_weighted(spark, sf_dir):
     """The same with buckets that add up their terms' own weights, read from the vectors."""
     whole = catalogue(spark, sf_dir)
     slots = features.vector_slots(weighted.weighted_vectors(whole))
-    return _rounded(slots.join(_slot_parts(spark), "slot").drop("slot"), "value")
+    return _rounded(slots.join(F.broadcast(_slot_parts(spark)), "slot").drop("slot"), "value")
 
 
 def _slot_parts(spark):
@@ -523,7 +531,7 @@ def _named_slots(spark, sf_dir, vocabulary_size):
     whole = catalogue(spark, sf_dir)
     model = features.fit_features(whole, vocabulary_size)
     slots = features.vector_slots(features.feature_vectors(whole, model))
-    named = slots.join(features.slot_names(spark, model), "slot")
+    named = slots.join(F.broadcast(features.slot_names(spark, model)), "slot")
     return _rounded(named.drop("slot"), "value")
 
 
@@ -679,7 +687,7 @@ def linreg_fit(spark, sf_dir):
     weights = pd.DataFrame({"weight": model.coefficients.toArray()}).rename_axis("slot").reset_index()
     weights = spark.createDataFrame(weights[weights["weight"] != 0], "slot int, weight double")
     sums = (
-        features.vector_slots(vectors).join(weights, "slot").groupBy("id")
+        features.vector_slots(vectors).join(F.broadcast(weights), "slot").groupBy("id")
         .agg(F.sum(F.col("value") * F.col("weight")).alias("dot"))
     )
     scored = model.transform(vectors).join(sums, "id", "left")

@@ -1,8 +1,10 @@
 """Term statistics over an array column of terms, as long tables.
 
-Every function takes the frame and the name of its term-array column. Counting
-inside a row is local (see `functions.text.counted`), so the only shuffles are
-one partial aggregation by term and, for an unbounded TF-IDF, one join by term.
+Every function takes the frame and the name of its term-array column; with `n`
+the column holds words, and the terms are windows of `n` of them. Counting
+inside a row is local (see `operators.grams`), so the only shuffles are one
+aggregation by term and, for an unbounded TF-IDF, one dealing of the counts by
+term.
 """
 
 from __future__ import annotations
@@ -11,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
-from shelfmark.functions.text import counted
+from shelfmark.operators.grams import gram_counts, gram_stats
 from shelfmark.operators.skew import salted_lookup
 from shelfmark.session import materialize
 
@@ -32,27 +34,14 @@ def term_rows(df: DataFrame, key: str, terms: str) -> DataFrame:
     return exploded.where(F.col("pos").isNotNull())
 
 
-def _counts(terms: str, min_tf: float) -> Column:
-    """The (term, tf) pairs of a row; those of fewer than `min_tf` occurrences (a share of the row's terms, if below 1) go."""
-    pairs = counted(F.col(terms))
-    if min_tf == 1:
-        return pairs
-    least = F.lit(min_tf) if min_tf >= 1 else F.lit(min_tf) * F.size(terms)
-    return F.filter(pairs, lambda p: p["tf"] >= least)
-
-
-def term_counts(df: DataFrame, key: str, terms: str, min_tf: float = 1) -> DataFrame:
+def term_counts(df: DataFrame, key: str, terms: str, min_tf: float = 1, n: int = 1) -> DataFrame:
     """(key, term, tf) per input row; no shuffle. `min_tf` leaves out what is rare in its row: a count, or a share if below 1."""
-    return df.select(key, F.inline(_counts(terms, min_tf)))
+    return gram_counts(df, key, terms, n, min_tf)
 
 
-def term_stats(df: DataFrame, terms: str) -> DataFrame:
-    """(term, cf, df): occurrences and rows per term, in one partial aggregation."""
-    return (
-        df.select(F.inline(counted(F.col(terms))))
-        .groupBy("term")
-        .agg(F.sum("tf").alias("cf"), F.count(F.lit(1)).alias("df"))
-    )
+def term_stats(df: DataFrame, terms: str, n: int = 1) -> DataFrame:
+    """(term, cf, df): occurrences and rows per term, in one shuffle."""
+    return gram_stats(df, terms, n)
 
 
 def frequent(stats: DataFrame, min_df: float, rows: int | None = None) -> DataFrame:
@@ -62,13 +51,9 @@ def frequent(stats: DataFrame, min_df: float, rows: int | None = None) -> DataFr
     return stats.where(F.col("df") >= (min_df if min_df >= 1 else min_df * rows))
 
 
-def doc_freq(df: DataFrame, terms: str) -> DataFrame:
-    """(term, df) alone, without the per-row counts."""
-    return (
-        df.select(F.explode(F.array_distinct(terms)).alias("term"))
-        .groupBy("term")
-        .agg(F.count(F.lit(1)).alias("df"))
-    )
+def doc_freq(df: DataFrame, terms: str, n: int = 1) -> DataFrame:
+    """(term, df) alone."""
+    return gram_stats(df, terms, n).select("term", "df")
 
 
 def _leading(df: DataFrame, order: list[Column], size: int) -> DataFrame:
@@ -101,11 +86,14 @@ def vocabulary(stats: DataFrame, size: int = VOCABULARY_SIZE) -> DataFrame:
     own first `size` and writes them; on that table a histogram of counts finds
     the count at the edge, one of digest ranges finds where the tied terms are
     cut, and only what lies inside (at most `size` plus one digest range) is
-    ranked.
+    ranked. Terms that occur once, the most by far, are neither sorted nor
+    written if the others fill the vocabulary.
     """
     order = [F.desc("cf"), F.asc("digest"), F.asc("term")]
     digested = stats.withColumn("digest", F.md5("term"))
-    leaders = materialize(_leading(digested, order, size), "leaders")
+    leaders = materialize(_leading(digested.where("cf > 1"), order, size), "leaders")
+    if leaders.count() < size:
+        leaders = materialize(_leading(digested, order, size), "leaders")
 
     count = F.count(F.lit(1)).alias("n")
     edge = _edge(leaders.groupBy(F.col("cf").alias("bin")).agg(count), F.desc("bin"), size)
@@ -121,6 +109,13 @@ def vocabulary(stats: DataFrame, size: int = VOCABULARY_SIZE) -> DataFrame:
     return inside.withColumn("rank", rank).where(F.col("rank") < size).drop("digest")
 
 
+def with_doc_freq(counts: DataFrame) -> DataFrame:
+    """`counts` (one row per term of each row) and `df`, the number of rows that hold the term, from one dealing by term."""
+    # by a hash first: two texts are then hardly ever compared
+    dealt = counts.repartition("term").withColumn("_hash", F.xxhash64("term"))
+    return dealt.withColumn("df", F.count(F.lit(1)).over(Window.partitionBy("_hash", "term"))).drop("_hash")
+
+
 def idf(rows: Column, containing: Column) -> Column:
     return F.log((rows + 1.0) / (containing + 1.0))
 
@@ -134,6 +129,7 @@ def tfidf(
     min_df: float = 1,
     min_tf: float = 1,
     min_doc_freq: int = 0,
+    n: int = 1,
 ) -> DataFrame:
     """(key, term, tf, df, tfidf) with tfidf = tf * ln((rows + 1) / (df + 1)).
 
@@ -142,15 +138,23 @@ def tfidf(
     term counts are never shuffled. `min_df` leaves out terms of few rows,
     `min_tf` terms that are rare in their row (each a number, or a share if
     below 1), and terms of fewer than `min_doc_freq` rows weigh nothing.
+
+    Words are few and some very frequent: their rows are counted first, and the
+    counts joined to that by pieces. N-grams are many and mostly rare; the
+    counts are dealt by term once, and the rows of a term are counted where they
+    lie. A term has one count a row at most, so its share of all counts is no
+    more than that of one term of a row of average length.
     """
-    counts = term_counts(df, key, terms, min_tf)
+    counts = term_counts(df, key, terms, min_tf, n)
     total = df.count() if min_df < 1 else None
-    if vocabulary_size is None:
+    if vocabulary_size is None and n > 1 and min_tf == 1:
+        joined = frequent(with_doc_freq(counts), min_df, total)
+    elif vocabulary_size is None:
         # written once: the total, the heavy keys and the join all read it
-        facts = materialize(frequent(doc_freq(df, terms), min_df, total), "doc-freq")
+        facts = materialize(frequent(doc_freq(df, terms, n), min_df, total), "doc-freq")
         joined = salted_lookup(counts, facts, "term", "df", key)
     else:
-        stats = frequent(term_stats(df, terms), min_df, total)
+        stats = frequent(term_stats(df, terms, n), min_df, total)
         kept = materialize(vocabulary(stats, vocabulary_size), "vocabulary").select("term", "df")
         size = kept.agg(F.sum(F.octet_length("term"))).first()[0] or 0
         if size <= broadcast_bytes:

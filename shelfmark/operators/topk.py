@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from shelfmark.functions.text import counted
+from shelfmark.operators.grams import gram_parts
 from shelfmark.operators.skew import bounded_broadcast
 from shelfmark.operators.terms import VOCABULARY_SIZE, _edge
 from shelfmark.session import materialize
@@ -29,10 +29,10 @@ def name_of(term: Column) -> Column:
     return F.conv(F.substring(F.md5(term), 1, 16), 16, -10).cast("long").bitwiseXOR(F.lit(-_SIGN).cast("long"))
 
 
-def _named_counts(df: DataFrame, terms: str) -> DataFrame:
-    """(name, bound): occurrences of all terms of a name."""
-    rows = df.select(F.inline(counted(F.col(terms))))
-    return rows.select(name_of(F.col("term")).alias("name"), "tf").groupBy("name").agg(F.sum("tf").alias("bound"))
+def _named_counts(df: DataFrame, terms: str, n: int) -> DataFrame:
+    """(name, bound): occurrences of all terms of a name; dealt by name at once, since most occur once."""
+    rows = gram_parts(df, terms, n).select(name_of(F.col("term")).alias("name"), "cf")
+    return rows.repartition("name").groupBy("name").agg(F.sum("cf").alias("bound"))
 
 
 def _range(name: Column) -> Column:
@@ -59,22 +59,24 @@ def _edge_of_ranges(histogram: DataFrame, room: int) -> int:
     return _edge(histogram.where(F.shiftright("bin", 12) == part), F.asc("bin"), rest)[0]
 
 
-def _counted_terms(df: DataFrame, terms: str, names: DataFrame) -> DataFrame:
+def _counted_terms(df: DataFrame, terms: str, names: DataFrame, n: int) -> DataFrame:
     """(term, cf, df, name) of the terms whose name is among `names`."""
-    rows = df.select(F.inline(counted(F.col(terms)))).withColumn("name", name_of(F.col("term")))
+    rows = gram_parts(df, terms, n).withColumn("name", name_of(F.col("term")))
     chosen = rows.join(bounded_broadcast(names.select("name"), BROADCAST_NAMES), "name", "left_semi")
-    return chosen.groupBy("name", "term").agg(F.sum("tf").alias("cf"), F.count(F.lit(1)).alias("df"))
+    return chosen.groupBy("name", "term").agg(F.sum("cf").alias("cf"), F.sum("df").alias("df"))
 
 
-def top_terms(df: DataFrame, terms: str, size: int = VOCABULARY_SIZE) -> DataFrame:
+def top_terms(df: DataFrame, terms: str, size: int = VOCABULARY_SIZE, n: int = 1) -> DataFrame:
     """(term, cf, df, rank): the `size` terms of highest count, ties by MD5, then term; ranks from 0.
 
+    The terms are the windows of `n` neighbouring words of the column.
+
     Two passes over the texts in place of a shuffle of them. `df` is read twice,
     so give a table or a narrow plan over one.
     """
-    named = materialize(_named_counts(df, terms), "term-names")
+    named = materialize(_named_counts(df, terms, n), "term-names")
     names = materialize(_leading(named, size), "term-names")
-    found = materialize(_counted_terms(df, terms, names), "leaders")
+    found = materialize(_counted_terms(df, terms, names, n), "leaders")
     order = [F.desc("cf"), F.asc(F.md5("term")), F.asc("term")]
     rank = F.row_number().over(Window.orderBy(*order)) - 1
     ranked = found.withColumn("rank", rank).where(F.col("rank") < size)
@@ -83,6 +85,6 @@ def top_terms(df: DataFrame, terms: str, size: int = VOCABULARY_SIZE) -> DataFra
         last = ranked.orderBy(F.desc("rank")).first()
         reach = (F.col("bound") > last["cf"]) | ((F.col("bound") == last["cf"]) & (F.col("name") <= last["name"]))
         more = named.where(reach) if last["rank"] == size - 1 else named
-        found = materialize(_counted_terms(df, terms, more), "leaders")
+        found = materialize(_counted_terms(df, terms, more, n), "leaders")
         ranked = found.withColumn("rank", rank).where(F.col("rank") < size)
     return ranked.select("term", "cf", "df", "rank")
