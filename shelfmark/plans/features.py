@@ -22,7 +22,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfmark.functions.stop_words import ENGLISH
-from shelfmark.operators.terms import doc_freq, term_stats, vocabulary
+from shelfmark.operators.grams import gram_parts
+from shelfmark.operators.terms import term_stats, vocabulary
 from shelfmark.schema import FLAGS
 from shelfmark.session import materialize
 
@@ -87,6 +88,11 @@ def bucket_of(term: str, buckets: int) -> str:
     return f"CAST(conv(substring(md5({term}), 1, 8), 16, 10) AS BIGINT) % {buckets}"
 
 
+def bucket_of_digest(digest: str, buckets: int) -> str:
+    """SQL for the same bucket from the term's MD5 as 16 bytes."""
+    return f"CAST(conv(hex(substring({digest}, 1, 4)), 16, 10) AS BIGINT) % {buckets}"
+
+
 def bucket_terms(df: DataFrame, feature: TextFeature, buckets: int) -> DataFrame:
     """(bucket, term, df): which terms a bucket slot stands for; a table, since it grows with the texts."""
     stats = term_stats(PipelineModel(term_stages(feature)).transform(without_gaps(df)), feature.terms)
@@ -116,7 +122,9 @@ def _fit_buckets(df: DataFrame, feature: TextFeature, rows: int, buckets: int) -
     column = f"{feature.terms}_bucket"
     statement = f"transform({feature.terms}, t -> CAST({bucket_of('t', buckets)} AS STRING)) AS {column}"
     stages = [*term_stages(feature), SQLTransformer(statement=f"SELECT *, {statement} FROM __THIS__")]
-    found = doc_freq(PipelineModel(stages).transform(df), column).toPandas()
+    # a bounded number of buckets: each writing task adds its own up
+    parts = gram_parts(PipelineModel(stages).transform(df), column)
+    found = parts.groupBy("term").agg(F.sum("df").alias("df")).toPandas()
     names = df.sparkSession.range(buckets).select(F.col("id").cast("string").alias("entry"))
     counter = _counter(names, column, feature, buckets)
     return [*stages, counter, _scaler(counter, dict(zip(found["term"], found["df"])), rows, feature)]
