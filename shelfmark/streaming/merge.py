@@ -1,11 +1,13 @@
 """The newest row of every key, kept up to date while records stream in.
 
 The table is cut into hash buckets of the key. A micro-batch is reduced to its
-newest rows, merged with the buckets that it touches, and only those are
-written anew, into a folder of the batch. A manifest per batch says which folder
-holds the current version of each bucket; it is committed last and at once. So a
-replayed batch changes nothing, a batch that died half-way leaves the table as
-it was, and readers see whole states only.
+newest rows, and these are written into a folder of the batch, by bucket. Every
+`FAN_IN` parts of a bucket that stand for as many batches each are merged into
+one by the last of them, so a row is written anew as often as the logarithm of
+the number of batches, and readers merge a bounded number of parts. A manifest
+per batch says which folders hold each bucket; it is committed last and at once.
+So a replayed batch changes nothing, a batch that died half-way leaves the table
+as it was, and readers see whole states only.
 """
 
 from __future__ import annotations
@@ -19,6 +21,8 @@ from shelfmark.functions.codec import parse_lines
 from shelfmark.streaming.manifest import Manifests
 
 BUCKETS = 64
+#: Parts of a bucket, of equal weight, that become one.
+FAN_IN = 8
 _ORDER = ("_batch", "_deleted", "_text")
 
 
@@ -57,12 +61,17 @@ class MergedTable:
         )
         return keyed.select("row.*").unionByName(rows.where(F.col(self.key).isNull()))
 
-    def _read(self, spark: SparkSession, state: dict, buckets: set[int] | None = None) -> DataFrame | None:
-        """The current rows of some buckets, all by default, each from the folder of its version."""
-        wanted = {int(b): v for b, v in state["versions"].items() if buckets is None or int(b) in buckets}
-        if not wanted:
+    def _parts(self, state: dict, bucket: str) -> list[list[int]]:
+        """[batch, weight] of the folders that hold a bucket, the newest last; the weight is the batches it stands for."""
+        if bucket not in state["versions"]:
+            return []
+        return [*state.get("earlier", {}).get(bucket, []), [state["versions"][bucket], state.get("weights", {}).get(bucket, 1)]]
+
+    def _read(self, spark: SparkSession, state: dict, parts: dict[str, list[list[int]]]) -> DataFrame | None:
+        """The rows of some parts of buckets."""
+        paths = [f"{self.root}/data/batch={v}/_bucket={b}" for b in sorted(parts) for v, _ in parts[b]]
+        if not paths:
             return None
-        paths = [f"{self.root}/data/batch={v}/_bucket={b}" for b, v in sorted(wanted.items())]
         schema = T.StructType.fromJson(state["schema"])
         return spark.read.schema(schema).option("basePath", f"{self.root}/data").parquet(*paths).select(*schema.names)
 
@@ -80,17 +89,23 @@ class MergedTable:
         reduced = self._newest(stored).persist()
         try:
             touched = {r._bucket for r in reduced.select("_bucket").distinct().collect()}  # at most `buckets` numbers
-            before = self._read(rows.sparkSession, state, touched) if "schema" in state else None
+            held = {str(b): self._parts(state, str(b)) for b in touched}
+            joined = {b: _joined(parts) for b, parts in held.items()}
+            before = self._read(rows.sparkSession, state, {b: held[b][-k:] for b, (k, _) in joined.items() if k})
             merged = reduced if before is None else self._newest(before.unionByName(reduced))
             if touched:
-                # balanced by bytes: a large bucket is several tasks' work and several files
-                out = merged.hint("rebalance", "_bucket")
+                # a batch alone is not shuffled again, and has as many writers as buckets, since each makes a file
+                # per bucket; merged parts are balanced by bytes: a large bucket is several tasks' work and several files
+                out = merged.coalesce(self.buckets) if before is None else merged.hint("rebalance", "_bucket")
                 out.write.mode("overwrite").partitionBy("_bucket").parquet(f"{self.root}/data/batch={batch_id}")
         finally:
             reduced.unpersist()
-        versions = state["versions"] | {str(b): batch_id for b in touched}
-        schema = state.get("schema") or _nullable(stored.schema).jsonValue()
-        self.manifests.commit(batch_id, {"versions": versions, "buckets": self.buckets, "schema": schema})
+        self.manifests.commit(batch_id, {
+            "versions": state["versions"] | {b: batch_id for b in held},
+            "weights": state.get("weights", {}) | {b: weight for b, (_, weight) in joined.items()},
+            "earlier": state.get("earlier", {}) | {b: parts[: len(parts) - joined[b][0]] for b, parts in held.items()},
+            "buckets": self.buckets, "schema": state.get("schema") or _nullable(stored.schema).jsonValue(),
+        })
 
     def rows(self, batch_id: int | None = None) -> DataFrame | None:
         """The table after the last committed batch, or after `batch_id`; None before the first one."""
@@ -99,7 +114,13 @@ class MergedTable:
             state = latest[1] if latest else None
         else:
             state = self.manifests.get(batch_id)
-        found = self._read(self.spark, state) if state else None
+        parts = {b: self._parts(state, b) for b in state["versions"]} if state else {}
+        several = {b: found for b, found in parts.items() if len(found) > 1}
+        single = self._read(self.spark, state, {b: found for b, found in parts.items() if b not in several})
+        merged = self._read(self.spark, state, several)
+        found = single
+        if merged is not None:
+            found = self._newest(merged) if single is None else single.unionByName(self._newest(merged))
         if found is None:
             return None
         kept = found.where("NOT _deleted").drop("_batch", "_deleted", "_text", "_bucket")
@@ -108,7 +129,8 @@ class MergedTable:
     def vacuum(self, keep: int = 2) -> list[int]:
         """Remove the folders that none of the newest `keep` states uses; gives the batches removed."""
         numbers = self.manifests.numbers()
-        held = {v for n in numbers[-keep:] for v in self.manifests.get(n)["versions"].values()}
+        states = [self.manifests.get(n) for n in numbers[-keep:]]
+        held = {v for state in states for b in state["versions"] for v, _ in self._parts(state, b)}
         found = [int(n.split("=")[1]) for n in self.manifests.store.names("data") if n.startswith("batch=")]
         unused = [b for b in found if b not in held and numbers and b <= numbers[-1]]
         for batch in unused:
@@ -116,6 +138,14 @@ class MergedTable:
         return unused
 
 
+def _joined(parts: list[list[int]]) -> tuple[int, int]:
+    """How many of the last parts a new one is merged with, and the weight of what comes out."""
+    taken, weight, others = 0, 1, FAN_IN - 1
+    while len(parts) - taken >= others and all(w == weight for _, w in parts[len(parts) - taken - others : len(parts) - taken]):
+        taken, weight = taken + others, weight * FAN_IN
+    return taken, weight
+
+
 def _nullable(schema: T.StructType) -> T.StructType:
     """The schema as files give it back: everything may be NULL, nothing carries metadata."""
     return T.StructType([T.StructField(f.name, f.dataType) for f in schema.fields])

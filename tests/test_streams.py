@@ -151,3 +151,27 @@ def test_records_are_read_from_both_ends(spark):
     assert [good[0][name] for name in FLAGS] == [True, False, None, None, True, False, True, False, True, False]
     binary = df.select(F.col("value").cast("binary").alias("value"))
     assert parse_lines_repaired(binary).count() == len(good)
+
+
+def test_a_batch_writes_its_own_rows_and_parts_are_merged_by_weight(spark, tmp_path, monkeypatch):
+    """Rows written grow with the logarithm of the batches, not with their number; every state reads right."""
+    monkeypatch.setattr("shelfmark.streaming.merge.FAN_IN", 2)
+    table = MergedTable(spark, str(tmp_path), newest=("seconds",), deleted="gone", buckets=1)
+    schema = "id int, name string, seconds int, gone boolean"
+    truth, states = {}, []
+    for batch in range(8):
+        rows = [(i, f"{batch}", batch if i else -batch, i == batch) for i in range(batch, batch + 3)] + [(0, "late", -batch, False)]
+        table.merge(spark.createDataFrame(rows, schema), batch)
+        for i, name, at, gone in rows:
+            if i not in truth or (at, batch, gone) >= truth[i][1]:
+                truth[i] = ((i, name), (at, batch, gone))
+        states.append(sorted(row for row, (_, _, gone) in truth.values() if not gone))
+        assert [r[0] for r in listed(table.rows())] == [r[0] for r in states[-1]]
+    state = table.manifests.latest()[1]
+    assert table._parts(state, "0") == [[7, 8]]
+    sizes = [spark.read.parquet(str(tmp_path / f"data/batch={b}")).count() for b in range(8)]
+    assert sizes[2] <= 4 and sizes[4] <= 4 and sizes[6] <= 4  # their own rows alone
+    assert len(table._parts(table.manifests.get(6), "0")) == 3
+    for batch, wanted in enumerate(states):
+        assert [r[0] for r in listed(table.rows(batch))] == [r[0] for r in wanted]
+    assert sorted(table.vacuum(keep=1)) == list(range(7)) and [r[0] for r in listed(table.rows())] == [r[0] for r in states[-1]]
