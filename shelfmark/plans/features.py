@@ -95,7 +95,7 @@ def bucket_of_digest(digest: str, buckets: int) -> str:
 
 def bucket_terms(df: DataFrame, feature: TextFeature, buckets: int) -> DataFrame:
     """(bucket, term, df): which terms a bucket slot stands for; a table, since it grows with the texts."""
-    stats = term_stats(PipelineModel(term_stages(feature)).transform(without_gaps(df)), feature.terms)
+    stats = term_stats(PipelineModel(term_stages(feature)[:2]).transform(without_gaps(df)), feature.kept, feature.n)
     return stats.select(F.expr(bucket_of("term", buckets)).alias("bucket"), "term", "df")
 
 
@@ -133,7 +133,7 @@ def _fit_buckets(df: DataFrame, feature: TextFeature, rows: int, buckets: int) -
 def _fit_top(df: DataFrame, feature: TextFeature, rows: int, size: int) -> list[Transformer]:
     """TF-IDF over the `size` most frequent terms, which alone reach the driver."""
     stages = term_stages(feature)
-    stats = term_stats(PipelineModel(stages).transform(df), feature.terms)
+    stats = term_stats(PipelineModel(stages[:2]).transform(df), feature.kept, feature.n)
     kept = materialize(vocabulary(stats, size), "vocabulary").select(F.col("term").alias("entry"), "df")
     containing = dict(kept.toPandas().itertuples(index=False, name=None))
     if not containing:
