@@ -3,9 +3,12 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 from dataclasses import dataclass
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.ml import PipelineModel, Transformer
 from pyspark.ml.feature import (
     CountVectorizer,
@@ -17,12 +20,12 @@ from pyspark.ml.feature import (
     Tokenizer,
     VectorAssembler,
 )
-from pyspark.ml.linalg import Vectors
+from pyspark.ml.linalg import Vectors, VectorUDT
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from shelfmark.functions.stop_words import ENGLISH
-from shelfmark.operators.grams import gram_parts
 from shelfmark.operators.terms import term_stats, vocabulary
 from shelfmark.schema import FLAGS
 from shelfmark.session import materialize
@@ -117,17 +120,92 @@ def _scaler(counter: CountVectorizerModel, containing: dict, rows: int, feature:
     )
 
 
-def _fit_buckets(df: DataFrame, feature: TextFeature, rows: int, buckets: int) -> list[Transformer]:
-    """TF-IDF over buckets of terms: no term is left out, and the driver holds `buckets` numbers."""
-    column = f"{feature.terms}_bucket"
+class Features(PipelineModel):
+    """The fitted stages, and the rows they were learned from: these carry their counts and need not be counted again."""
+
+    def __init__(self, stages: list[Transformer], learned: DataFrame | None = None, counted: DataFrame | None = None):
+        super().__init__(stages)
+        self.learned, self.counted = learned, counted
+
+    def knows(self, df: DataFrame) -> bool:
+        """Whether `df` is the frame it was learned from, under the same names, and its rows with their counts were kept."""
+        return self.counted is not None and df.schema == self.learned.schema and df.sameSemantics(self.learned)
+
+
+def _bucket_column(feature: TextFeature) -> str:
+    return f"{feature.terms}_bucket"
+
+
+def _bucket_stages(df: DataFrame, feature: TextFeature, buckets: int) -> list[Transformer]:
+    """Column to buckets of terms, and those to their counts."""
+    column = _bucket_column(feature)
     statement = f"transform({feature.terms}, t -> CAST({bucket_of('t', buckets)} AS STRING)) AS {column}"
-    stages = [*term_stages(feature), SQLTransformer(statement=f"SELECT *, {statement} FROM __THIS__")]
-    # a bounded number of buckets: each writing task adds its own up
-    parts = gram_parts(PipelineModel(stages).transform(df), column)
-    found = parts.groupBy("term").agg(F.sum("df").alias("df")).toPandas()
     names = df.sparkSession.range(buckets).select(F.col("id").cast("string").alias("entry"))
     counter = _counter(names, column, feature, buckets)
-    return [*stages, counter, _scaler(counter, dict(zip(found["term"], found["df"])), rows, feature)]
+    return [*term_stages(feature), SQLTransformer(statement=f"SELECT *, {statement} FROM __THIS__"), counter]
+
+
+#: A vector as it is stored, in Arrow: neither lists nor their entries are missing where they are read.
+_INDICES = pa.list_(pa.field("element", pa.int32(), nullable=False))
+_VALUES = pa.list_(pa.field("element", pa.float64(), nullable=False))
+_STORED = [
+    pa.field("type", pa.int8(), nullable=False), pa.field("size", pa.int32()), pa.field("indices", _INDICES), pa.field("values", _VALUES),
+]
+
+
+def _count_vectors(starts: pa.Array, slot_of: np.ndarray) -> pa.StructArray:
+    """How often each slot occurs in a row, from the first four bytes of the MD5 of its terms, one after the other."""
+    rows, size = len(starts), len(slot_of)
+    starts = starts.cast(pa.large_binary())
+    _, offsets, data = starts.buffers()
+    bounds = np.frombuffer(offsets, np.int64)[starts.offset : starts.offset + rows + 1]
+    raw = np.frombuffer(data, np.uint8)[bounds[0] : bounds[-1]] if data is not None else np.zeros(0, np.uint8)
+    slots = slot_of[raw.view(">u4") % size]
+    keys, counts = np.unique(np.repeat(np.arange(rows) * size, np.diff(bounds) // 4) + slots, return_counts=True)
+    ends = pa.array(np.searchsorted(keys, np.arange(rows + 1) * size).astype(np.int32))
+    lists = [
+        pa.ListArray.from_arrays(ends, pa.array((keys % size).astype(np.int32)), type=_INDICES),
+        pa.ListArray.from_arrays(ends, pa.array(counts.astype(np.float64)), type=_VALUES),
+    ]
+    sparse, width = pa.array(np.zeros(rows, np.int8)), pa.array(np.full(rows, size, np.int32))
+    return pa.StructArray.from_arrays([sparse, width, *lists], fields=_STORED)
+
+
+def _counted_rows(df: DataFrame, features: dict[TextFeature, list[Transformer]]) -> DataFrame:
+    """The rows without their texts, and the counts of both as the stages give them: written once, with one pass over the texts."""
+    made = PipelineModel([stage for stages in features.values() for stage in stages[:-2]]).transform(with_description_length(df))
+    kept = [name for name in ("id", "eclassnumber", "description_length", *FLAGS) if name in made.columns]
+    starts = "unhex(array_join(transform({}, t -> substring(md5(t), 1, 8)), ''))"
+    hashed = made.select(*kept, *[F.expr(starts.format(feature.terms)).alias(feature.counts) for feature in features])
+    orders = [np.argsort(np.array(stages[-1].vocabulary, int)) for stages in features.values()]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            vectors = [_count_vectors(batch.column(len(kept) + i), order) for i, order in enumerate(orders)]
+            yield pa.RecordBatch.from_arrays([*batch.columns[: len(kept)], *vectors], names=batch.schema.names)
+
+    vectors = [T.StructField(feature.counts, VectorUDT()) for feature in features]
+    schema = T.StructType([*hashed.select(*kept).schema.fields, *vectors])
+    return materialize(hashed.mapInArrow(run, schema), "counted")
+
+
+def _containing(counted: DataFrame, counter: CountVectorizerModel) -> dict[str, int]:
+    """The number of rows that hold each entry of the counter."""
+    slots = counted.select(F.explode(F.unwrap_udt(counter.getOutputCol()).getField("indices")).alias("slot"))
+    found = slots.groupBy("slot").agg(F.count(F.lit(1)).alias("df")).toPandas()
+    vocabulary = counter.vocabulary
+    return {vocabulary[slot]: n for slot, n in zip(found["slot"], found["df"])}
+
+
+def _fit_buckets(df: DataFrame, whole: DataFrame, sizes: dict[str, int]) -> tuple[list[Transformer], DataFrame]:
+    """TF-IDF over buckets of terms, and the rows with their counts: no term is left out, and the driver holds as many numbers as there are buckets."""
+    features = {feature: _bucket_stages(df, feature, sizes[feature.column]) for feature in (DESCRIPTION, CATEGORY)}
+    counted = _counted_rows(whole, features)
+    rows = counted.count()
+    stages: list[Transformer] = []
+    for feature, own in features.items():
+        stages += [*own, _scaler(own[-1], _containing(counted, own[-1]), rows, feature)]
+    return stages, counted
 
 
 def _fit_top(df: DataFrame, feature: TextFeature, rows: int, size: int) -> list[Transformer]:
@@ -155,25 +233,30 @@ def fit_features(
     own instead, and the others none.
     """
     whole = without_gaps(df)
-    rows = whole.count()
-    stages: list[Transformer] = []
-    for feature in (DESCRIPTION, CATEGORY):
-        if vocabulary_size is None:
-            stages += _fit_buckets(whole, feature, rows, (BUCKETS | (buckets or {}))[feature.column])
-        else:
-            stages += _fit_top(whole, feature, rows, vocabulary_size)
     inputs = [name for name in ASSEMBLED if not (drop_id and name == "id")]
-    return PipelineModel([*stages, VectorAssembler(inputCols=inputs, outputCol="features")])
+    assembler = VectorAssembler(inputCols=inputs, outputCol="features")
+    if vocabulary_size is None:
+        stages, counted = _fit_buckets(df, whole, BUCKETS | (buckets or {}))
+        return Features([*stages, assembler], df, counted)
+    rows = whole.count()
+    stages = [stage for feature in (DESCRIPTION, CATEGORY) for stage in _fit_top(whole, feature, rows, vocabulary_size)]
+    return Features([*stages, assembler])
 
 
 def feature_vectors(df: DataFrame, model: PipelineModel) -> DataFrame:
     """(id, eclassnumber, features); the intermediate columns are pruned away.
 
+    The frame that the model was learned from is not counted again: its counts
+    are read back, weighted and assembled by the same stages.
+
     The assembler describes every slot in the column's metadata, which would
     travel with each task of every later job; it is dropped here.
     """
-    prepared = with_description_length(without_gaps(df))
     bare = F.col("features").alias("features", metadata={})
+    if isinstance(model, Features) and model.knows(df):
+        weighting = [stage for stage in model.stages if isinstance(stage, (ElementwiseProduct, VectorAssembler))]
+        return PipelineModel(weighting).transform(model.counted).select("id", "eclassnumber", bare)
+    prepared = with_description_length(without_gaps(df))
     return model.transform(prepared).select("id", "eclassnumber", bare)
 
 

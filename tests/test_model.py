@@ -60,6 +60,36 @@ def test_buckets_leave_no_term_out(spark, whole):
     assert listed.count() == listed.select("term").distinct().count()
 
 
+def odd_rows(spark):
+    """Copies, gaps, short and long texts, blanks and words of other scripts."""
+    texts = [None, "", " ", "a b c d e", "A  b\tc d e f", "the " * 9, "é Ü ß İ x y z é Ü ß", "x y z " * 700, "x y z " * 700]
+    rows = [(i % 7, t, c, *[None if i % 3 else True] * 10, None if i % 5 == 0 else i)
+            for i, (t, c) in enumerate((t, c) for t in texts for c in (None, "", "de the src", "B b"))]
+    return spark.createDataFrame(rows, CATALOGUE).repartition(3)
+
+
+def test_rows_are_counted_once_and_as_the_stages_count_them(spark):
+    df = odd_rows(spark)
+    model = features.fit_features(df, buckets={"description": 300, "category": 7})
+    kept, again = (features.feature_vectors(df, m) for m in (model, PipelineModel(model.stages)))
+    assert sorted(kept.collect(), key=repr) == sorted(again.collect(), key=repr) and kept.count() == df.count()
+    assert kept.inputFiles() and all("/counted-" in path for path in kept.inputFiles())
+    for feature in (features.DESCRIPTION, features.CATEGORY):
+        rows = PipelineModel(model.stages).transform(features.with_description_length(features.without_gaps(df)))
+        stock = IDF(inputCol=feature.counts, outputCol="w").fit(rows)
+        scaler = next(s for s in model.stages if s.hasParam("scalingVec") and s.getOutputCol() == feature.weights)
+        assert scaler.getScalingVec().toArray() == pytest.approx(stock.idf.toArray(), abs=1e-12)
+
+
+def test_other_rows_are_counted_by_the_stages(spark):
+    df = odd_rows(spark)
+    model = features.fit_features(df, buckets={"description": 300, "category": 7})
+    swapped = df.select("id", F.col("category").alias("description"), F.col("description").alias("category"), *df.columns[3:])
+    for other in (df.where("id > 3"), swapped, df.withColumn("description", F.upper("description"))):
+        found, wanted = (features.feature_vectors(other, m) for m in (model, PipelineModel(model.stages)))
+        assert sorted(found.collect(), key=repr) == sorted(wanted.collect(), key=repr)
+
+
 def test_rows_without_id_or_label_come_back(spark, whole):
     odd = whole.limit(2).withColumn("id", F.lit(None).cast("int")).unionAll(
         whole.limit(1).withColumn("eclassnumber", F.lit(None).cast("int"))
