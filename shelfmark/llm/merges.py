@@ -208,7 +208,7 @@ class WordCodec:
         self.tokens = {i: t for t, i in (spec["model"]["vocab"] | self.special).items()}
         self.letters = byte_letters()
         self._special = regex.compile("(" + "|".join(map(regex.escape, self.special)) + ")")
-        self._chunks = Memory(memory)
+        self._chunks = self._words = Memory(memory)  # one memory for both
         self._path, self._library = path, None
         self._bytes = {letter: byte for byte, letter in enumerate(self.letters)}
         self._shown = dict(enumerate(self.letters))

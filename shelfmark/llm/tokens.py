@@ -18,7 +18,7 @@ _powers: dict[int, np.ndarray] = {}
 
 def _table(base: int) -> np.ndarray:
     """Powers 0 to `BLOCK` - 1 of an odd number, modulo 2^64."""
-    if base not in _powers:
+    if len(_powers.get(base, ())) != BLOCK:
         factors = np.full(BLOCK, base, np.uint64)
         factors[0] = 1
         _powers[base] = np.cumprod(factors, dtype=np.uint64)
