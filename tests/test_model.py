@@ -1,7 +1,7 @@
 import pytest
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.evaluation import RegressionEvaluator
-from pyspark.ml.feature import IDF, CountVectorizer
+from pyspark.ml.feature import IDF, CountVectorizer, CountVectorizerModel
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import functions as F
 
@@ -90,6 +90,21 @@ def test_other_rows_are_counted_by_the_stages(spark):
         assert sorted(found.collect(), key=repr) == sorted(wanted.collect(), key=repr)
 
 
+@pytest.mark.parametrize("drop_id", [False, True])
+def test_the_table_of_the_fits_is_made_from_the_counts(spark, monkeypatch, drop_id):
+    """What `linreg_fit`, `cv_metrics` and the whole flow learn from: the texts are not gone through a second time."""
+    df = odd_rows(spark)
+    model = features.fit_features(df, drop_id=drop_id, buckets={"description": 300, "category": 7})
+    wanted = split.with_split(features.feature_vectors(df, PipelineModel(model.stages)))
+
+    def counting(*_):
+        raise AssertionError("counted again")
+
+    monkeypatch.setattr(CountVectorizerModel, "_transform", counting)
+    found = flow.feature_table(df, model).select(*wanted.columns)
+    assert sorted(found.collect(), key=repr) == sorted(wanted.collect(), key=repr)
+
+
 def test_rows_without_id_or_label_come_back(spark, whole):
     odd = whole.limit(2).withColumn("id", F.lit(None).cast("int")).unionAll(
         whole.limit(1).withColumn("eclassnumber", F.lit(None).cast("int"))
