@@ -8,9 +8,8 @@ a task holds one shard at a time; a longer document is a shard of its own.
 from __future__ import annotations
 
 import os
-import re
-import struct
 import zlib
+from array import array
 
 import numpy as np
 import pyarrow as pa
@@ -21,7 +20,7 @@ from pyspark.sql import functions as F
 
 from shelfmark.llm.batches import pieces
 from shelfmark.llm.merges import byte_letters
-from shelfmark.llm.tokens import Words, byte_view, classes
+from shelfmark.llm.tokens import BLOCK, Words, byte_view
 from shelfmark.llm.wavelet import Shard, WaveletMatrix
 from shelfmark.session import materialize, scratch_path
 
@@ -29,27 +28,153 @@ END_ID = 1
 SHARD_TOKENS = 2_000_000
 #: Text that is encoded at once: the more, the fewer chunks are looked up again.
 PIECE_BYTES = 1 << 20
-#: Chunks whose ids a Python worker remembers, twice: the latest and those before.
+#: Runs whose ids a Python worker remembers, twice: the latest and those before; and the most bytes and ids of them all.
 REMEMBERED = 500_000
-#: Chunks with more ids or bytes are not remembered, so the memory is bounded in bytes.
+REMEMBERED_TEXT = 1 << 23
+REMEMBERED_SUM = 1 << 22
+#: Runs with more ids or bytes are not remembered.
 REMEMBERED_IDS = 64
 REMEMBERED_BYTES = 256
-#: All but ASCII white space.
-CHUNKS = classes(chunks="".join(chr(b) for b in range(256) if chr(b) not in " \t\n\x0b\x0c\r"))
-#: Letters that the vocabulary's normaliser at most lower-cases, and marks that are a word of their own after them.
-_PLAIN = re.compile("([a-zß-öø-ÿ]+)([.,;:!?*#%&$]*)")
 _FOLD = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 _encoders: dict[str, LibraryEncoder] = {}
 
 
-class LibraryEncoder:
-    """The tokenizers library behind a memory of chunks between ASCII white space.
+def _classes() -> np.ndarray:
+    """0 white space in ASCII; 1 the bytes of a-z, ß-ö and ø-ÿ, which the normaliser leaves alone; 2 marks; 3 all else."""
+    table = np.full(256, 3, np.uint8)
+    table[list(b" \t\n\x0b\x0c\r")] = 0
+    table[ord("a") : ord("z") + 1] = 1
+    table[[0xC3, *range(0x9F, 0xB7), *range(0xB8, 0xC0)]] = 1  # under any other first byte they stand beside a 3
+    table[list(b".,;:!?*#%&$")] = 2
+    return table
+
+
+_CLASSES = _classes()
+
+
+def _kinds(data: bytes, bounds: np.ndarray) -> np.ndarray:
+    """The class of each byte; what lies between white space is all 3 if any of its bytes is."""
+    kinds = _CLASSES[np.frombuffer(data, np.uint8)]
+    blanks, starts, ends = np.flatnonzero(kinds == 0), [], []
+    for block in range(0, len(kinds), BLOCK):
+        odd = np.flatnonzero(kinds[block : block + BLOCK] == 3) + block
+        after, doc = np.searchsorted(blanks, odd), np.searchsorted(bounds, odd, side="right")
+        begin = np.maximum(np.concatenate([[0], blanks + 1])[after], bounds[doc - 1])
+        begin, first = np.unique(begin, return_index=True)
+        starts.append(begin)
+        ends.append(np.minimum(np.append(blanks, len(data))[after[first]], bounds[doc[first]]))
+    if starts and sum(map(len, starts)):
+        step = np.zeros(len(kinds) + 1, np.int8)
+        step[np.unique(np.concatenate(starts))] += 1
+        step[np.unique(np.concatenate(ends))] -= 1
+        kinds[np.cumsum(step[:-1], dtype=np.int8).view(bool)] = 3
+    return kinds
+
+
+def _eights(data: bytes) -> np.ndarray:
+    """The eight bytes from each place on, as a number; eight zeros follow the last."""
+    return np.ndarray((len(data) + 1,), "<u8", data + bytes(8), strides=(1,))
+
+
+def _differ(one: np.ndarray, at: np.ndarray, other: np.ndarray, to: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """Whether the `size` bytes at places `at` of one and `to` of the other text differ."""
+    mask = ~np.uint64(0) >> (64 - 8 * np.clip(size, 1, 8)).astype(np.uint64)
+    differs = ((one[at] ^ other[to]) & mask) != 0
+    # then from eight to eight, the last ones overlapping
+    rest, step = np.flatnonzero(~differs & (size > 8)), 8
+    while len(rest):
+        shift = np.minimum(step, size[rest] - 8)
+        unequal = one[at[rest] + shift] != other[to[rest] + shift]
+        differs[rest[unequal]] = True
+        rest, step = rest[~unequal & (step + 8 < size[rest])], step + 8
+    return differs
+
+
+def _ranges(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The places of all ranges, one after the other."""
+    return np.arange(int(sizes.sum())) + np.repeat(starts - (np.cumsum(sizes) - sizes), sizes)
+
+
+class Memory:
+    """Ids of runs in a table by hash, in arrays of bounded size; of runs with equal hashes one is kept."""
+
+    def __init__(self, size: int):
+        width = 1 << max(4, (2 * size - 1).bit_length())
+        self.size, self.mask, self.count = size, np.uint64(width - 1), 0
+        self.slots = np.zeros(width, np.int32)  # a run's number and 1; 0 is empty
+        self.hash = np.empty(size, np.uint64)
+        self.most_text, self.most_ids = min(REMEMBERED_TEXT, size * REMEMBERED_BYTES), min(REMEMBERED_SUM, size * REMEMBERED_IDS)
+        self.text = np.zeros(self.most_text + 8, np.uint8)
+        self.eights = np.ndarray((self.most_text + 1,), "<u8", self.text, strides=(1,))
+        self.ids = np.empty(self.most_ids, "<u4")
+        # where the text and the ids of each run begin, and of the next one
+        self.text_at, self.ids_at = np.zeros(size + 1, np.int32), np.zeros(size + 1, np.int32)
+
+    def __len__(self) -> int:
+        return self.count
+
+    def find(self, eights: np.ndarray, starts: np.ndarray, ends: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+        """Number of each run, compared byte by byte, or -1."""
+        found = np.full(len(hashes), -1, np.int64)
+        if not self.count:
+            return found
+        at, open_ = (hashes & self.mask).astype(np.int64), np.arange(len(hashes))
+        while len(open_):
+            held = self.slots[at] - 1
+            same = (held >= 0) & (self.hash[held] == hashes[open_])
+            found[open_[same]] = held[same]
+            further = (held >= 0) & ~same
+            open_, at = open_[further], (at[further] + 1) & int(self.mask)
+        here = np.flatnonzero(found >= 0)
+        own, start = found[here], starts[here]
+        size, text_at = ends[here] - start, self.text_at[own]
+        unequal = (size != self.text_at[own + 1] - text_at) | _differ(eights, start, self.eights, text_at, size)
+        found[here[unequal]] = -1
+        return found
+
+    def fits(self, runs: int, text: int, ids: int) -> bool:
+        n = self.count
+        return n + runs <= self.size and self.text_at[n] + text <= self.most_text and self.ids_at[n] + ids <= self.most_ids
+
+    def add(
+        self, raw: np.ndarray, starts: np.ndarray, sizes: np.ndarray, hashes: np.ndarray, ids: np.ndarray, ids_at: np.ndarray, n_ids: np.ndarray
+    ) -> None:
+        """Take in runs that it does not hold, as far as there is room; of runs with equal hashes the first."""
+        places, n = np.full(len(hashes), -1, np.int64), self.count
+        held_text, held_ids = int(self.text_at[n]), int(self.ids_at[n])
+        most = np.searchsorted(held_text + np.cumsum(sizes), self.most_text, side="right")
+        most = min(self.size - n, most, np.searchsorted(held_ids + np.cumsum(n_ids), self.most_ids, side="right"))
+        open_ = np.sort(np.unique(hashes[:most], return_index=True)[1])
+        at = (hashes[open_] & self.mask).astype(np.int64)
+        while len(open_):
+            held = self.slots[at]
+            old = (held > 0) & (held <= n)
+            same = old & (self.hash[held - 1] == hashes[open_])
+            empty = np.flatnonzero(held == 0)
+            self.slots[at[empty]] = n + 1 + open_[empty]  # of several the last; a number for now
+            won = self.slots[at] == n + 1 + open_
+            places[open_[won]] = at[won]
+            further = ~won & ~same
+            open_, at = open_[further], (at[further] + 1) & int(self.mask)
+        new = np.flatnonzero(places >= 0)
+        self.slots[places[new]] = n + 1 + np.arange(len(new))
+        self.count = n + len(new)
+        self.hash[n : self.count] = hashes[new]
+        self.text_at[n + 1 : self.count + 1] = held_text + np.cumsum(sizes[new])
+        self.ids_at[n + 1 : self.count + 1] = held_ids + np.cumsum(n_ids[new])
+        self.text[held_text : self.text_at[self.count]] = raw[_ranges(starts[new], sizes[new])]
+        self.ids[held_ids : self.ids_at[self.count]] = ids[_ranges(ids_at[new], n_ids[new])]
+
 
-    Neither words nor special tokens of the vocabulary cross white space, so
-    equal chunks have equal ids and each goes to the library once while it is
-    remembered. Hashes gather what may be equal; every chunk is then compared
-    byte by byte with the one that stands for its hash. A-Z count as a-z, as
-    the vocabulary has it, unless a special token might stand in the texts.
+class LibraryEncoder:
+    """The tokenizers library behind a memory of runs: letters, marks, and what lies between ASCII white space if it has anything else.
+
+    Neither words nor special tokens of the vocabulary cross white space, and
+    plain letters and marks are words of their own, so equal runs have equal ids
+    and each goes to the library once while it is remembered. Hashes gather what
+    may be equal; every run is then compared byte by byte with the one that
+    stands for its hash. A-Z count as a-z, as the vocabulary has it, unless a
+    special token might stand in the texts.
     """
 
     def __init__(self, vocabulary: str):
@@ -60,98 +185,71 @@ class LibraryEncoder:
         self.library.no_truncation()
         self.library.no_padding()
         self.bits = max(1, int(self.library.get_vocab_size(with_added_tokens=True) - 1).bit_length())
-        self.known: dict[bytes, bytes] = {}
-        self.older: dict[bytes, bytes] = {}
-        self.words: dict[str, bytes] = {}
-        letters = byte_letters()
-        self.spelled = {c: "".join(letters[b] for b in chr(c).encode()) for c in range(0x80, 0x100)}
-
-    def _library(self, texts: list[str]) -> list[bytes]:
-        found = self.library.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(e.ids, "<u4").tobytes() for e in found]
-
-    def _word(self, word: str) -> bytes:
-        """Ids of a word of plain letters, which needs nothing but the library's merges."""
-        spelled = word if word.isascii() else word.translate(self.spelled)
-        found = [t.id for t in self.library.model.tokenize(spelled)]
-        ids = struct.pack(f"<{len(found)}I", *found)
-        if len(found) <= REMEMBERED_IDS:
-            self.words[word] = ids
-        return ids
-
-    def _new(self, chunks: list[str]) -> list[bytes]:
-        """Ids of chunks not met of late: plain letters and the marks after them apart, all else as it is."""
-        if len(self.words) > REMEMBERED:
-            self.words = {}
-        known, odd, out = self.words, [], []
-        for i, chunk in enumerate(chunks):
-            plain = _PLAIN.fullmatch(chunk)
-            if plain is None:
-                odd.append(i)
-                out.append(b"")
-                continue
-            word, marks = plain.groups()
-            ids = known.get(word) or self._word(word)
-            out.append(ids + (known.get(marks) or self._word(marks)) if marks else ids)
-        for i, ids in zip(odd, self._library([chunks[i] for i in odd])):
-            out[i] = ids
-        return out
+        self.known, self.older = Memory(REMEMBERED), Memory(1)
+        self.spelled = dict(enumerate(byte_letters()))
+
+    def _new(self, runs: list[bytes], plain: list[bool]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all runs, ids per run); a plain run needs nothing but the library's merges."""
+        odd = iter(self.library.encode_batch_fast([run.decode() for run, own in zip(runs, plain) if not own], add_special_tokens=False))
+        tokenize, spelled, flat, sizes = self.library.model.tokenize, self.spelled, array("I"), []
+        for run, own in zip(runs, plain):
+            if own:
+                found = [t.id for t in tokenize(run.decode() if run.isascii() else run.decode("latin-1").translate(spelled))]
+            else:
+                found = next(odd).ids
+            flat.extend(found)
+            sizes.append(len(found))
+        return np.frombuffer(flat, np.uintc) if flat else np.zeros(0, np.uintc), np.array(sizes, np.int64)
 
     def encode(self, texts: pa.Array, end: int) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts in order, each with `end` after it; ids per text)."""
-        raw, _ = byte_view(texts)
+        raw, bounds = byte_view(texts)
         data = raw.tobytes()
         special = b"<|" in data
         data = data if special else data.translate(_FOLD)
-        words = Words(texts, CHUNKS, fold=not special)
-        first, place = _named(data, words)
-        keys = [data[a:b] for a, b in zip(words.starts[first].tolist(), words.ends[first].tolist())]
-        ids = list(map(self.known.get, keys))
-        new = [i for i, found in enumerate(ids) if found is None]
-        if new:
-            if len(self.known) > REMEMBERED:
-                self.known, self.older = {}, self.known
-            unseen = []
-            for i in new:
-                ids[i] = self.older.get(keys[i])
-                if ids[i] is None:
-                    unseen.append(i)
-            for i, found in zip(unseen, self._new([keys[i].decode() for i in unseen])):
-                ids[i] = found
-            self.known.update((keys[i], ids[i]) for i in new if len(ids[i]) <= 4 * REMEMBERED_IDS and len(keys[i]) <= REMEMBERED_BYTES)
-        sizes = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
-        offsets = np.cumsum(sizes) - sizes
-        flat = np.frombuffer(b"".join(ids), "<u4")
-        n = sizes[place]
+        kinds = _kinds(data, bounds)
+        words = Words(texts, fold=not special, kinds=kinds)
+        eights, starts, ends, hashes = _eights(data), words.starts, words.ends, words.hash
+        known = self.known
+        entry = known.find(eights, starts, ends, hashes)
+        unknown = np.flatnonzero(entry < 0)
+        first, place = _named(eights, starts[unknown], ends[unknown], hashes[unknown])
+        # a run for each name: its ids are those of the older memory, or new
+        begin, until, hashed = (x[unknown[first]] for x in (starts, ends, hashes))
+        old = self.older.find(eights, begin, until, hashed)
+        again, unseen = np.flatnonzero(old >= 0), np.flatnonzero(old < 0)
+        keys = [data[a:b] for a, b in zip(begin[unseen].tolist(), until[unseen].tolist())]
+        made, made_sizes = self._new(keys, (kinds[begin[unseen]] < 3).tolist())
+        sizes, offsets = np.empty(len(first), np.int64), np.empty(len(first), np.int64)
+        sizes[again], sizes[unseen] = self.older.ids_at[old[again] + 1] - self.older.ids_at[old[again]], made_sizes
+        found = np.concatenate([self.older.ids[_ranges(self.older.ids_at[old[again]], sizes[again])], made])
+        order = np.concatenate([again, unseen])
+        offsets[order] = np.cumsum(sizes[order]) - sizes[order]
+
+        held = int(known.ids_at[known.count])
+        flat = np.concatenate([known.ids[:held], found])
+        at = known.ids_at[entry].astype(np.int64)
+        n = known.ids_at[entry + 1] - at
+        at[unknown], n[unknown] = held + offsets[place], sizes[place]
         counts = np.bincount(words.doc, weights=n, minlength=words.docs).astype(np.int64) + 1
-        before = np.cumsum(n) - n
         steps = np.arange(int(n.sum()))
         out = np.full(len(steps) + words.docs, end, "<u4")
-        out[steps + np.repeat(words.doc, n)] = flat[steps + np.repeat(offsets[place] - before, n)]
+        out[steps + np.repeat(words.doc, n)] = flat[steps + np.repeat(at - (np.cumsum(n) - n), n)]
+
+        keep = np.flatnonzero((sizes <= REMEMBERED_IDS) & (until - begin <= REMEMBERED_BYTES))
+        begin, size = begin[keep].astype(np.int64), (until - begin)[keep].astype(np.int64)
+        if not known.fits(len(keep), int(size.sum()), int(sizes[keep].sum())):
+            self.known, self.older = Memory(REMEMBERED), known
+        self.known.add(np.frombuffer(data, np.uint8), begin, size, hashed[keep], found, offsets[keep], sizes[keep])
         return out, counts
 
 
-def _named(data: bytes, words: Words) -> tuple[np.ndarray, np.ndarray]:
-    """(a word that stands for each name, name of each word); words have the same name only if their bytes are equal."""
-    _, first, place = np.unique(words.hash, return_index=True, return_inverse=True)
-    starts, ends = words.starts, words.ends
-    own = first[place]
-    size = ends - starts
-    differs = size != size[own]
-    # eight bytes at once: the first of both, then from eight to eight, the last ones overlapping
-    eights = np.ndarray((len(data) + 1,), "<u8", data + bytes(8), strides=(1,)) if len(data) else np.zeros(1, "<u8")
-    other = np.flatnonzero((own != np.arange(len(own))) & ~differs)
-    short = other[size[other] < 8]
-    mask = (np.uint64(1) << (8 * size[short]).astype(np.uint64)) - np.uint64(1)
-    differs[short] = ((eights[starts[short]] ^ eights[starts[own[short]]]) & mask) != 0
-    rest, at = other[size[other] >= 8], 0
-    while len(rest):
-        shift = np.minimum(at, size[rest] - 8)
-        unequal = eights[starts[rest] + shift] != eights[starts[own[rest]] + shift]
-        differs[rest[unequal]] = True
-        rest, at = rest[~unequal & (at + 8 < size[rest])], at + 8
-    odd = np.flatnonzero(differs)
-    if len(odd):  # equal hashes of different words: each gets a name of its own
+def _named(eights: np.ndarray, starts: np.ndarray, ends: np.ndarray, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(a run that stands for each name, name of each run); runs have the same name only if their bytes are equal."""
+    _, first, place = np.unique(hashes, return_index=True, return_inverse=True)
+    own, size = first[place], ends - starts
+    odd = np.flatnonzero((size != size[own]) | _differ(eights, starts, eights, starts[own], size))
+    if len(odd):  # equal hashes of different runs: each gets a name of its own
         place = place.copy()
         place[odd] = len(first) + np.arange(len(odd))
         first = np.append(first, odd)

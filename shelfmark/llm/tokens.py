@@ -69,11 +69,12 @@ def byte_view(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 class Words:
     """Words of a text column: `doc` owns each word, `hash` names it; A-Z count as a-z if `fold`.
 
-    The bytes are gone through in blocks. A word's hash is the difference of a
-    running sum at its two ends, so a word may lie across any number of blocks.
+    `kinds` gives the class of every byte instead of the table. The bytes are
+    gone through in blocks. A word's hash is the difference of a running sum at
+    its two ends, so a word may lie across any number of blocks.
     """
 
-    def __init__(self, column: pa.Array, table: np.ndarray = ALNUM_WORDS, fold: bool = True):
+    def __init__(self, column: pa.Array, table: np.ndarray = ALNUM_WORDS, fold: bool = True, kinds: np.ndarray | None = None):
         raw, bounds = byte_view(column)
         self.docs = len(bounds) - 1
         offsets = np.int32 if len(raw) < 1 << 31 else np.int64
@@ -82,7 +83,7 @@ class Words:
         for first in range(0, len(raw), BLOCK):
             block = raw[first : first + BLOCK]
             size = len(block)
-            kind = table[block]
+            kind = table[block] if kinds is None else kinds[first : first + size]
             edge = np.ones(size, bool)
             edge[1:] = kind[1:] != kind[:-1]
             edge[0] = kind[0] != last

@@ -89,6 +89,52 @@ def test_long_words_are_not_remembered():
     assert set(codec._chunks) == {"ab"} == set(codec._words) and len(remembering.known) == 1
 
 
+def test_library_memory_of_any_size_equals_the_library(library, monkeypatch):
+    """Marks in and around words, letters that only look plain, and memories that are full all the time."""
+    some = [*BITS, ".", ",", "...", "&*", "é", "ç", "÷", "É", "Ÿ", "š", "ệ", "a\u0301", "Abc", "-", "\n", "\xa0", "word", "words,more"]
+    rng = random.Random(7)
+    texts = ["".join(rng.choices(some, k=rng.randrange(30))) for _ in range(3000)] + ["x" * 300 + ".", "", None]
+    wanted = [[*library.encode(t or "", add_special_tokens=False).ids, 1] for t in texts]
+    for size in (1, 40, 5000):
+        monkeypatch.setattr(token_files, "REMEMBERED", size)
+        own = token_files.LibraryEncoder(VOCABULARY)
+        for _ in range(2):
+            for first in range(0, len(texts), 500):
+                ids, counts = own.encode(pa.array(texts[first : first + 500], pa.string()), 1)
+                assert [x.tolist() for x in np.split(ids, np.cumsum(counts)[:-1])] == wanted[first : first + 500]
+                assert len(own.known) <= size and len(own.older) <= size
+
+
+MANY_RUNS = r"""
+import random, re, sys
+from pathlib import Path
+import pyarrow as pa
+from shelfmark.llm import token_files
+from shelfmark.llm.batches import give_back
+
+def held():
+    give_back()
+    return int(re.search("RssAnon:\s+(\d+)", Path("/proc/self/status").read_text())[1]) / 1024
+
+own, rng = token_files.LibraryEncoder(sys.argv[1]), random.Random(8)
+parts = ["the", "an", "er", "on", "re", "he", "in", "ed", "nd", "ha", "at", "en", "es", "of", "or"]
+def some(n):
+    return pa.array([" ".join("".join(rng.choices(parts, k=7)) + rng.choice(["", ",", "."]) for _ in range(n))])
+own.encode(some(100), 1)
+before = held()
+for _ in range(95):
+    own.encode(some(10_000), 1)
+print(held() - before)
+"""
+
+
+@pytest.mark.skipif(not Path("/proc/self/status").exists(), reason="memory is read from /proc")
+def test_library_memory_is_small():
+    """A worker remembers two times half a million runs at most; as Python objects they took 211 MB."""
+    found = subprocess.run([sys.executable, "-c", MANY_RUNS, VOCABULARY], capture_output=True, text=True, cwd=Path(__file__).parents[2])
+    assert not found.returncode and float(found.stdout) < 100, found
+
+
 def test_stream_needs_no_more_than_the_lookahead(codec):
     merges = WordCodec(VOCABULARY).merges
     merges.window = merges.lookahead + 8
