@@ -15,6 +15,9 @@ from shelfmark.plans.features import feature_vectors, fit_features
 from shelfmark.plans.training import Tuned, tune
 from shelfmark.session import materialize
 
+# Stored vectors in a partition of the training data; in memory they take about three times as much.
+PART_BYTES = 64 << 20
+
 
 @dataclass(frozen=True)
 class Outcome:
@@ -38,7 +41,19 @@ def feature_table(
 ) -> DataFrame:
     """Feature vectors with split and fold, written once and pruned by both."""
     split = with_split(feature_vectors(catalogue, model))
-    return materialize(split, "features", ("split", "fold"))
+    return in_large_parts(materialize(split, "features", ("split", "fold")))
+
+
+def in_large_parts(table: DataFrame, part_bytes: int = PART_BYTES) -> DataFrame:
+    """A table of files in partitions of about `part_bytes`, one per core at least.
+
+    Every iteration of a fit shuffles a gradient as wide as the vectors for each
+    partition, so what it costs is given by their number: the many files of a
+    partitioned table would make hundreds of small ones.
+    """
+    files = table.select("_metadata.file_path", "_metadata.file_size").distinct()
+    size = files.agg(F.sum("file_size")).first()[0] or 0
+    return table.coalesce(max(table.sparkSession.sparkContext.defaultParallelism, -(-size // part_bytes)))
 
 
 def run(

@@ -105,6 +105,26 @@ def test_the_table_of_the_fits_is_made_from_the_counts(spark, monkeypatch, drop_
     assert sorted(found.collect(), key=repr) == sorted(wanted.collect(), key=repr)
 
 
+def test_the_table_of_the_fits_is_read_in_few_large_parts(spark, capsys):
+    """However many files its writers made; splits and folds are still left out at the scan."""
+    df = odd_rows(spark).repartition(20)
+    model = features.fit_features(df, buckets={"description": 30, "category": 7})
+    most = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1m")
+    try:
+        table = flow.feature_table(df, model)
+        train = table.where("split = 'train' AND fold != 1")
+        assert table.rdd.getNumPartitions() == 8 and 1 <= train.rdd.getNumPartitions() <= 8
+        assert flow.in_large_parts(table, 1000).rdd.getNumPartitions() <= len(table.inputFiles())
+        train.explain()
+        scan = next(line for line in capsys.readouterr().out.splitlines() if "FileScan" in line)
+        assert "fold" in scan.split("PartitionFilters:")[1].split("]")[0]
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", most)
+    assert table.count() == df.count()
+    assert flow.in_large_parts(table.where("false")).count() == 0
+
+
 def test_rows_without_id_or_label_come_back(spark, whole):
     odd = whole.limit(2).withColumn("id", F.lit(None).cast("int")).unionAll(
         whole.limit(1).withColumn("eclassnumber", F.lit(None).cast("int"))
