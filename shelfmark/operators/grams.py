@@ -42,7 +42,7 @@ def _grams(words: pa.Array, n: int) -> tuple[np.ndarray, pa.Array, np.ndarray]:
     if n == 1 or windows <= 0:
         return (rows, values, found) if n == 1 else (rows[:0], values.slice(0, 0), found)
     inside = np.arange(windows) + n <= np.repeat(np.cumsum(lengths), lengths)[:windows]
-    joined = pc.binary_join_element_wise(*[values.slice(k, windows) for k in range(n)], " ", null_handling="skip")
+    joined = pc.binary_join_element_wise(*[values.slice(k, windows) for k in range(n)], pa.scalar(" ", values.type), null_handling="skip")
     return rows[:windows][inside], joined.filter(pa.array(inside)), found
 
 

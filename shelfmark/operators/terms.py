@@ -3,8 +3,8 @@
 Every function takes the frame and the name of its term-array column; with `n`
 the column holds words, and the terms are windows of `n` of them. Counting
 inside a row is local (see `operators.grams`), so the only shuffles are one
-aggregation by term and, for an unbounded TF-IDF, one dealing of the counts by
-term.
+aggregation by term and, for an unbounded TF-IDF, one dealing of the terms (of
+n-grams as runs of words, see `operators.runs`).
 """
 
 from __future__ import annotations
@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window
 
 from shelfmark.operators.grams import gram_counts, gram_stats
+from shelfmark.operators.runs import gram_rows
 from shelfmark.operators.skew import salted_lookup
 from shelfmark.session import materialize
 
@@ -140,15 +141,15 @@ def tfidf(
     below 1), and terms of fewer than `min_doc_freq` rows weigh nothing.
 
     Words are few and some very frequent: their rows are counted first, and the
-    counts joined to that by pieces. N-grams are many and mostly rare; the
-    counts are dealt by term once, and the rows of a term are counted where they
-    lie. A term has one count a row at most, so its share of all counts is no
-    more than that of one term of a row of average length.
+    counts joined to that by pieces. N-grams are many and mostly rare; they are
+    dealt once, as runs of words, and the rows of a term are counted where they
+    lie. A term is dealt once a row at most, so its share of all is no more than
+    that of a few terms of a row of average length.
     """
     counts = term_counts(df, key, terms, min_tf, n)
     total = df.count() if min_df < 1 else None
     if vocabulary_size is None and n > 1 and min_tf == 1:
-        joined = frequent(with_doc_freq(counts), min_df, total)
+        joined = frequent(gram_rows(df, key, terms, n), min_df, total)
     elif vocabulary_size is None:
         # written once: the total, the heavy keys and the join all read it
         facts = materialize(frequent(doc_freq(df, terms, n), min_df, total), "doc-freq")
