@@ -5,6 +5,7 @@ from __future__ import annotations
 import math
 from collections.abc import Iterator
 from dataclasses import dataclass
+from hashlib import md5
 
 import numpy as np
 import pandas as pd
@@ -26,6 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from shelfmark.functions.stop_words import ENGLISH
+from shelfmark.operators import grams
 from shelfmark.operators.terms import term_stats, vocabulary
 from shelfmark.schema import FLAGS
 from shelfmark.session import materialize
@@ -153,15 +155,12 @@ _STORED = [
 ]
 
 
-def _count_vectors(starts: pa.Array, slot_of: np.ndarray) -> pa.StructArray:
-    """How often each slot occurs in a row, from the first four bytes of the MD5 of its terms, one after the other."""
-    rows, size = len(starts), len(slot_of)
-    starts = starts.cast(pa.large_binary())
-    _, offsets, data = starts.buffers()
-    bounds = np.frombuffer(offsets, np.int64)[starts.offset : starts.offset + rows + 1]
-    raw = np.frombuffer(data, np.uint8)[bounds[0] : bounds[-1]] if data is not None else np.zeros(0, np.uint8)
-    slots = slot_of[raw.view(">u4") % size]
-    keys, counts = np.unique(np.repeat(np.arange(rows) * size, np.diff(bounds) // 4) + slots, return_counts=True)
+def _count_vectors(words: pa.Array, n: int, slot_of: np.ndarray) -> pa.StructArray:
+    """How often each slot occurs in a row, from the words whose windows of `n` are its terms."""
+    rows, size = len(words), len(slot_of)
+    found = grams._lengths(words) if n == 1 else np.maximum(grams._lengths(words) - n + 1, 0)
+    slots = slot_of[_starts(words, n) % size]
+    keys, counts = np.unique(np.repeat(np.arange(rows) * size, found) + slots, return_counts=True)
     ends = pa.array(np.searchsorted(keys, np.arange(rows + 1) * size).astype(np.int32))
     lists = [
         pa.ListArray.from_arrays(ends, pa.array((keys % size).astype(np.int32)), type=_INDICES),
@@ -171,22 +170,36 @@ def _count_vectors(starts: pa.Array, slot_of: np.ndarray) -> pa.StructArray:
     return pa.StructArray.from_arrays([sparse, width, *lists], fields=_STORED)
 
 
+def _starts(words: pa.Array, n: int) -> np.ndarray:
+    """The first four bytes of the MD5 of each term of each row, in order: what `bucket_of` is made from."""
+    terms = grams._grams(words, n)[1].cast(pa.large_binary())
+    _, offsets, data = terms.buffers()
+    bounds = np.frombuffer(offsets, np.int64)[terms.offset : terms.offset + len(terms) + 1].tolist() if len(terms) else []
+    text = memoryview(data) if data is not None else b""
+    digests = b"".join([md5(text[a:b], usedforsecurity=False).digest() for a, b in zip(bounds, bounds[1:])])
+    return np.frombuffer(digests, ">u4")[::4]
+
+
 def _counted_rows(df: DataFrame, features: dict[TextFeature, list[Transformer]]) -> DataFrame:
-    """The rows without their texts, and the counts of both as the stages give them: written once, with one pass over the texts."""
-    made = PipelineModel([stage for stages in features.values() for stage in stages[:-2]]).transform(with_description_length(df))
+    """The rows without their texts, and the counts of both as the stages give them: written once, with one pass over the texts.
+
+    Words are those of the stages; their windows are joined and hashed in Arrow, since one by one they cost the most of the job.
+    """
+    made = PipelineModel([stage for stages in features.values() for stage in stages[:2]]).transform(with_description_length(df))
     kept = [name for name in ("id", "eclassnumber", "description_length", *FLAGS) if name in made.columns]
-    starts = "unhex(array_join(transform({}, t -> substring(md5(t), 1, 8)), ''))"
-    hashed = made.select(*kept, *[F.expr(starts.format(feature.terms)).alias(feature.counts) for feature in features])
-    orders = [np.argsort(np.array(stages[-1].vocabulary, int)) for stages in features.values()]
+    worded = made.select(*kept, *[F.col(feature.kept).alias(feature.counts) for feature in features])
+    orders = [(feature.n, np.argsort(np.array(stages[-1].vocabulary, int))) for feature, stages in features.items()]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            vectors = [_count_vectors(batch.column(len(kept) + i), order) for i, order in enumerate(orders)]
-            yield pa.RecordBatch.from_arrays([*batch.columns[: len(kept)], *vectors], names=batch.schema.names)
+            for first, size in grams._parts(batch.column(len(kept))):
+                part = batch.slice(first, size)
+                vectors = [_count_vectors(part.column(len(kept) + i), n, order) for i, (n, order) in enumerate(orders)]
+                yield pa.RecordBatch.from_arrays([*part.columns[: len(kept)], *vectors], names=part.schema.names)
 
     vectors = [T.StructField(feature.counts, VectorUDT()) for feature in features]
-    schema = T.StructType([*hashed.select(*kept).schema.fields, *vectors])
-    return materialize(hashed.mapInArrow(run, schema), "counted")
+    schema = T.StructType([*worded.select(*kept).schema.fields, *vectors])
+    return materialize(worded.mapInArrow(run, schema), "counted")
 
 
 def _containing(counted: DataFrame, counter: CountVectorizerModel) -> dict[str, int]:

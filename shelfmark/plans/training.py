@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shelfmark.operators.split import FOLDS
+from shelfmark.plans import lockstep
 from shelfmark.schema import LABEL
 
 # The penalties tried and the settings of every fit.
@@ -18,6 +19,9 @@ PENALTIES = (0.0, 0.1, 0.01)
 MIXING = 0.5
 ITERATIONS = 20
 
+# Slots up to which the library solves a fit from one table of products; wider ones take a pass a step.
+NARROW = 4096
+
 
 def regression(penalty: float = 0.0, mixing: float = MIXING, label: str = LABEL) -> LinearRegression:
     return LinearRegression(
@@ -63,7 +67,10 @@ def tune(
     a table partitioned by `fold`: then each fit scans only the folds it uses.
     `parallelism` fits are in flight at once; each holds its own copy of the
     rows in memory or on executor disks, so raise it only for a small table.
+    Vectors of more than `NARROW` slots are fitted in step: they are packed
+    once, and one pass over them serves all fits.
     """
+    jobs = [(held, penalty) for held in range(folds) for penalty in penalties]
 
     def fit(job: tuple[int, float]) -> LinearRegressionModel:
         held, penalty = job
@@ -73,10 +80,21 @@ def tune(
         models = fitted[held * len(penalties) : (held + 1) * len(penalties)]
         return _fold_errors(train.where(F.col(fold) == held), models, label)
 
+    def line(penalty: float) -> LinearRegression:
+        return regression(penalty, label=label)
+
+    one = train.select("features").first()
+    width = one["features"].size if one and one["features"] is not None else 0
     with ThreadPool(parallelism) as pool:
-        jobs = [(held, penalty) for held in range(folds) for penalty in penalties]
-        fitted = pool.map(fit, jobs, chunksize=1)
+        if width > NARROW:
+            rows = lockstep.packed_rows(train, fold, label)
+            moments = lockstep.fold_moments(rows, width)
+            fitted = lockstep.fit_all(rows, width, moments, jobs, line)
+        else:
+            fitted = pool.map(fit, jobs, chunksize=1)
         by_fold = pool.map(score, range(folds), chunksize=1)
     errors = {penalty: [found[k] for found in by_fold] for k, penalty in enumerate(penalties)}
     best = min(penalties, key=lambda penalty: sum(errors[penalty]))
-    return Tuned(regression(best, label=label).fit(train), best, errors)
+    if width > NARROW:
+        return Tuned(lockstep.fit_all(rows, width, moments, [(None, best)], line)[0], best, errors)
+    return Tuned(line(best).fit(train), best, errors)
