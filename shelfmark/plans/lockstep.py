@@ -9,7 +9,6 @@ with one, ten pairs of history, and its two line searches.
 
 from __future__ import annotations
 
-import tempfile
 from collections.abc import Callable, Generator, Iterator, Sequence
 from dataclasses import dataclass, replace
 
@@ -23,10 +22,10 @@ from pyspark.sql import functions as F
 
 from shelfmark.session import materialize
 
-#: Values of a packed block, fits in step (each takes about ten vectors on the driver), and pairs of history.
-BLOCK_VALUES, FITS, MEMORY = 1 << 19, 15, 10
+#: Values of a packed block, fits in step (each takes about thirty vectors on the driver), and pairs of history.
+BLOCK_VALUES, FITS, MEMORY = 1 << 19, 8, 10
 #: Slices of the slots in which sums are added up before they reach the driver, and passes after which their shuffles are given back.
-SLICES, KEPT_PASSES = 16, 3
+SLICES, KEPT_PASSES = 16, 1
 _CODEC = pa.Codec("zstd", compression_level=1)
 _passes = 0
 _BLOCK = pa.schema([
@@ -269,10 +268,10 @@ def _products(rows: DataFrame, fits: list[Fit], points: list[np.ndarray]) -> lis
 
 
 class _History:
-    """The last steps and the changes of the gradient with them, newest first; in a mapped file, so that it takes no memory of its own."""
+    """The last steps and the changes of the gradient with them, newest first."""
 
     def __init__(self, width: int):
-        self.kept, self.order = np.memmap(tempfile.TemporaryFile(), float, "w+", shape=(MEMORY, 2, width)), []
+        self.kept, self.order = np.empty((MEMORY, 2, width)), []
 
     def __iter__(self) -> Iterator[np.ndarray]:
         return (self.kept[at] for at in self.order)

@@ -49,7 +49,6 @@ def test_wide_tuning_is_that_of_single_fits(rows, monkeypatch):
     single = training.tune(rows.where("fold IS NOT NULL"), (0.0, 2e3), label="y")
     monkeypatch.setattr(training, "NARROW", 10)
     monkeypatch.setattr(lockstep, "FITS", 3)
-    monkeypatch.setattr(lockstep, "KEPT_PASSES", 1)
     monkeypatch.setattr(lockstep, "BLOCK_VALUES", 500)
     found = training.tune(rows.where("fold IS NOT NULL"), (0.0, 2e3), label="y")
     assert found.penalty == single.penalty and found.errors.keys() == wanted.errors.keys()
