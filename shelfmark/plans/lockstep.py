@@ -26,6 +26,8 @@ from shelfmark.session import materialize
 BLOCK_VALUES, FITS, MEMORY = 1 << 19, 8, 10
 #: Slices of the slots in which sums are added up before they reach the driver, and passes after which their shuffles are given back.
 SLICES, KEPT_PASSES = 16, 1
+#: Files of packed rows for each core, and bytes of their row groups.
+FILES, ROW_GROUP = 8, 4 << 20
 _CODEC = pa.Codec("zstd", compression_level=1)
 _passes = 0
 _BLOCK = pa.schema([
@@ -118,7 +120,9 @@ def packed_rows(rows: DataFrame, fold: str, label: str, vectors: str = "features
                         yield pa.record_batch({"fold": pa.array([held], pa.int32()), "size": pa.array([block[0]], pa.int32()), "packed": pa.array([block[1]], pa.binary())})
 
     needed = rows.select(F.unwrap_udt(vectors).alias("vector"), F.col(label).cast("double").alias("label"), F.coalesce(F.col(fold).cast("int"), F.lit(-1)).alias("fold"))
-    return materialize(needed.mapInArrow(run, "fold int, size int, packed binary"), "blocks")
+    # dealt evenly and in small row groups: the slowest task of every pass is what all fits wait for
+    dealt = needed.mapInArrow(run, "fold int, size int, packed binary").repartition(FILES * max(rows.sparkSession.sparkContext.defaultParallelism, 1))
+    return materialize(dealt, "blocks", **{"parquet.block.size": str(ROW_GROUP)})
 
 
 # Passes

@@ -53,16 +53,17 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
 
 
-def materialize(df: DataFrame, label: str, partition_by: tuple[str, ...] = ()) -> DataFrame:
+def materialize(df: DataFrame, label: str, partition_by: tuple[str, ...] = (), **options: str) -> DataFrame:
     """Write `df` once to the shared folder and read it back.
 
     Later jobs scan the table instead of recomputing the plan, a lost executor
-    costs nothing, and `partition_by` columns prune whole directories.
+    costs nothing, and `partition_by` columns prune whole directories. `options`
+    are those of the writer.
     """
     spark = df.sparkSession
     path = scratch_path(spark, label)
     if partition_by:
-        df.coalesce(PARTITIONED_WRITERS).write.partitionBy(*partition_by).parquet(path)
+        df.coalesce(PARTITIONED_WRITERS).write.options(**options).partitionBy(*partition_by).parquet(path)
     else:
-        df.write.parquet(path)
+        df.write.options(**options).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
